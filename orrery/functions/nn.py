@@ -40,8 +40,9 @@ def array_sum(arr) -> Column:
 def softmax(arr) -> Column:
     """E5: exp(x - max) / sum(exp(x - max)) for numerical safety."""
     a = _c(arr)
-    e = F.transform(a, lambda x: F.exp(x - F.array_max(a)))
-    return F.transform(e, lambda x: x / array_sum(e))
+    # max and sum are evaluated once per array (outside the lambdas), not per element
+    e = F.zip_with(a, F.array_repeat(F.array_max(a), F.size(a)), lambda x, m: F.exp(x - m))
+    return F.zip_with(e, F.array_repeat(array_sum(e), F.size(e)), lambda x, s: x / s)
 
 
 def clip_prob(p) -> Column:

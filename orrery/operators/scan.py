@@ -14,6 +14,9 @@ used here is the classic two-level prefix sum:
    P - 1 rows: a broadcast with a proven size bound;
 4. a local window over (partition, group) plus the offset.
 
+Steps 2 and 4 both read the range-partitioned rows, so they are checkpointed
+once: the partition of a row must be the same in both passes.
+
 The order keys must be unique within a group (add a tie-breaker column), so
 the result does not depend on partitioning.
 """
@@ -25,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import default_parallelism
+from ..session import checkpoint_root, default_parallelism
 
 _PID = "__pid"
 
@@ -42,8 +45,15 @@ def prefix_sums(df: DataFrame, by: Sequence[str], order: Sequence[str], values:
     ``inclusive=True`` includes the current row (a running total).
     """
     by, order, values = list(by), list(order), list(values)
-    n_parts = num_partitions or default_parallelism(df.sparkSession)
+    spark = df.sparkSession
+    n_parts = num_partitions or default_parallelism(spark)
+    checkpoint_root(spark)
+    # Both passes below must see the same partition of every row.  Range
+    # bounds are sampled from the input, and input arriving from a shuffle has
+    # no fixed row order, so two evaluations could disagree; a reliable
+    # checkpoint fixes the partitioning once (and cuts the lineage).
     ranged = (df.repartitionByRange(n_parts, *_cols(by + order))
+              .checkpoint(eager=True)
               .withColumn(_PID, F.spark_partition_id()))
 
     totals = ranged.groupBy(_PID, *by).agg(*[F.sum(v).alias(v) for v in values])

@@ -66,3 +66,303 @@ def q_v2_evaluate(spark, sf_dir):
     return (ex.join(bn, keys)
             .select("split", "task", r6("auc").alias("auc_exact"), r6("auc_binned").alias("auc_binned"),
                     "n_pos", "n_neg"))
+
+
+# ---------------------------------------------------------------- AUC family
+
+@register("a3_roc_histogram")
+def q_a3(spark, sf_dir):
+    return au.roc_histogram(doc_scored_long(spark, sf_dir), ["split", "task"])
+
+
+@register("w1_roc_curve")
+def q_w1(spark, sf_dir):
+    h = au.roc_histogram(doc_scored_long(spark, sf_dir), ["split", "task"])
+    c = au.roc_curve(h, ["split", "task"])
+    return c.select("split", "task", "bin", r6("threshold").alias("threshold"), "tp", "fp", "tp_prev", "fp_prev")
+
+
+@register("a4_auc_binned")
+def q_a4(spark, sf_dir):
+    s = doc_scored_long(spark, sf_dir)
+    a = au.auc_binned(au.roc_histogram(s, ["split", "task"]), ["split", "task"])
+    return a.select("split", "task", r6("auc").alias("auc"), "n_pos", "n_neg")
+
+
+@register("a5_auc_exact")
+def q_a5(spark, sf_dir):
+    a = au.auc_exact(doc_scored_long(spark, sf_dir), ["split", "task"])
+    return a.select("split", "task", r6("auc").alias("auc"), "n_pos", "n_neg")
+
+
+@register("w2_negatives_below")
+def q_w2(spark, sf_dir):
+    nb = au.negatives_below(doc_scored_long(spark, sf_dir), ["split", "task"])
+    return nb.select("split", "task", r6("p").alias("p"), F.col("pos").cast("long").alias("pos"),
+                     F.col("neg").cast("long").alias("neg"), F.col("neg_below").cast("long").alias("neg_below"))
+
+
+def embedding_scored(spark, sf_dir) -> DataFrame:
+    """(vec_id, split, y = label, p = softmax of the first 10 embedding values)."""
+    e = table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.col("label").alias("y"),
+        nn.softmax(F.slice(F.col("embedding").cast("array<double>"), 1, 10)).alias("p"))
+    return sp.assign_split(e, "vec_id", 0.8, 0.1)
+
+
+@register("a6_auc_per_class")
+def q_a6(spark, sf_dir):
+    a = au.auc_per_class(embedding_scored(spark, sf_dir).drop("vec_id"), ["split"])
+    return a.select("split", "class", r6("auc").alias("auc"), "n_pos", "n_neg")
+
+
+@register("a7_auc_macro")
+def q_a7(spark, sf_dir):
+    pc = au.auc_per_class(embedding_scored(spark, sf_dir).drop("vec_id"), ["split"])
+    m = au.auc_macro(pc, ["split"])
+    return m.select("split", r6("auc_macro").alias("auc_macro"), "n_classes")
+
+
+@register("a8_auc_task_mean")
+def q_a8(spark, sf_dir):
+    s = doc_scored_long(spark, sf_dir)
+    per_task = au.auc_exact(s, ["split", "task"]).withColumn(
+        "task_no", F.when(F.col("task") == "quality", 0).otherwise(1))
+    m = au.auc_task_mean(per_task, ["split"])
+    return m.select("split", r6("auc_mean").alias("auc_mean"), "n_tasks",
+                    r6(F.col("per_task")[0]["auc"]).alias("auc_quality"),
+                    r6(F.col("per_task")[1]["auc"]).alias("auc_toxic"))
+
+
+@register("a9_mean_loss")
+def q_a9(spark, sf_dir):
+    s = doc_scored_long(spark, sf_dir).withColumn("loss", nn.bce("y", "p"))
+    per = s.groupBy("split", "task").agg(F.avg("loss").alias("loss"))
+    total = per.groupBy("split").agg(F.sum("loss").alias("loss")).select("split", F.lit("all").alias("task"), "loss")
+    return per.unionByName(total).select("split", "task", r6("loss").alias("mean_loss"))
+
+
+def epoch_scored(spark, sf_dir, epochs: int = 5) -> DataFrame:
+    """Scores of a family of 'epochs' on documents: length score plus an epoch-dependent,
+    id-derived perturbation.  Stands in for per-epoch model outputs."""
+    d = labelled_documents(spark, sf_dir)
+    ep = F.explode(F.sequence(F.lit(1), F.lit(epochs))).alias("epoch")
+    d = d.select("*", ep)
+    noise = ((F.col("doc_id") * 7919 + F.col("epoch") * 104729) % 1000).cast("double") / 1000.0 - 0.5
+    p = nn.sigmoid_scalar(F.col("n_chars").cast("double") / 1000.0 - 2.0 + noise * F.col("epoch"))
+    return d.select("doc_id", "epoch", "split", "quality", "toxic", p.alias("p")).select(
+        "doc_id", "epoch", "split", "p",
+        F.explode(F.array(F.struct(F.lit("quality").alias("task"), F.col("quality").alias("y")),
+                          F.struct(F.lit("toxic").alias("task"), F.col("toxic").alias("y")))).alias("t")
+    ).select("doc_id", "epoch", "split", F.col("t.task").alias("task"), F.col("t.y").alias("y"), "p")
+
+
+@register("a11_best_epoch")
+def q_a11(spark, sf_dir):
+    from ..operators.summary import best_epoch
+    metrics = au.auc_exact(epoch_scored(spark, sf_dir), ["epoch", "split", "task"])
+    b = best_epoch(metrics, ["task"])
+    return b.select("task", "best_epoch", r6("valid_auc").alias("valid_auc"), r6("test_auc").alias("test_auc"))
+
+
+# ---------------------------------------------------------------- splits, batches, slices
+
+def _orders_slices(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("record_id"), "o_totalprice")
+    return [("train", sp.slice_records(o, None, sp.NB_TRAIN)),
+            ("valid", sp.slice_records(o, sp.NB_TRAIN, sp.NB_TRAIN + sp.NB_VALID)),
+            ("test", sp.slice_records(o, sp.NB_TRAIN + sp.NB_VALID, None))]
+
+
+@register("p1_slice_records")
+def q_p1(spark, sf_dir):
+    from ..operators.summary import stack_rows
+    parts = [df.withColumn("slice", F.lit(name)) for name, df in _orders_slices(spark, sf_dir)]
+    return stack_rows(*parts).groupBy("slice").agg(
+        F.count(F.lit(1)).alias("n"), F.min("record_id").alias("min_id"), F.max("record_id").alias("max_id"))
+
+
+@register("u1_stack_rows")
+def q_u1(spark, sf_dir):
+    from ..operators.summary import stack_rows
+    parts = [df.withColumn("slice", F.lit(name)) for name, df in _orders_slices(spark, sf_dir)]
+    return stack_rows(*parts).select("record_id", "slice", r6("o_totalprice").alias("o_totalprice"))
+
+
+@register("p2_assign_split")
+def q_p2(spark, sf_dir):
+    return labelled_documents(spark, sf_dir).select("doc_id", "split")
+
+
+@register("w3_batch_number")
+def q_w3(spark, sf_dir):
+    d = labelled_documents(spark, sf_dir).select("doc_id", "split")
+    return sp.batch_number(d, ["split"], id_col="doc_id")
+
+
+@register("l1_first_records")
+def q_l1(spark, sf_dir):
+    from ..operators.summary import first_records
+    d = labelled_documents(spark, sf_dir).select("doc_id", "n_chars", "quality", "toxic")
+    return first_records(d, 10, id_col="doc_id")
+
+
+# ---------------------------------------------------------------- projections
+
+@register("p3_assemble_features")
+def q_p3(spark, sf_dir):
+    from .cohort import cohort_features
+    f = cohort_features(spark, sf_dir)
+    return f.select("record_id", F.posexplode("features").alias("pos", "value")).select(
+        "record_id", F.col("pos").cast("int").alias("pos"), r6("value").alias("value"))
+
+
+@register("p4_squeeze_label")
+def q_p4(spark, sf_dir):
+    from ..operators.features import squeeze_label
+    lab = table(spark, sf_dir, "labels").select(
+        "doc_id", F.array("quality").alias("one"), F.array("quality", "toxic").alias("two"))
+    return lab.select("doc_id", squeeze_label("one").alias("quality"),
+                      squeeze_label("two").alias("two_squeezed"), F.size("two").alias("two_width"))
+
+
+@register("p5_select_groups")
+def q_p5(spark, sf_dir):
+    from ..operators.features import select_group
+    e = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("x"))
+    groups = F.array(*[F.struct(F.lit(g).alias("grp"), select_group("x", g, 8).alias("v")) for g in range(8)])
+    return (e.select("vec_id", F.explode(groups).alias("g"))
+            .select("vec_id", F.col("g.grp").alias("grp"), F.posexplode("g.v").alias("i", "value"))
+            .select("vec_id", "grp", F.col("i").cast("int").alias("i"), r6("value").alias("value")))
+
+
+# ---------------------------------------------------------------- alignment
+
+@register("j1_align")
+def q_j1(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    labs = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    return al.align(docs, labs, id_col="doc_id")
+
+
+@register("j2_align_many")
+def q_j2(spark, sf_dir):
+    from .cohort import cohort_labels
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("record_id"), "o_totalprice")
+    j = al.align_many(orders, cohort_labels(spark, sf_dir))
+    return j.select("record_id", r6("o_totalprice").alias("o_totalprice"), "y_mortality", "y_los", "y_survival")
+
+
+@register("j3_alignment_audit")
+def q_j3(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("record_id"))
+    labs = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("record_id"))
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("record_id"))
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("record_id"))
+    a = al.alignment_audit(docs, {"labels": labs})
+    b = al.alignment_audit(orders, {"lineitem": lines})
+    return a.unionByName(b)
+
+
+@register("j4_attach_predictions")
+def q_j4(spark, sf_dir):
+    preds = table(spark, sf_dir, "documents").select("doc_id", nn.length_score("n_chars").alias("p"))
+    labs = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    j = al.attach_predictions(preds, labs, id_col="doc_id")
+    return j.select("doc_id", r6("p").alias("p"), "quality", "toxic")
+
+
+# ---------------------------------------------------------------- encodings
+
+@register("e1_one_hot")
+def q_e1(spark, sf_dir):
+    from ..operators.encode import one_hot
+    e = table(spark, sf_dir, "embeddings").select("vec_id", one_hot("label", 10).alias("oh"))
+    return e.select("vec_id", *[F.col("oh")[i].alias(f"oh_{i}") for i in range(10)])
+
+
+@register("e2_one_hot_nullable")
+def q_e2(spark, sf_dir):
+    from ..operators.encode import one_hot_nullable
+    vals = ["en", "fr", "de"]
+    d = table(spark, sf_dir, "documents").select("doc_id", one_hot_nullable("lang", vals).alias("oh"))
+    return d.select("doc_id", *[F.col("oh")[i].alias(f"lang_{v}") for i, v in enumerate(vals)])
+
+
+def _line_days(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
+    return li.join(o, "l_orderkey").select(
+        "l_orderkey", "l_linenumber",
+        F.datediff(F.col("l_shipdate").cast("date"), F.col("o_orderdate").cast("date")).alias("days"))
+
+
+@register("e3_los_bucket")
+def q_e3(spark, sf_dir):
+    from ..operators.encode import los_bucket
+    return _line_days(spark, sf_dir).select("l_orderkey", "l_linenumber", "days", los_bucket("days").alias("los"))
+
+
+@register("e4_survival_bucket")
+def q_e4(spark, sf_dir):
+    from ..operators.encode import survival_bucket
+    return _line_days(spark, sf_dir).select("l_orderkey", "l_linenumber", "days",
+                                           survival_bucket("days").alias("survival"))
+
+
+@register("e5_activations")
+def q_e5(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("x"))
+    a = e.select("vec_id", F.arrays_zip(
+        F.col("x").alias("x"), nn.relu("x").alias("relu"), nn.sigmoid("x").alias("sigmoid"),
+        nn.softmax("x").alias("softmax")).alias("z"))
+    return (a.select("vec_id", F.posexplode("z").alias("i", "t"))
+            .select("vec_id", F.col("i").cast("int").alias("i"), r6("t.relu").alias("relu"),
+                    r6("t.sigmoid").alias("sigmoid"), r6("t.softmax").alias("softmax")))
+
+
+@register("e6_bce")
+def q_e6_bce(spark, sf_dir):
+    s = doc_scored_long(spark, sf_dir)
+    return s.select("doc_id", "task", r6(nn.bce("y", "p")).alias("loss"))
+
+
+@register("e6_cce")
+def q_e6_cce(spark, sf_dir):
+    from ..operators.encode import one_hot
+    s = embedding_scored(spark, sf_dir)
+    return s.select("vec_id", r6(nn.cce(one_hot("y", 10), "p")).alias("loss"))
+
+
+# ---------------------------------------------------------------- statistics (A1, A2, A10)
+
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+
+
+def event_stats(spark, sf_dir):
+    from ..operators.features import variable_stats
+    ev = table(spark, sf_dir, "events")
+    return variable_stats(ev, "user_id", "event_type", "ts", "value", tiebreak="event_id")
+
+
+@register("a1_variable_stats")
+def q_a1(spark, sf_dir):
+    from ..operators.features import STATS
+    s = event_stats(spark, sf_dir)
+    return s.select("user_id", "event_type", "count", *[r6(c).alias(c) for c in STATS[1:]])
+
+
+@register("a2_stats_wide")
+def q_a2(spark, sf_dir):
+    from ..operators.features import STATS, stats_wide
+    w = stats_wide(event_stats(spark, sf_dir), "user_id", "event_type", EVENT_TYPES)
+    return w.select("user_id", *[(F.col(f"{v}_{s}") if s == "count" else r6(f"{v}_{s}")).alias(f"{v}_{s}")
+                                 for v in EVENT_TYPES for s in STATS])
+
+
+@register("a10_dataset_summary")
+def q_a10(spark, sf_dir):
+    from ..operators.summary import dataset_summary
+    from .cohort import cohort_features, cohort_labels
+    data = al.align_many(cohort_features(spark, sf_dir), cohort_labels(spark, sf_dir))
+    return dataset_summary(data, "features", ["y_mortality", "y_los", "y_survival"])

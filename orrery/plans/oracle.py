@@ -86,3 +86,372 @@ WITH {DOC_SCORED},
 SELECT ex.split, ex.task, round(ex.auc, 6) AS auc_exact, round(bn.auc, 6) AS auc_binned, ex.n_pos, ex.n_neg
 FROM ex JOIN bn ON ex.split = bn.split AND ex.task = bn.task
 """
+
+
+# ------------------------------------------------------------- AUC family
+
+ORACLE["a3_roc_histogram"] = f"""
+WITH {DOC_SCORED},
+{hist_ctes("scored", "split, task")}
+SELECT split, task, bin, pos, neg FROM bn_h
+"""
+
+ORACLE["w1_roc_curve"] = f"""
+WITH {DOC_SCORED},
+{hist_ctes("scored", "split, task")}
+SELECT split, task, bin, round(bin / 100.0, 6) AS threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp,
+       CAST(tp_prev AS BIGINT) AS tp_prev, CAST(fp_prev AS BIGINT) AS fp_prev
+FROM bn_c
+"""
+
+ORACLE["a4_auc_binned"] = f"""
+WITH {DOC_SCORED},
+{hist_ctes("scored", "split, task")}
+SELECT split, task, round(auc, 6) AS auc, n_pos, n_neg FROM bn
+"""
+
+ORACLE["a5_auc_exact"] = f"""
+WITH {DOC_SCORED},
+{exact_auc_ctes("scored", "split, task")}
+SELECT split, task, round(auc, 6) AS auc, n_pos, n_neg FROM ex
+"""
+
+ORACLE["w2_negatives_below"] = f"""
+WITH {DOC_SCORED},
+{exact_auc_ctes("scored", "split, task")}
+SELECT split, task, round(p, 6) AS p, CAST(pos AS BIGINT) AS pos, CAST(neg AS BIGINT) AS neg,
+       CAST(neg_below AS BIGINT) AS neg_below
+FROM ex_nb
+"""
+
+EMB_SCORED = """
+emb_bounds AS (SELECT CAST(max(vec_id) + 1 AS DOUBLE) AS n FROM embeddings),
+emb_x AS (
+  SELECT e.vec_id, e.label, CAST(e.embedding AS DOUBLE[])[1:10] AS z,
+         CASE WHEN e.vec_id < floor(b.n * 0.8) THEN 'train'
+              WHEN e.vec_id < floor(b.n * 0.9) THEN 'valid' ELSE 'test' END AS split
+  FROM embeddings e, emb_bounds b
+),
+emb_sm AS (
+  SELECT vec_id, label, split,
+         list_transform(z, lambda v: exp(v - list_max(z))) AS ez
+  FROM emb_x
+),
+emb_p AS (
+  SELECT vec_id, label, split, list_transform(ez, lambda v: v / list_sum(ez)) AS p FROM emb_sm
+),
+emb_long AS (
+  SELECT vec_id, split, CAST(c - 1 AS INTEGER) AS class, CASE WHEN label = c - 1 THEN 1 ELSE 0 END AS y, p[c] AS p
+  FROM emb_p, range(1, 11) r(c)
+)"""
+
+ORACLE["a6_auc_per_class"] = f"""
+WITH {EMB_SCORED},
+{exact_auc_ctes("emb_long", "split, class")}
+SELECT split, class, round(auc, 6) AS auc, n_pos, n_neg FROM ex
+"""
+
+ORACLE["a7_auc_macro"] = f"""
+WITH {EMB_SCORED},
+{exact_auc_ctes("emb_long", "split, class")}
+SELECT split, round(avg(auc), 6) AS auc_macro, count(auc) AS n_classes FROM ex GROUP BY split
+"""
+
+ORACLE["a8_auc_task_mean"] = f"""
+WITH {DOC_SCORED},
+{exact_auc_ctes("scored", "split, task")}
+SELECT split, round(avg(auc), 6) AS auc_mean, count(auc) AS n_tasks,
+       round(max(CASE WHEN task = 'quality' THEN auc END), 6) AS auc_quality,
+       round(max(CASE WHEN task = 'toxic' THEN auc END), 6) AS auc_toxic
+FROM ex GROUP BY split
+"""
+
+ORACLE["a9_mean_loss"] = f"""
+WITH {DOC_SCORED},
+l AS (
+  SELECT split, task,
+         -(y * ln(least(greatest(p, 1e-7), 1 - 1e-7)) + (1 - y) * ln(1 - least(greatest(p, 1e-7), 1 - 1e-7))) AS loss
+  FROM scored
+),
+per AS (SELECT split, task, avg(loss) AS loss FROM l GROUP BY split, task)
+SELECT split, task, round(loss, 6) AS mean_loss FROM per
+UNION ALL
+SELECT split, 'all' AS task, round(sum(loss), 6) AS mean_loss FROM per GROUP BY split
+"""
+
+EPOCH_SCORED = """
+ep_base AS (
+  SELECT s.doc_id, s.split, s.n_chars, s.quality, s.toxic, e.epoch
+  FROM doc_split s, range(1, 6) e(epoch)
+),
+ep_p AS (
+  SELECT doc_id, split, epoch, quality, toxic,
+         1.0 / (1.0 + exp(-(CAST(n_chars AS DOUBLE) / 1000.0 - 2.0
+                 + (CAST((doc_id * 7919 + epoch * 104729) % 1000 AS DOUBLE) / 1000.0 - 0.5) * epoch))) AS p
+  FROM ep_base
+),
+ep_scored AS (
+  SELECT doc_id, epoch, split, 'quality' AS task, quality AS y, p FROM ep_p
+  UNION ALL
+  SELECT doc_id, epoch, split, 'toxic' AS task, toxic AS y, p FROM ep_p
+)"""
+
+ORACLE["a11_best_epoch"] = f"""
+WITH {DOC_SCORED},
+{EPOCH_SCORED},
+{exact_auc_ctes("ep_scored", "epoch, split, task")},
+ranked AS (
+  SELECT task, epoch, auc, row_number() OVER (PARTITION BY task ORDER BY auc DESC, epoch ASC) AS rk
+  FROM ex WHERE split = 'valid' AND auc IS NOT NULL
+)
+SELECT r.task, CAST(r.epoch AS BIGINT) AS best_epoch, round(r.auc, 6) AS valid_auc, round(t.auc, 6) AS test_auc
+FROM ranked r LEFT JOIN ex t ON t.task = r.task AND t.epoch = r.epoch AND t.split = 'test'
+WHERE r.rk = 1
+"""
+
+# ------------------------------------------------------------- splits, slices
+
+ORACLE["p1_slice_records"] = """
+SELECT CASE WHEN o_orderkey < 3200 THEN 'train' WHEN o_orderkey < 3600 THEN 'valid' ELSE 'test' END AS slice,
+       count(*) AS n, min(o_orderkey) AS min_id, max(o_orderkey) AS max_id
+FROM orders GROUP BY 1
+"""
+
+ORACLE["u1_stack_rows"] = """
+SELECT o_orderkey AS record_id,
+       CASE WHEN o_orderkey < 3200 THEN 'train' WHEN o_orderkey < 3600 THEN 'valid' ELSE 'test' END AS slice,
+       round(o_totalprice, 6) AS o_totalprice
+FROM orders
+"""
+
+ORACLE["p2_assign_split"] = f"""
+WITH {DOC_SCORED}
+SELECT doc_id, split FROM doc_split
+"""
+
+ORACLE["w3_batch_number"] = f"""
+WITH {DOC_SCORED}
+SELECT doc_id, split, CAST((row_number() OVER (PARTITION BY split ORDER BY doc_id) - 1) // 32 AS BIGINT) AS batch_no
+FROM doc_split
+"""
+
+ORACLE["l1_first_records"] = """
+SELECT d.doc_id, d.n_chars, l.quality, l.toxic
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+ORDER BY d.doc_id LIMIT 10
+"""
+
+# ------------------------------------------------------------- cohort (orders x lineitem)
+
+COHORT_VARS = ["quantity", "extendedprice", "discount", "tax"]
+COHORT_SCALE = {"extendedprice": 1000.0}
+STAT_NAMES = ["count", "min", "max", "mean", "std", "median", "first", "last", "slope"]
+
+
+def _stats_select(keys: str, value: str = "value", ts_order: str = "(ts, tb, value)") -> str:
+    return f"""{keys},
+         count({value}) AS count, min({value}) AS min, max({value}) AS max, avg({value}) AS mean,
+         stddev_samp({value}) AS std, median({value}) AS median,
+         arg_min({value}, {ts_order}) AS first, arg_max({value}, {ts_order}) AS last,
+         CASE WHEN var_pop(h) = 0 THEN NULL ELSE regr_slope({value}, h) END AS slope"""
+
+
+COHORT_LONG = "\nUNION ALL\n".join(
+    f"""  SELECT l_orderkey AS record_id, l_shipdate AS ts, l_linenumber AS tb,
+         CAST(epoch_us(l_shipdate) AS DOUBLE) / 3600000000.0 AS h, '{v}' AS variable,
+         CAST(l_{v} AS DOUBLE) / {COHORT_SCALE.get(v, 1.0)} AS value FROM lineitem"""
+    for v in COHORT_VARS)
+
+_wide_cols = ",\n  ".join(
+    f"max(CASE WHEN variable = '{v}' THEN {s} END) AS {v}_{s}" for v in COHORT_VARS for s in STAT_NAMES)
+_feat_items = ", ".join(
+    [f"coalesce(CAST(w.{v}_{s} AS DOUBLE), 0.0)" for v in COHORT_VARS for s in STAT_NAMES]
+    + [f"CASE WHEN o.o_orderpriority = '{p}' THEN 1.0 ELSE 0.0 END"
+       for p in ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]]
+    + [f"CASE WHEN o.o_orderstatus = '{s}' THEN 1.0 ELSE 0.0 END" for s in ["F", "O", "P"]]
+    + ["coalesce(o.o_totalprice / 10000.0, 0.0)"])
+
+COHORT_FEATURES = f"""
+c_long AS (
+{COHORT_LONG}
+),
+c_stats AS (SELECT {_stats_select("record_id, variable")} FROM c_long GROUP BY record_id, variable),
+c_wide AS (SELECT record_id,
+  {_wide_cols}
+  FROM c_stats GROUP BY record_id),
+c_feat AS (
+  SELECT o.o_orderkey AS record_id, list_value({_feat_items}) AS features
+  FROM orders o LEFT JOIN c_wide w ON w.record_id = o.o_orderkey
+)"""
+
+ORACLE["p3_assemble_features"] = f"""
+WITH {COHORT_FEATURES}
+SELECT record_id, CAST(unnest(generate_series(0, len(features) - 1)) AS INTEGER) AS pos,
+       round(unnest(features), 6) AS value
+FROM c_feat
+"""
+
+COHORT_LABELS = """
+c_lines AS (
+  SELECT l_orderkey AS record_id, max(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS y_mortality,
+         min(CAST(l_shipdate AS DATE)) AS first_ship, max(CAST(l_shipdate AS DATE)) AS last_ship
+  FROM lineitem GROUP BY l_orderkey
+),
+c_days AS (
+  SELECT c.record_id, c.y_mortality, datediff('day', c.first_ship, c.last_ship) AS los_days,
+         datediff('day', CAST(o.o_orderdate AS DATE), c.first_ship) AS surv_days
+  FROM c_lines c LEFT JOIN orders o ON o.o_orderkey = c.record_id
+),
+c_labels AS (
+  SELECT record_id, CAST(y_mortality AS INTEGER) AS y_mortality,
+         CAST(CASE WHEN los_days IS NULL OR los_days < 0 THEN NULL WHEN los_days < 2 THEN 0 WHEN los_days < 3 THEN 1
+              WHEN los_days < 4 THEN 2 WHEN los_days < 5 THEN 3 WHEN los_days < 6 THEN 4 WHEN los_days < 7 THEN 5
+              WHEN los_days <= 30 THEN 6 ELSE 7 END AS INTEGER) AS y_los,
+         CAST(CASE WHEN surv_days IS NULL OR surv_days < 0 THEN 4 WHEN surv_days <= 7 THEN 0
+              WHEN surv_days <= 30 THEN 1 WHEN surv_days <= 365 THEN 2 ELSE 3 END AS INTEGER) AS y_survival
+  FROM c_days
+)"""
+
+ORACLE["j2_align_many"] = f"""
+WITH {COHORT_LABELS}
+SELECT o.o_orderkey AS record_id, round(o.o_totalprice, 6) AS o_totalprice, c.y_mortality, c.y_los, c.y_survival
+FROM orders o JOIN c_labels c ON c.record_id = o.o_orderkey
+"""
+
+ORACLE["a10_dataset_summary"] = f"""
+WITH {COHORT_FEATURES},
+{COHORT_LABELS},
+d AS (SELECT f.record_id, f.features, c.y_mortality, c.y_los, c.y_survival
+      FROM c_feat f JOIN c_labels c ON c.record_id = f.record_id),
+shape AS (SELECT count(*) AS n_rows, CAST(min(len(features)) AS INTEGER) AS min_width,
+                 CAST(max(len(features)) AS INTEGER) AS max_width, min(record_id) AS first_record FROM d),
+parts AS (
+  SELECT 'y_mortality' AS target_set, y_mortality AS class, count(*) AS n_class FROM d GROUP BY 2
+  UNION ALL SELECT 'y_los', y_los, count(*) FROM d GROUP BY 2
+  UNION ALL SELECT 'y_survival', y_survival, count(*) FROM d GROUP BY 2
+)
+SELECT p.target_set, CAST(p.class AS INTEGER) AS class, p.n_class, 3 AS n_target_sets,
+       s.n_rows, s.min_width, s.max_width, s.first_record
+FROM parts p, shape s
+"""
+
+# ------------------------------------------------------------- projections
+
+ORACLE["p4_squeeze_label"] = """
+SELECT doc_id, quality, CAST(NULL AS INTEGER) AS two_squeezed, 2 AS two_width FROM labels
+"""
+
+ORACLE["p5_select_groups"] = """
+SELECT vec_id, CAST(g AS INTEGER) AS grp, CAST(i AS INTEGER) AS i,
+       round(CAST(embedding[g * 8 + i + 1] AS DOUBLE), 6) AS value
+FROM embeddings, range(0, 8) a(g), range(0, 8) b(i)
+"""
+
+# ------------------------------------------------------------- alignment
+
+ORACLE["j1_align"] = """
+SELECT d.doc_id, d.n_chars, l.quality, l.toxic FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+"""
+
+
+def _audit(feat_sql: str, lab_sql: str, name: str) -> str:
+    return f"""
+SELECT '{name}' AS label_set,
+       count(CASE WHEN f.n IS NOT NULL AND l.n IS NOT NULL THEN 1 END) AS matched,
+       count(CASE WHEN l.n IS NULL THEN 1 END) AS missing_labels,
+       count(CASE WHEN f.n IS NULL THEN 1 END) AS missing_features,
+       count(CASE WHEN f.n > 1 THEN 1 END) AS dup_feature_ids,
+       count(CASE WHEN l.n > 1 THEN 1 END) AS dup_label_ids
+FROM (SELECT id, count(*) AS n FROM ({feat_sql}) GROUP BY id) f
+FULL OUTER JOIN (SELECT id, count(*) AS n FROM ({lab_sql}) GROUP BY id) l ON f.id = l.id"""
+
+
+ORACLE["j3_alignment_audit"] = (
+    _audit("SELECT doc_id AS id FROM documents", "SELECT doc_id AS id FROM labels", "labels")
+    + "\nUNION ALL\n"
+    + _audit("SELECT o_orderkey AS id FROM orders", "SELECT l_orderkey AS id FROM lineitem", "lineitem"))
+
+ORACLE["j4_attach_predictions"] = """
+SELECT d.doc_id, round(1.0 / (1.0 + exp(-(CAST(d.n_chars AS DOUBLE) / 1000.0 - 2.0))), 6) AS p, l.quality, l.toxic
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+"""
+
+# ------------------------------------------------------------- encodings
+
+ORACLE["e1_one_hot"] = "SELECT vec_id, " + ", ".join(
+    f"CASE WHEN label = {i} THEN 1.0 ELSE 0.0 END AS oh_{i}" for i in range(10)) + " FROM embeddings"
+
+ORACLE["e2_one_hot_nullable"] = "SELECT doc_id, " + ", ".join(
+    f"CASE WHEN lang = '{v}' THEN 1.0 ELSE 0.0 END AS lang_{v}" for v in ["en", "fr", "de"]) + " FROM documents"
+
+LINE_DAYS = """
+ld AS (
+  SELECT l.l_orderkey, l.l_linenumber,
+         CAST(datediff('day', CAST(o.o_orderdate AS DATE), CAST(l.l_shipdate AS DATE)) AS INTEGER) AS days
+  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+)"""
+
+ORACLE["e3_los_bucket"] = f"""
+WITH {LINE_DAYS}
+SELECT l_orderkey, l_linenumber, days,
+       CAST(CASE WHEN days IS NULL OR days < 0 THEN NULL WHEN days < 2 THEN 0 WHEN days < 3 THEN 1
+            WHEN days < 4 THEN 2 WHEN days < 5 THEN 3 WHEN days < 6 THEN 4 WHEN days < 7 THEN 5
+            WHEN days <= 30 THEN 6 ELSE 7 END AS INTEGER) AS los
+FROM ld
+"""
+
+ORACLE["e4_survival_bucket"] = f"""
+WITH {LINE_DAYS}
+SELECT l_orderkey, l_linenumber, days,
+       CAST(CASE WHEN days IS NULL OR days < 0 THEN 4 WHEN days <= 7 THEN 0 WHEN days <= 30 THEN 1
+            WHEN days <= 365 THEN 2 ELSE 3 END AS INTEGER) AS survival
+FROM ld
+"""
+
+ORACLE["e5_activations"] = """
+WITH x AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+s AS (SELECT vec_id, e, list_sum(list_transform(e, lambda v: exp(v - list_max(e)))) AS z, list_max(e) AS m FROM x)
+SELECT vec_id, CAST(i - 1 AS INTEGER) AS i,
+       round(greatest(e[i], 0.0), 6) AS relu,
+       round(1.0 / (1.0 + exp(-e[i])), 6) AS sigmoid,
+       round(exp(e[i] - m) / z, 6) AS softmax
+FROM s, range(1, 65) r(i)
+WHERE i <= len(e)
+"""
+
+ORACLE["e6_bce"] = f"""
+WITH {DOC_SCORED}
+SELECT doc_id, task,
+       round(-(y * ln(least(greatest(p, 1e-7), 1 - 1e-7)) + (1 - y) * ln(1 - least(greatest(p, 1e-7), 1 - 1e-7))), 6)
+         AS loss
+FROM scored
+"""
+
+ORACLE["e6_cce"] = f"""
+WITH {EMB_SCORED}
+SELECT vec_id, round(-ln(least(greatest(p[label + 1], 1e-7), 1 - 1e-7)), 6) AS loss FROM emb_p
+"""
+
+# ------------------------------------------------------------- statistics on events
+
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+
+EVENT_STATS = f"""
+ev AS (SELECT *, CAST(epoch_us(ts) AS DOUBLE) / 3600000000.0 AS h FROM events),
+ev_stats AS (SELECT {_stats_select("user_id, event_type", ts_order="(ts, event_id, value)")}
+             FROM ev GROUP BY user_id, event_type)"""
+
+ORACLE["a1_variable_stats"] = f"""
+WITH {EVENT_STATS}
+SELECT user_id, event_type, count, """ + ", ".join(f"round({s}, 6) AS {s}" for s in STAT_NAMES[1:]) + """
+FROM ev_stats
+"""
+
+ORACLE["a2_stats_wide"] = f"""
+WITH {EVENT_STATS}
+SELECT user_id, """ + ",\n  ".join(
+    (f"coalesce(max(CASE WHEN event_type = '{v}' THEN count END), 0) AS {v}_{s}" if s == "count"
+     else f"round(max(CASE WHEN event_type = '{v}' THEN {s} END), 6) AS {v}_{s}")
+    for v in EVENT_TYPES for s in STAT_NAMES) + """
+FROM ev_stats GROUP BY user_id
+"""

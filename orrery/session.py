@@ -26,6 +26,7 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
