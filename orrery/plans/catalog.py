@@ -366,3 +366,82 @@ def q_a10(spark, sf_dir):
     from .cohort import cohort_features, cohort_labels
     data = al.align_many(cohort_features(spark, sf_dir), cohort_labels(spark, sf_dir))
     return dataset_summary(data, "features", ["y_mortality", "y_los", "y_survival"])
+
+
+# ---------------------------------------------------------------- sources
+
+def _export_embeddings(spark, sf_dir) -> str:
+    """embeddings -> one <vec_id>.csv per vector (64 doubles) in a fresh shared folder."""
+    from ..session import scratch_path
+    from ..sources.numbered import write_numbered_csv
+    path = scratch_path(spark, "emb-csv")
+    e = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("x"))
+    write_numbered_csv(e, path, "vec_id", "x")
+    return path
+
+
+def _flat(df: DataFrame, col: str, width: int, prefix: str = "f") -> DataFrame:
+    return df.select("record_id", *[r6(F.col(col)[i]).alias(f"{prefix}{i}") for i in range(width)])
+
+
+@register("s1_read_numbered_csv")
+def q_s1(spark, sf_dir):
+    from ..sources.numbered import read_numbered_csv
+    path = _export_embeddings(spark, sf_dir)
+    return _flat(read_numbered_csv(spark, path, 64), "features", 64)
+
+
+@register("s2_read_csv_dir")
+def q_s2(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sources.numbered import read_csv_dir, write_numbered_csv
+    path = scratch_path(spark, "labels-csv")
+    lab = table(spark, sf_dir, "labels").select("doc_id", F.array(F.col("quality").cast("double"),
+                                                                  F.col("toxic").cast("double")).alias("y"))
+    write_numbered_csv(lab, path, "doc_id", "y")
+    return _flat(read_csv_dir(spark, path, 2, name="y"), "y", 2, prefix="c")
+
+
+@register("s3_read_sequences")
+def q_s3(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sources.numbered import read_sequences, write_numbered_csv
+    from .tables import hours
+    path = scratch_path(spark, "events-seq")
+    ev = table(spark, sf_dir, "events").select(
+        "user_id", F.struct(F.col("ts"), F.col("event_id")).alias("o"),
+        F.array(F.col("value"), hours("ts")).alias("x"))
+    write_numbered_csv(ev, path, "user_id", "x", header="value,hour", order_col="o")
+    s = read_sequences(spark, path, 2)
+    return s.select("record_id", "step", r6(F.col("x")[0]).alias("value"), r6(F.col("x")[1]).alias("hour"))
+
+
+@register("s4_read_dataset")
+def q_s4(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sources.numbered import read_dataset, write_numbered_csv
+    feat = _export_embeddings(spark, sf_dir)
+    e = table(spark, sf_dir, "embeddings")
+    lab_dir, high_dir = scratch_path(spark, "emb-label"), scratch_path(spark, "emb-high")
+    write_numbered_csv(e.select("vec_id", F.array(F.col("label").cast("double")).alias("y")), lab_dir, "vec_id", "y")
+    write_numbered_csv(e.select("vec_id", F.array((F.col("label") >= 5).cast("double")).alias("y")),
+                       high_dir, "vec_id", "y")
+    d = read_dataset(spark, feat, 64, [lab_dir, high_dir], target_names=["y_label", "y_high"])
+    return d.select("record_id", "y_label", "y_high", F.size("features").alias("width"),
+                    r6(F.col("features")[0]).alias("f0"), r6(F.col("features")[63]).alias("f63"))
+
+
+@register("s5_compact")
+def q_s5(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sources.numbered import read_numbered_csv
+    from ..sources.store import compact
+    path = _export_embeddings(spark, sf_dir)
+    landed = compact(read_numbered_csv(spark, path, 64), scratch_path(spark, "emb-parquet"))
+    return _flat(landed, "features", 64)
+
+
+@register("e7_parse_numeric")
+def q_e7(spark, sf_dir):
+    from ..sources.numbered import validate_numeric
+    return validate_numeric(spark, _export_embeddings(spark, sf_dir), 64)

@@ -455,3 +455,26 @@ SELECT user_id, """ + ",\n  ".join(
     for v in EVENT_TYPES for s in STAT_NAMES) + """
 FROM ev_stats GROUP BY user_id
 """
+
+# ------------------------------------------------------------- sources (files exported by Spark, read back)
+
+_EMB_FLAT = ", ".join(f"round(CAST(embedding[{i + 1}] AS DOUBLE), 6) AS f{i}" for i in range(64))
+ORACLE["s1_read_numbered_csv"] = f"SELECT vec_id AS record_id, {_EMB_FLAT} FROM embeddings"
+ORACLE["s5_compact"] = ORACLE["s1_read_numbered_csv"]
+ORACLE["s2_read_csv_dir"] = """
+SELECT doc_id AS record_id, round(CAST(quality AS DOUBLE), 6) AS c0, round(CAST(toxic AS DOUBLE), 6) AS c1 FROM labels
+"""
+ORACLE["s3_read_sequences"] = """
+SELECT user_id AS record_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS INTEGER) AS step,
+       round(value, 6) AS value, round(CAST(epoch_us(ts) AS DOUBLE) / 3600000000.0, 6) AS hour
+FROM events
+"""
+ORACLE["s4_read_dataset"] = """
+SELECT vec_id AS record_id, CAST(label AS DOUBLE) AS y_label, CASE WHEN label >= 5 THEN 1.0 ELSE 0.0 END AS y_high,
+       CAST(len(embedding) AS INTEGER) AS width,
+       round(CAST(embedding[1] AS DOUBLE), 6) AS f0, round(CAST(embedding[64] AS DOUBLE), 6) AS f63
+FROM embeddings
+"""
+ORACLE["e7_parse_numeric"] = """
+SELECT count(*) AS n_rows, count(*) AS n_files, CAST(0 AS BIGINT) AS n_empty_fields FROM embeddings
+"""
