@@ -445,3 +445,218 @@ def q_s5(spark, sf_dir):
 def q_e7(spark, sf_dir):
     from ..sources.numbered import validate_numeric
     return validate_numeric(spark, _export_embeddings(spark, sf_dir), 64)
+
+
+# ---------------------------------------------------------------- fixed small net
+
+def fixed_weights(n_in: int = 64, hidden: int = 4):
+    """Small integer-valued net defined by a rule: W1 (hidden x n_in), b1, a sigmoid
+    unit and a 3-class softmax head."""
+    w1 = [[float((i * 7 + j * 3) % 5 - 2) for i in range(n_in)] for j in range(hidden)]
+    b1 = [float(j - 1) for j in range(hidden)]
+    w_bin = [[0.5, -0.5, 1.0, -1.0]]
+    b_bin = [0.1]
+    w_cls = [[0.5, 0.0, -0.5, 0.25], [0.0, 0.5, 0.25, -0.5], [-0.5, 0.25, 0.5, 0.0]]
+    b_cls = [0.0, 0.1, -0.1]
+    return w1, b1, w_bin, b_bin, w_cls, b_cls
+
+
+def fixed_net():
+    """The same weights as a NetSpec + flat parameter vector (for V1 / S7)."""
+    import numpy as np
+
+    from .net import Head, NetSpec
+    w1, b1, w_bin, b_bin, w_cls, b_cls = fixed_weights()
+    spec = NetSpec(n_in=64, hidden=4, heads=[Head("bin", 1, "y_bin"), Head("cls", 3, "y_cls")])
+    theta = np.concatenate([np.asarray(w1).T.ravel(), np.asarray(b1), np.asarray(w_bin).T.ravel(),
+                            np.asarray(b_bin), np.asarray(w_cls).T.ravel(), np.asarray(b_cls)])
+    return spec, theta
+
+
+def _emb_features(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.col("embedding").cast("array<double>").alias("features"))
+
+
+@register("e8_dense_forward")
+def q_e8(spark, sf_dir):
+    w1, b1, w_bin, b_bin, w_cls, b_cls = fixed_weights()
+    e = _emb_features(spark, sf_dir)
+    out = e.select("vec_id", nn.dense_forward("features", w1, b1, w_bin, b_bin, "sigmoid")[0].alias("p_bin"),
+                   nn.dense_forward("features", w1, b1, w_cls, b_cls, "softmax").alias("pc"))
+    return out.select("vec_id", r6("p_bin").alias("p_bin"), *[r6(F.col("pc")[k]).alias(f"p_c{k}") for k in range(3)])
+
+
+def _fixed_scored(df):
+    return df.select("vec_id", r6("p_bin").alias("p_bin"), *[r6(F.col("p_cls")[k]).alias(f"p_c{k}") for k in range(3)])
+
+
+@register("v1_predict")
+def q_v1(spark, sf_dir):
+    from .score import predict
+    spec, theta = fixed_net()
+    return _fixed_scored(predict(_emb_features(spark, sf_dir), spec, theta, keep=["vec_id"]))
+
+
+@register("s7_model_roundtrip")
+def q_s7(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sources.models import load_model, save_model
+    from .score import predict
+    spec, theta = fixed_net()
+    path = scratch_path(spark, "model")
+    save_model(spark, spec, theta, path)
+    spec2, theta2 = load_model(spark, path)
+    return _fixed_scored(predict(_emb_features(spark, sf_dir), spec2, theta2, keep=["vec_id"]))
+
+
+# ---------------------------------------------------------------- training on the derived cohort
+
+def cohort_dataset(spark, sf_dir) -> DataFrame:
+    """(record_id, split, features, y_mortality, y_los, y_survival): 80/10/10 by id."""
+    from .cohort import cohort_features, cohort_labels
+    d = al.align_many(cohort_features(spark, sf_dir), cohort_labels(spark, sf_dir))
+    return sp.assign_split(d, "record_id", 0.8, 0.1)
+
+
+_FITS: dict = {}
+
+
+def _fit_cached(spark, sf_dir, key: str, spec_fn):
+    """One training run per (session, data, config) shared by the queries that report on it."""
+    from .train import fit, prepare
+    k = (id(spark), sf_dir, key)
+    if k not in _FITS:
+        spec = spec_fn()
+        data = prepare(cohort_dataset(spark, sf_dir), spec)
+        _FITS[k] = (data, fit(None, spec, prepared=data))
+    return _FITS[k]
+
+
+def _spec_mortality():
+    from .net import Head, NetSpec
+    from .cohort import WIDTH
+    return NetSpec(n_in=WIDTH, hidden=500, heads=[Head("mortality", 1, "y_mortality")])
+
+
+def _spec_los():
+    from ..operators.encode import NB_LOS
+    from .cohort import WIDTH
+    from .net import Head, NetSpec
+    return NetSpec(n_in=WIDTH, hidden=750, heads=[Head("los", NB_LOS, "y_los")])
+
+
+def _spec_multitask():
+    from ..operators.encode import NB_LOS, NB_SURVIVAL
+    from .cohort import WIDTH
+    from .net import Head, NetSpec
+    return NetSpec(n_in=WIDTH, hidden=750, heads=[Head("mortality", 1, "y_mortality"),
+                                                   Head("los", NB_LOS, "y_los"),
+                                                   Head("survival", NB_SURVIVAL, "y_survival")])
+
+
+_METRIC_SCHEMA = "epoch int, split string, task string, auc double, n_classes long, loss double, rows long"
+
+
+def _metrics_df(spark, res):
+    rows = [(m["epoch"], m["split"], m["task"], m["auc"], m["n_classes"], m["loss"], m["rows"])
+            for m in res.metrics]
+    return spark.createDataFrame(rows, _METRIC_SCHEMA)
+
+
+@register("m3_fit_binary")
+def q_m3(spark, sf_dir):
+    _, res = _fit_cached(spark, sf_dir, "mortality", _spec_mortality)
+    return _metrics_df(spark, res)
+
+
+@register("m4_fit_multiclass")
+def q_m4(spark, sf_dir):
+    _, res = _fit_cached(spark, sf_dir, "los", _spec_los)
+    return _metrics_df(spark, res)
+
+
+@register("m5_fit_multitask")
+def q_m5(spark, sf_dir):
+    _, res = _fit_cached(spark, sf_dir, "multitask", _spec_multitask)
+    return _metrics_df(spark, res)
+
+
+@register("v3_evaluate_per_epoch")
+def q_v3(spark, sf_dir):
+    """Per-epoch train/valid AUC of the multi-task run, with the task mean beside it."""
+    _, res = _fit_cached(spark, sf_dir, "multitask", _spec_multitask)
+    m = _metrics_df(spark, res).withColumn(
+        "task_no", F.when(F.col("task") == "mortality", 0).when(F.col("task") == "los", 1).otherwise(2))
+    mean = au.auc_task_mean(m, ["epoch", "split"])
+    return mean.select("epoch", "split", "auc_mean", "n_tasks",
+                       *[F.col("per_task")[i]["auc"].alias(f"auc_{t}") for i, t in
+                         enumerate(["mortality", "los", "survival"])])
+
+
+@register("t1_history")
+def q_t1(spark, sf_dir):
+    _, res = _fit_cached(spark, sf_dir, "multitask", _spec_multitask)
+    rows = [(h["epoch"], h["shard"], h["rows"], h["steps"], h["loss"], h["seconds"]) for h in res.history]
+    return spark.createDataFrame(rows, "epoch int, shard int, rows long, steps long, loss double, seconds double")
+
+
+@register("v4_final_report")
+def q_v4(spark, sf_dir):
+    """Checkpoint the trained model (S7), reload it and report train and test AUC."""
+    from ..session import scratch_path
+    from ..sources.models import load_model, save_model
+    from .train import FitResult, final_report
+    data, res = _fit_cached(spark, sf_dir, "multitask", _spec_multitask)
+    path = scratch_path(spark, "model-multitask")
+    save_model(spark, res.spec, res.theta, path)
+    spec, theta = load_model(spark, path)
+    return final_report(data, FitResult(spec=spec, theta=theta))
+
+
+@register("s6_write_metrics")
+def q_s6(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sources.store import read_metrics, write_metrics
+    _, res = _fit_cached(spark, sf_dir, "multitask", _spec_multitask)
+    path = scratch_path(spark, "metrics")
+    m = _metrics_df(spark, res).withColumn("run_id", F.lit("multitask"))
+    write_metrics(m, path)
+    write_metrics(m.withColumn("run_id", F.lit("multitask-copy")), path)   # append
+    return read_metrics(spark, path).groupBy("run_id", "split", "task").agg(
+        F.count(F.lit(1)).alias("epochs"), F.max("auc").alias("best_auc"))
+
+
+@register("m6_fit_builtin")
+def q_m6(spark, sf_dir):
+    from .train import fit_builtin
+    data = cohort_dataset(spark, sf_dir)
+    lr = fit_builtin(data, "y_mortality", 1)
+    mlp = fit_builtin(data, "y_los", 8, hidden=32)
+    a = au.auc_exact(lr, ["split"]).withColumn("model", F.lit("logistic_mortality"))
+    pc = au.auc_per_class(mlp.select("split", "y", "p"), ["split"])
+    b = au.auc_macro(pc, ["split"]).select("split", F.col("auc_macro").alias("auc")).withColumn(
+        "model", F.lit("perceptron_los"))
+    return a.select("model", "split", "auc").unionByName(b.select("model", "split", "auc"))
+
+
+@register("m7_fit_grid")
+def q_m7(spark, sf_dir):
+    """Grid over learning rate and trunk width on one checkpointed input; pick by validation AUC."""
+    from ..operators.summary import best_epoch
+    from .net import Head, NetSpec
+    from .cohort import WIDTH
+    from .train import fit, prepare
+    grid = [(lr, hidden) for lr in (0.005, 0.001) for hidden in (100, 500)]
+    base = NetSpec(n_in=WIDTH, hidden=100, heads=[Head("mortality", 1, "y_mortality")], epochs=5)
+    data = prepare(cohort_dataset(spark, sf_dir), base)
+    rows = []
+    for gi, (lr, hidden) in enumerate(grid):
+        spec = NetSpec(n_in=WIDTH, hidden=hidden, heads=base.heads, lr=lr, epochs=base.epochs)
+        res = fit(None, spec, prepared=data, eval_splits=("valid",))
+        rows += [(gi, lr, hidden, m["epoch"], m["split"], m["auc"]) for m in res.metrics]
+    metrics = spark.createDataFrame(rows, "config int, lr double, hidden int, epoch int, split string, auc double")
+    metrics = metrics.withColumn("epoch", F.col("config") * 1000 + F.col("epoch"))
+    best = best_epoch(metrics.withColumn("task", F.lit("mortality")), ["task"])
+    return best.select("task", (F.col("best_epoch") / 1000).cast("int").alias("config"),
+                       (F.col("best_epoch") % 1000).alias("epoch"), "valid_auc")

@@ -478,3 +478,29 @@ FROM embeddings
 ORACLE["e7_parse_numeric"] = """
 SELECT count(*) AS n_rows, count(*) AS n_files, CAST(0 AS BIGINT) AS n_empty_fields FROM embeddings
 """
+
+# ------------------------------------------------------------- fixed small net on embeddings
+
+
+def _fixed_net_sql() -> str:
+    from .catalog import fixed_weights
+    w1, b1, w_bin, b_bin, w_cls, b_cls = fixed_weights()
+    h = ", ".join(f"greatest(list_inner_product(x, {row}::DOUBLE[]) + {b}, 0.0)" for row, b in zip(w1, b1))
+    zb = f"list_inner_product(h, {w_bin[0]}::DOUBLE[]) + {b_bin[0]}"
+    zc = [f"(list_inner_product(h, {row}::DOUBLE[]) + {b})" for row, b in zip(w_cls, b_cls)]
+    return f"""
+WITH x AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+hh AS (SELECT vec_id, list_value({h}) AS h FROM x),
+z AS (SELECT vec_id, {zb} AS zb, {zc[0]} AS z0, {zc[1]} AS z1, {zc[2]} AS z2 FROM hh),
+m AS (SELECT *, greatest(z0, z1, z2) AS zm FROM z)
+SELECT vec_id, round(1.0 / (1.0 + exp(-zb)), 6) AS p_bin,
+       round(exp(z0 - zm) / (exp(z0 - zm) + exp(z1 - zm) + exp(z2 - zm)), 6) AS p_c0,
+       round(exp(z1 - zm) / (exp(z0 - zm) + exp(z1 - zm) + exp(z2 - zm)), 6) AS p_c1,
+       round(exp(z2 - zm) / (exp(z0 - zm) + exp(z1 - zm) + exp(z2 - zm)), 6) AS p_c2
+FROM m
+"""
+
+
+ORACLE["e8_dense_forward"] = _fixed_net_sql()
+ORACLE["v1_predict"] = ORACLE["e8_dense_forward"]
+ORACLE["s7_model_roundtrip"] = ORACLE["e8_dense_forward"]
