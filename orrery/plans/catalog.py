@@ -629,8 +629,9 @@ def q_s6(spark, sf_dir):
 
 @register("m6_fit_builtin")
 def q_m6(spark, sf_dir):
-    from .train import fit_builtin
-    data = cohort_dataset(spark, sf_dir)
+    from .train import fit_builtin, prepare
+    # iterative optimizers re-read their input every iteration: checkpoint the derived features once
+    data = prepare(cohort_dataset(spark, sf_dir), _spec_multitask())
     lr = fit_builtin(data, "y_mortality", 1)
     mlp = fit_builtin(data, "y_los", 8, hidden=32)
     a = au.auc_exact(lr, ["split"]).withColumn("model", F.lit("logistic_mortality"))

@@ -182,7 +182,8 @@ def final_report(data: DataFrame, res: FitResult, splits: Sequence[str] = ("trai
     """V4: train and test AUC (exact and binned), loss and rows of a trained model."""
     spec = res.spec
     d = data.where(F.col("split").isin(list(splits)))
-    pred = predict(d, spec, res.theta, keep=["split", *[h.label for h in spec.heads]])
+    # predictions feed four aggregates below: score once (recomputable from lineage if lost)
+    pred = predict(d, spec, res.theta, keep=["split", *[h.label for h in spec.heads]]).persist()
     ex = evaluate(pred, spec, ["split"], method="exact")
     bn = evaluate(pred, spec, ["split"], method="binned").select("split", "task", F.col("auc").alias("auc_binned"))
     return ex.join(bn, ["split", "task"]).select("split", "task", F.col("auc").alias("auc_exact"), "auc_binned",
