@@ -671,3 +671,27 @@ def q_m7(spark, sf_dir):
     best = best_epoch(metrics.withColumn("task", F.lit("mortality")), ["task"])
     return best.select("task", (F.col("best_epoch") / 1000).cast("int").alias("config"),
                        (F.col("best_epoch") % 1000).alias("epoch"), "valid_auc")
+
+
+# ---------------------------------------------------------------- streaming forms (S1+S5, A3)
+
+@register("s5_land_stream")
+def q_s5_stream(spark, sf_dir):
+    """Numbered files landed incrementally into Parquet by a file-source stream."""
+    from ..session import scratch_path
+    from ..streaming.landing import land_numbered_csv
+    src = _export_embeddings(spark, sf_dir)
+    landed = land_numbered_csv(spark, src, 64, scratch_path(spark, "emb-stream"),
+                               scratch_path(spark, "emb-stream-ckpt"), max_files_per_trigger=200)
+    return _flat(landed, "features", 64)
+
+
+@register("a3_roc_histogram_stream")
+def q_a3_stream(spark, sf_dir):
+    """Scored documents arrive as several Parquet files; the ROC histogram is streaming state."""
+    from ..session import scratch_path
+    from ..streaming.roc import accumulate_histograms
+    src = scratch_path(spark, "scored-docs")
+    doc_scored_long(spark, sf_dir).repartition(4, "doc_id").write.parquet(src)
+    return accumulate_histograms(spark, src, "doc_id long, split string, task string, y int, p double",
+                                 ["split", "task"], scratch_path(spark, "hist"), scratch_path(spark, "hist-ckpt"))

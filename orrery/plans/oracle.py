@@ -504,3 +504,7 @@ FROM m
 ORACLE["e8_dense_forward"] = _fixed_net_sql()
 ORACLE["v1_predict"] = ORACLE["e8_dense_forward"]
 ORACLE["s7_model_roundtrip"] = ORACLE["e8_dense_forward"]
+
+# ------------------------------------------------------------- streaming forms
+ORACLE["s5_land_stream"] = ORACLE["s1_read_numbered_csv"]
+ORACLE["a3_roc_histogram_stream"] = ORACLE["a3_roc_histogram"]
