@@ -408,9 +408,10 @@ def q_s3(spark, sf_dir):
     from ..sources.numbered import read_sequences, write_numbered_csv
     from .tables import hours
     path = scratch_path(spark, "events-seq")
-    ev = table(spark, sf_dir, "events").select(
+    events = table(spark, sf_dir, "events")
+    ev = events.select(
         "user_id", F.struct(F.col("ts"), F.col("event_id")).alias("o"),
-        F.array(F.col("value"), hours("ts")).alias("x"))
+        F.array(F.col("value"), hours(events, "ts")).alias("x"))
     write_numbered_csv(ev, path, "user_id", "x", header="value,hour", order_col="o")
     s = read_sequences(spark, path, 2)
     return s.select("record_id", "step", r6(F.col("x")[0]).alias("value"), r6(F.col("x")[1]).alias("hour"))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -13,11 +12,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def utc_ts(col: str):
-    """Fixture timestamps load as TIMESTAMP_NTZ; read them as UTC instants."""
-    return F.col(col).cast("timestamp")
-
-
-def hours(col: str):
-    """Hours since the epoch, as double."""
-    return F.unix_micros(utc_ts(col)).cast("double") / 3.6e9
+def hours(df: DataFrame, col: str):
+    """Hours since the epoch, as double, independent of the session time zone."""
+    from ..functions.timecols import epoch_hours
+    return epoch_hours(df, col)

@@ -66,3 +66,15 @@ def test_select_group_and_squeeze(spark):
     df = spark.createDataFrame([(list(map(float, range(18))),)], "x array<double>")
     assert df.select(fe.select_group("x", 1, 9)).first()[0] == list(map(float, range(9, 18)))
     assert df.select(fe.squeeze_label(F.array(F.lit(7)))).first()[0] == 7
+
+
+def test_statistics_do_not_depend_on_session_time_zone(spark):
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    utc = sorted(map(tuple, fe.variable_stats(ev, "user_id", "event_type", "ts", "value", "event_id").collect()))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        la = sorted(map(tuple, fe.variable_stats(ev, "user_id", "event_type", "ts", "value", "event_id").collect()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert utc == la
