@@ -363,8 +363,8 @@ def q_a2(spark, sf_dir):
 @register("a10_dataset_summary")
 def q_a10(spark, sf_dir):
     from ..operators.summary import dataset_summary
-    from .cohort import cohort_features, cohort_labels
-    data = al.align_many(cohort_features(spark, sf_dir), cohort_labels(spark, sf_dir))
+    # features x the three label sets (J2), materialized once per session and shared with training
+    data = cohort_prepared(spark, sf_dir)
     return dataset_summary(data, "features", ["y_mortality", "y_los", "y_survival"])
 
 
