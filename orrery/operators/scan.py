@@ -28,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root, default_parallelism
+from ..session import checkpoint_root
 
 _PID = "__pid"
 
@@ -46,13 +46,14 @@ def prefix_sums(df: DataFrame, by: Sequence[str], order: Sequence[str], values:
     """
     by, order, values = list(by), list(order), list(values)
     spark = df.sparkSession
-    n_parts = num_partitions or default_parallelism(spark)
     checkpoint_root(spark)
     # Both passes below must see the same partition of every row.  Range
     # bounds are sampled from the input, and input arriving from a shuffle has
     # no fixed row order, so two evaluations could disagree; a reliable
     # checkpoint fixes the partitioning once (and cuts the lineage).
-    ranged = (df.repartitionByRange(n_parts, *_cols(by + order))
+    # Without an explicit count, AQE sizes the range partitions from the data
+    # (adjacent ranges are coalesced, so each partition stays one contiguous range).
+    ranged = (df.repartitionByRange(*([num_partitions] if num_partitions else []), *_cols(by + order))
               .checkpoint(eager=True)
               .withColumn(_PID, F.spark_partition_id()))
 

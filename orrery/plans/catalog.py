@@ -16,6 +16,7 @@ from ..functions import nn
 from ..operators import align as al
 from ..operators import auc as au
 from ..operators import split as sp
+from ..session import ship_package
 from .tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,8 +24,14 @@ QUERIES: dict[str, Query] = {}
 
 
 def register(name: str):
+    """Register a query; the registered callable first ships this package to the executors."""
     def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf_dir)
+        run.__name__ = run.__qualname__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         return fn
     return deco
 

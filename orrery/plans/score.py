@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from ..functions import nn
 from ..operators import auc as au
 from ..operators.encode import one_hot
+from ..session import ship_package
 from .net import NetSpec, forward
 
 
@@ -34,6 +35,7 @@ def predict(df: DataFrame, spec: NetSpec, theta: np.ndarray, features: str = "fe
     ``keep`` columns pass through (default: all but the features).
     """
     spark = df.sparkSession
+    ship_package(spark)
     keep = [c for c in (keep if keep is not None else df.columns) if c != features]
     in_df = df.select(*keep, F.col(features).cast("array<double>").alias("__x"))
     bc = spark.sparkContext.broadcast((spec.to_json(), theta))
@@ -129,6 +131,7 @@ def epoch_histograms(df: DataFrame, spec: NetSpec, theta: np.ndarray, steps: int
     them.  Loss rows use ``bin = -1`` (``loss_sum``, ``n``).
     """
     spark = df.sparkSession
+    ship_package(spark)
     labels = [h.label for h in spec.heads]
     in_df = df.select(F.col(split).alias("split"), F.col(features).cast("array<double>").alias("__x"),
                       *[F.col(c).cast("double").alias(c) for c in labels])

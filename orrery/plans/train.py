@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
+from ..session import checkpoint_root, ship_package
 from .net import NetSpec, init_params, train_pass
 from .score import arrow_matrix, epoch_metrics, evaluate, predict
 
@@ -81,6 +81,7 @@ _EPOCH_SCHEMA = "shard int, rows long, steps long, loss_sum double, seconds doub
 
 
 def _epoch_job(sharded: DataFrame, spec: NetSpec, state):
+    ship_package(sharded.sparkSession)
     sc = sharded.sparkSession.sparkContext
     bc = sc.broadcast(state)
     spec_json, width = spec.to_json(), spec.n_in

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.scan import row_number_within
+from ..session import ship_package
 from ..operators.split import slice_records
 
 ID_PATTERN = r"^(\d+)\.csv$"
@@ -133,6 +134,7 @@ def write_numbered_csv(df: DataFrame, path: str, id_col: str, array_col: str,
     """
     from pyarrow import fs as pafs
 
+    ship_package(df.sparkSession)
     if order_col is None:
         data = df.select(F.col(id_col).cast("long").alias("__id"), F.col(array_col).alias("__x"))
     else:

@@ -24,15 +24,27 @@ def histogram_stream(scored: DataFrame, keys: Sequence[str], y: str = "y", p: st
 
 
 def accumulate_histograms(spark: SparkSession, src: str, schema: str, keys: Sequence[str], out: str,
-                          checkpoint: str, steps: int = 100, max_files_per_trigger: int = 1) -> DataFrame:
-    """Run the stream over the Parquet files under ``src`` (available now) and return the histogram."""
+                          checkpoint: str, steps: int = 100, max_files_per_trigger: int = 1,
+                          state_partitions: int = 4) -> DataFrame:
+    """Run the stream over the Parquet files under ``src`` (available now) and return the histogram.
+
+    The state holds at most (groups x (steps+1)) rows, so it gets a few state
+    partitions of its own (fixed in the checkpoint at the first start) rather
+    than the session's shuffle partition count.
+    """
     scored = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(src)
 
     def publish(batch: DataFrame, _batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(out)
 
-    q = (histogram_stream(scored, keys, steps=steps).writeStream.outputMode("complete")
-         .option("checkpointLocation", checkpoint).foreachBatch(publish)
-         .trigger(availableNow=True).start())
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        q = (histogram_stream(scored, keys, steps=steps).writeStream.outputMode("complete")
+             .option("checkpointLocation", checkpoint).foreachBatch(publish)
+             .trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(key, old)
     q.awaitTermination()
     return spark.read.parquet(out)
