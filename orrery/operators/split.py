@@ -39,15 +39,19 @@ def split_expr(id_col: str, train_end, valid_end) -> Column:
 
 
 def assign_split(df: DataFrame, id_col: str = "record_id", n_train: int | float = NB_TRAIN,
-                 n_valid: int | float = NB_VALID, split_col: str = "split") -> DataFrame:
+                 n_valid: int | float = NB_VALID, split_col: str = "split",
+                 id_space: DataFrame | None = None) -> DataFrame:
     """Contiguous id ranges; test is the remainder.
 
     Integers are absolute id bounds (the reference: [0,3200), [3200,3600),
     [3600, ...)).  Fractions are shares of the id space ``max(id)+1``; that
-    bound is a scalar subquery, evaluated once, not a join.
+    bound is a scalar subquery, evaluated once, not a join.  ``id_space`` is
+    a narrow DataFrame holding the same ids (``id_col``) to take the maximum
+    from, so an expensive ``df`` is not computed a second time for one number.
     """
     if isinstance(n_train, float) or isinstance(n_valid, float):
-        size = df.select((F.max(id_col) + 1).alias("n")).scalar()
+        src = id_space if id_space is not None else df
+        size = src.select((F.max(id_col) + 1).alias("n")).scalar()
         train_end = F.floor(size * F.lit(float(n_train)))
         valid_end = F.floor(size * F.lit(float(n_train) + float(n_valid)))
     else:

@@ -523,8 +523,11 @@ def q_s7(spark, sf_dir):
 def cohort_dataset(spark, sf_dir) -> DataFrame:
     """(record_id, split, features, y_mortality, y_los, y_survival): 80/10/10 by id."""
     from .cohort import cohort_features, cohort_labels
-    d = al.align_many(cohort_features(spark, sf_dir), cohort_labels(spark, sf_dir))
-    return sp.assign_split(d, "record_id", 0.8, 0.1)
+    labels = cohort_labels(spark, sf_dir)
+    d = al.align_many(cohort_features(spark, sf_dir), labels)
+    # the aligned ids, from narrow inputs: every order has a feature row
+    ids = al.align_many(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("record_id")), labels)
+    return sp.assign_split(d, "record_id", 0.8, 0.1, id_space=ids)
 
 
 _FITS: dict = {}
