@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_root, ship_package
-from .net import NetSpec, init_params, train_pass
-from .score import arrow_matrix, epoch_metrics, evaluate, predict
+from .net import NetSpec, forward, init_params, train_pass
+from .score import arrow_matrix, evaluate, predict
 
 ROWS_PER_SHARD = 4096
 
@@ -77,19 +77,87 @@ def shard(train: DataFrame, k: int) -> DataFrame:
 
 
 _EPOCH_SCHEMA = "shard int, rows long, steps long, loss_sum double, seconds double, " \
-                "theta binary, m binary, v binary"
-
-
-def _epoch_job(sharded: DataFrame, spec: NetSpec, state):
-    ship_package(sharded.sparkSession)
-    sc = sharded.sparkSession.sparkContext
+                "theta binary, m binary, v binary, hist binary, losses binary"
+
+EVAL_SPLITS = ("train", "valid")
+
+
+def _slots(spec: NetSpec) -> list[tuple[int, str, int]]:
+    """(head index, task, class) of every one-vs-rest ROC histogram."""
+    return [(i, h.task, c) for i, h in enumerate(spec.heads) for c in range(h.n)]
+
+
+def _hist_shapes(spec: NetSpec, steps: int):
+    return (len(EVAL_SPLITS), len(_slots(spec)), steps + 1, 2), (len(EVAL_SPLITS), len(spec.heads), 2)
+
+
+def _accumulate(sp: NetSpec, probs, Y, split_idx: int, H, L, steps: int) -> None:
+    """Add one chunk's ROC histograms (positives, negatives per bin) and loss sums."""
+    from .net import CLIP
+    slot = 0
+    for hi, h in enumerate(sp.heads):
+        y = Y[h.task]
+        ok = ~np.isnan(y)
+        yv = y[ok]
+        p = probs[h.task][ok]
+        if h.n == 1:
+            cols = [(p, yv == 1)]
+            loss = -(yv * np.log(np.clip(p, CLIP, 1 - CLIP)) + (1 - yv) * np.log(np.clip(1 - p, CLIP, 1 - CLIP)))
+        else:
+            yi = yv.astype(np.int64)
+            cols = [(p[:, c], yi == c) for c in range(h.n)]
+            loss = -np.log(np.clip(p[np.arange(len(yi)), yi], CLIP, 1 - CLIP))
+        L[split_idx, hi, 0] += float(loss.sum())
+        L[split_idx, hi, 1] += len(yv)
+        for pc, pos in cols:
+            bins = np.clip(np.floor(np.round(pc * steps, 9)), 0, steps).astype(np.int64)
+            H[split_idx, slot, :, 0] += np.bincount(bins[pos], minlength=steps + 1)
+            H[split_idx, slot, :, 1] += np.bincount(bins[~pos], minlength=steps + 1)
+            slot += 1
+
+
+def _metrics_from(spec: NetSpec, H, L, splits: Sequence[str]) -> list[dict]:
+    """Binned AUC per (split, task) -- macro over classes -- and mean loss, from merged histograms."""
+    from .score import trapezoid_auc
+    out = []
+    slots = _slots(spec)
+    for si, s in enumerate(EVAL_SPLITS):
+        if s not in splits:
+            continue
+        for hi, h in enumerate(spec.heads):
+            n = int(L[si, hi, 1])
+            if n == 0:
+                continue
+            aucs = [trapezoid_auc([(b, int(H[si, k, b, 0]), int(H[si, k, b, 1])) for b in range(H.shape[2])
+                                   if H[si, k, b, 0] or H[si, k, b, 1]])
+                    for k, (hj, _t, _c) in enumerate(slots) if hj == hi]
+            defined = [a for a in aucs if a is not None]
+            out.append({"split": s, "task": h.task, "auc": float(np.mean(defined)) if defined else None,
+                        "n_classes": len(defined), "loss": float(L[si, hi, 0] / n), "rows": n})
+    return out
+
+
+def _epoch_job(data: DataFrame, spec: NetSpec, state, train: bool = True, evaluate: bool = True,
+               steps: int = 100):
+    """One pass over ``data`` (train shards, optionally followed by evaluation-only partitions).
+
+    Every chunk is first scored with the incoming weights (ROC histograms and
+    loss sums of the previous epoch's model), then, for rows of the train
+    split, used for mini-batch Adam.  Returns the merged state sums, the
+    per-shard info and the merged histograms.
+    """
+    ship_package(data.sparkSession)
+    sc = data.sparkSession.sparkContext
     bc = sc.broadcast(state)
     spec_json, width = spec.to_json(), spec.n_in
+    hshape, lshape = _hist_shapes(spec, steps)
 
     def run(batches):
         from pyspark import TaskContext
         sp = NetSpec.from_json(spec_json)
         theta, m, v, t = bc.value
+        H = np.zeros(hshape, dtype=np.int64)
+        L = np.zeros(lshape)
         t0 = time.time()
 
         def chunks():
@@ -99,34 +167,60 @@ def _epoch_job(sharded: DataFrame, spec: NetSpec, state):
                 X = arrow_matrix(b.column("features"), width)
                 Y = {h.task: b.column(h.label).to_numpy(zero_copy_only=False).astype(np.float64)
                      for h in sp.heads}
-                yield X, Y
-
-        th, mm, vv, _t, rows, steps, loss_sum = train_pass(sp, theta.copy(), m.copy(), v.copy(), t, chunks())
+                split = np.asarray(b.column("split").to_pylist(), dtype=object)
+                if evaluate:
+                    probs = forward(sp, theta, X)
+                    for si, s in enumerate(EVAL_SPLITS):
+                        sel = split == s
+                        if sel.any():
+                            _accumulate(sp, {k: p[sel] for k, p in probs.items()},
+                                        {k: y[sel] for k, y in Y.items()}, si, H, L, steps)
+                if train:
+                    sel = split == "train"
+                    if sel.all():
+                        yield X, Y
+                    elif sel.any():
+                        yield X[sel], {k: y[sel] for k, y in Y.items()}
+
+        if train:
+            th, mm, vv, _t, rows, n_steps, loss_sum = train_pass(sp, theta.copy(), m.copy(), v.copy(), t, chunks())
+        else:
+            for _ in chunks():
+                pass
+            th = mm = vv = None
+            rows = n_steps = 0
+            loss_sum = 0.0
         yield pa.RecordBatch.from_pydict({
-            "shard": [TaskContext.get().partitionId()], "rows": [rows], "steps": [steps],
+            "shard": [TaskContext.get().partitionId()], "rows": [rows], "steps": [n_steps],
             "loss_sum": [loss_sum], "seconds": [time.time() - t0],
-            "theta": [th.tobytes()], "m": [mm.tobytes()], "v": [vv.tobytes()]},
+            "theta": [th.tobytes() if rows else b""], "m": [mm.tobytes() if rows else b""],
+            "v": [vv.tobytes() if rows else b""], "hist": [H.tobytes()], "losses": [L.tobytes()]},
             schema=pa.schema([("shard", pa.int32()), ("rows", pa.int64()), ("steps", pa.int64()),
                               ("loss_sum", pa.float64()), ("seconds", pa.float64()),
-                              ("theta", pa.binary()), ("m", pa.binary()), ("v", pa.binary())]))
+                              ("theta", pa.binary()), ("m", pa.binary()), ("v", pa.binary()),
+                              ("hist", pa.binary()), ("losses", pa.binary())]))
 
     def to_acc(r):
         n = r["rows"]
-        info = [(r["shard"], n, r["steps"], r["loss_sum"], r["seconds"])]
+        info = [(r["shard"], n, r["steps"], r["loss_sum"], r["seconds"])] if n else []
+        H = np.frombuffer(r["hist"], dtype=np.int64).reshape(hshape)
+        L = np.frombuffer(r["losses"]).reshape(lshape)
         if n == 0:
-            return (0, None, None, None, 0, info)
+            return (0, None, None, None, 0, info, H, L)
         f = float(n)
         return (n, np.frombuffer(r["theta"]) * f, np.frombuffer(r["m"]) * f, np.frombuffer(r["v"]) * f,
-                r["steps"], info)
+                r["steps"], info, H, L)
 
     def add(a, b):
         if a[0] == 0:
-            return (b[0], b[1], b[2], b[3], max(a[4], b[4]), a[5] + b[5])
-        if b[0] == 0:
-            return (a[0], a[1], a[2], a[3], max(a[4], b[4]), a[5] + b[5])
-        return (a[0] + b[0], a[1] + b[1], a[2] + b[2], a[3] + b[3], max(a[4], b[4]), a[5] + b[5])
-
-    out = sharded.mapInArrow(run, _EPOCH_SCHEMA)
+            s = (b[0], b[1], b[2], b[3])
+        elif b[0] == 0:
+            s = (a[0], a[1], a[2], a[3])
+        else:
+            s = (a[0] + b[0], a[1] + b[1], a[2] + b[2], a[3] + b[3])
+        return (*s, max(a[4], b[4]), a[5] + b[5], a[6] + b[6], a[7] + b[7])
+
+    out = data.mapInArrow(run, _EPOCH_SCHEMA)
     acc = out.rdd.map(to_acc).treeReduce(add, depth=2)
     bc.unpersist()
     return acc
@@ -139,6 +233,11 @@ def fit(df: DataFrame, spec: NetSpec, features: str = "features", id_col: str =
         eval_method: str = "binned", prepared: DataFrame | None = None) -> FitResult:
     """M3/M4/M5: train ``spec`` on rows with split = 'train'; evaluate train+valid every epoch (V3).
 
+    With the binned (reference) evaluation, epoch e's metrics are computed in
+    epoch e+1's job -- training tasks score their rows with the incoming
+    weights, which are exactly epoch e's model, and extra tasks score the
+    validation rows -- and one evaluation-only job follows the last epoch.
+    So each epoch is one Spark job and the train split is read once per epoch.
     The test split never reaches training or per-epoch evaluation.
     """
     data = prepared if prepared is not None else prepare(df, spec, features, id_col, split_col)
@@ -148,14 +247,34 @@ def fit(df: DataFrame, spec: NetSpec, features: str = "features", id_col: str =
     n_train = train.count()
     k = shards or shard_count(n_train, rows_per_shard)
     sharded = shard(train, k)
+    fused = eval_method == "binned"
+    unknown = set(eval_splits) - set(EVAL_SPLITS)
+    if unknown:
+        raise ValueError(f"per-epoch evaluation covers {EVAL_SPLITS} only, not {sorted(unknown)}")
+    job_input = sharded
+    if fused and "valid" in eval_splits:
+        job_input = sharded.unionByName(data.where(F.col("split") == "valid"))
     evald = data.where(F.col("split").isin(list(eval_splits)))
 
     theta = init_params(spec)
     m, v, t = np.zeros_like(theta), np.zeros_like(theta), 0
     res = FitResult(spec=spec, theta=theta, shards=k)
+    t_prev = time.time()
+
+    def record(epoch: int, rows_ev: list[dict], secs: float) -> None:
+        for r in rows_ev:
+            r.update(epoch=epoch, seconds=secs)
+            res.metrics.append(r)
+        if on_epoch_end is not None:
+            on_epoch_end(epoch, res, rows_ev)
+
     for epoch in range(spec.epochs):
         t0 = time.time()
-        n, s_theta, s_m, s_v, max_steps, info = _epoch_job(sharded, spec, (theta, m, v, t))
+        n, s_theta, s_m, s_v, max_steps, info, H, L = _epoch_job(
+            job_input, spec, (theta, m, v, t), train=True, evaluate=fused and epoch > 0 and bool(eval_splits))
+        if fused and epoch > 0 and eval_splits:
+            record(epoch - 1, _metrics_from(spec, H, L, eval_splits), t0 - t_prev)
+            t_prev = t0
         if n > 0:
             theta, m, v = s_theta / n, s_m / n, s_v / n
             t += max_steps
@@ -163,19 +282,14 @@ def fit(df: DataFrame, spec: NetSpec, features: str = "features", id_col: str =
         for shard_id, rows, steps, loss_sum, secs in info:
             res.history.append({"epoch": epoch, "shard": int(shard_id), "rows": int(rows), "steps": int(steps),
                                 "loss": float(loss_sum / rows) if rows else None, "seconds": float(secs)})
-        rows_ev = []
-        if eval_splits:
-            if eval_method == "binned":
-                rows_ev = epoch_metrics(evald, spec, theta)
-            else:
-                pred = predict(evald, spec, theta, keep=["split", *[h.label for h in spec.heads]])
-                rows_ev = [r.asDict() for r in evaluate(pred, spec, ["split"], method=eval_method).collect()]
-        secs = time.time() - t0
-        for r in rows_ev:
-            r.update(epoch=epoch, seconds=secs)
-            res.metrics.append(r)
-        if on_epoch_end is not None:
-            on_epoch_end(epoch, res, rows_ev)
+        if not fused and eval_splits:
+            pred = predict(evald, spec, theta, keep=["split", *[h.label for h in spec.heads]])
+            rows_ev = [r.asDict() for r in evaluate(pred, spec, ["split"], method=eval_method).collect()]
+            record(epoch, rows_ev, time.time() - t0)
+    if fused and eval_splits and spec.epochs > 0:
+        t0 = time.time()
+        *_, H, L = _epoch_job(job_input, spec, (theta, m, v, t), train=False, evaluate=True)
+        record(spec.epochs - 1, _metrics_from(spec, H, L, eval_splits), time.time() - t_prev)
     return res
 
 

@@ -110,3 +110,26 @@ def test_fixed_net_expression_equals_predict(spark):
     a = sorted(map(tuple, q_e8(spark, sf).collect()))
     b = sorted(map(tuple, q_v1(spark, sf).collect()))
     assert len(a) == len(b) and all(np.allclose(x[1:], y[1:], atol=2e-6) and x[0] == y[0] for x, y in zip(a, b))
+
+
+def test_in_training_evaluation_equals_separate_evaluation(spark):
+    _, _, df = _planted(spark, n=900)
+    spec = NetSpec(n_in=8, hidden=6, heads=[Head("t", 1, "y")], epochs=2)
+    seen = {}
+
+    def grab(epoch, res, rows):
+        seen[epoch] = res.theta.copy()
+
+    res = tr.fit(df, spec, shards=2, on_epoch_end=grab)
+    data = df.where("split in ('train', 'valid')").select("record_id", "split", "features",
+                                                           df["y"].cast("double").alias("y"))
+    assert np.array_equal(seen[1], res.theta)
+    for epoch in (0, 1):
+        sep = {(r["split"], r["task"]): r for r in epoch_metrics(data, spec, seen[epoch])}
+        fused = {(m["split"], m["task"]): m for m in res.metrics if m["epoch"] == epoch}
+        assert sep.keys() == fused.keys()
+        for k in sep:
+            assert fused[k]["auc"] == pytest.approx(sep[k]["auc"], abs=1e-12)
+            assert fused[k]["loss"] == pytest.approx(sep[k]["loss"], rel=1e-9)
+            assert fused[k]["rows"] == sep[k]["rows"]
+    assert sorted({m["epoch"] for m in res.metrics}) == [0, 1]
