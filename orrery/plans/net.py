@@ -161,13 +161,29 @@ def loss_and_grad(spec: NetSpec, theta: np.ndarray, X: np.ndarray,
     return total, np.concatenate([grads[name].ravel() for name, _ in spec.shapes()])
 
 
-def adam_step(spec: NetSpec, theta, m, v, t: int, g):
-    """One Adam update (Kingma & Ba 2015); ``t`` is the 1-based step count."""
-    m = ADAM_BETA1 * m + (1 - ADAM_BETA1) * g
-    v = ADAM_BETA2 * v + (1 - ADAM_BETA2) * g * g
-    mh = m / (1 - ADAM_BETA1 ** t)
-    vh = v / (1 - ADAM_BETA2 ** t)
-    return theta - spec.lr * mh / (np.sqrt(vh) + ADAM_EPS), m, v
+def adam_step(spec: NetSpec, theta, m, v, t: int, g, scratch=None):
+    """One Adam update (Kingma & Ba 2015), in place on ``theta``, ``m``, ``v``; ``t`` is the 1-based step.
+
+    The bias corrections are folded into the step size and epsilon
+    (lr * sqrt(1-b2^t)/(1-b1^t) and eps * sqrt(1-b2^t)), the same update
+    without the two extra full-length temporaries.
+    """
+    s = np.empty_like(g) if scratch is None else scratch
+    m *= ADAM_BETA1
+    np.multiply(g, 1 - ADAM_BETA1, out=s)
+    m += s
+    v *= ADAM_BETA2
+    np.multiply(g, g, out=s)
+    s *= 1 - ADAM_BETA2
+    v += s
+    c2 = np.sqrt(1 - ADAM_BETA2 ** t)
+    step = spec.lr * c2 / (1 - ADAM_BETA1 ** t)
+    np.sqrt(v, out=s)
+    s += ADAM_EPS * c2
+    np.divide(m, s, out=s)
+    s *= step
+    theta -= s
+    return theta, m, v
 
 
 def train_pass(spec: NetSpec, theta, m, v, t: int, batches, batch_size: int | None = None):
@@ -178,6 +194,8 @@ def train_pass(spec: NetSpec, theta, m, v, t: int, batches, batch_size: int | No
     Returns (theta, m, v, t, rows, steps, loss_sum).
     """
     B = batch_size or spec.batch
+    theta, m, v = theta.copy(), m.copy(), v.copy()      # updated in place below
+    scratch = np.empty_like(theta)
     carry_X, carry_Y = None, None
     rows = steps = 0
     loss_sum = 0.0
@@ -186,7 +204,7 @@ def train_pass(spec: NetSpec, theta, m, v, t: int, batches, batch_size: int | No
         nonlocal theta, m, v, t, rows, steps, loss_sum
         loss, g = loss_and_grad(spec, theta, Xb, Yb)
         t += 1
-        theta, m, v = adam_step(spec, theta, m, v, t, g)
+        theta, m, v = adam_step(spec, theta, m, v, t, g, scratch)
         rows += len(Xb)
         steps += 1
         loss_sum += loss * len(Xb)
