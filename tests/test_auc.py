@@ -116,3 +116,16 @@ def test_binned_converges_to_exact(spark):
     fine = au.auc_binned(au.roc_histogram(df, ["g"], steps=10000), ["g"], steps=10000).first()["auc"]
     assert abs(fine - exact) < abs(coarse - exact) and abs(fine - exact) < 1e-3
     assert not math.isnan(exact)
+
+
+def test_exact_auc_with_a_hot_group_over_many_partitions(spark):
+    rng = np.random.default_rng(9)
+    n = 3000
+    g = np.where(rng.random(n) < 0.34, 0, rng.integers(1, 6, n))
+    y = rng.integers(0, 2, n)
+    s = np.round(rng.random(n) + 0.3 * y, 3)
+    df = _df(spark, g=g.tolist(), y=y.tolist(), s=s.tolist())
+    got = {r["g"]: r["auc"] for r in au.auc_exact(df, ["g"], num_partitions=13).collect()}
+    for k in range(6):
+        sel = g == k
+        assert got[k] == pytest.approx(brute_auc(y[sel], s[sel]), abs=1e-12)
