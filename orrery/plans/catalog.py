@@ -544,13 +544,21 @@ def cohort_prepared(spark, sf_dir) -> DataFrame:
     return _PREPARED[k]
 
 
-def _fit_cached(spark, sf_dir, key: str, spec_fn):
-    """One training run per (session, data, config) shared by the queries that report on it."""
+def _fit_cached(spark, sf_dir, key: str, spec_fn, checkpoint: bool = False):
+    """One training run per (session, data, config) shared by the queries that report on it.
+
+    With ``checkpoint`` the model is saved after every epoch (overwrite), as
+    the reference does; the path is kept on the result for reloading.
+    """
+    from ..session import scratch_path
     from .train import fit
     k = (id(spark), sf_dir, key)
     if k not in _FITS:
         data = cohort_prepared(spark, sf_dir)
-        _FITS[k] = (data, fit(None, spec_fn(), prepared=data))
+        path = scratch_path(spark, f"model-{key}") if checkpoint else None
+        res = fit(None, spec_fn(), prepared=data, checkpoint_path=path)
+        res.checkpoint_path = path
+        _FITS[k] = (data, res)
     return _FITS[k]
 
 
@@ -567,6 +575,13 @@ def _spec_los():
     return NetSpec(n_in=WIDTH, hidden=750, heads=[Head("los", NB_LOS, "y_los")])
 
 
+def _spec_survival():
+    from ..operators.encode import NB_SURVIVAL
+    from .cohort import WIDTH
+    from .net import Head, NetSpec
+    return NetSpec(n_in=WIDTH, hidden=500, heads=[Head("survival", NB_SURVIVAL, "y_survival")])
+
+
 def _spec_multitask():
     from ..operators.encode import NB_LOS, NB_SURVIVAL
     from .cohort import WIDTH
@@ -597,16 +612,23 @@ def q_m4(spark, sf_dir):
     return _metrics_df(spark, res)
 
 
+@register("m4_fit_survival")
+def q_m4_survival(spark, sf_dir):
+    """M4, second configuration: survival buckets (5 classes, one unknown), 500-unit trunk."""
+    _, res = _fit_cached(spark, sf_dir, "survival", _spec_survival)
+    return _metrics_df(spark, res)
+
+
 @register("m5_fit_multitask")
 def q_m5(spark, sf_dir):
-    _, res = _fit_cached(spark, sf_dir, "multitask", _spec_multitask)
+    _, res = _fit_cached(spark, sf_dir, "multitask", _spec_multitask, checkpoint=True)
     return _metrics_df(spark, res)
 
 
 @register("v3_evaluate_per_epoch")
 def q_v3(spark, sf_dir):
     """Per-epoch train/valid AUC of the multi-task run, with the task mean beside it."""
-    _, res = _fit_cached(spark, sf_dir, "multitask", _spec_multitask)
+    _, res = _fit_cached(spark, sf_dir, "multitask", _spec_multitask, checkpoint=True)
     m = _metrics_df(spark, res).withColumn(
         "task_no", F.when(F.col("task") == "mortality", 0).when(F.col("task") == "los", 1).otherwise(2))
     mean = au.auc_task_mean(m, ["epoch", "split"])
@@ -617,21 +639,18 @@ def q_v3(spark, sf_dir):
 
 @register("t1_history")
 def q_t1(spark, sf_dir):
-    _, res = _fit_cached(spark, sf_dir, "multitask", _spec_multitask)
+    _, res = _fit_cached(spark, sf_dir, "multitask", _spec_multitask, checkpoint=True)
     rows = [(h["epoch"], h["shard"], h["rows"], h["steps"], h["loss"], h["seconds"]) for h in res.history]
     return spark.createDataFrame(rows, "epoch int, shard int, rows long, steps long, loss double, seconds double")
 
 
 @register("v4_final_report")
 def q_v4(spark, sf_dir):
-    """Checkpoint the trained model (S7), reload it and report train and test AUC."""
-    from ..session import scratch_path
-    from ..sources.models import load_model, save_model
+    """Reload the per-epoch model checkpoint (S7) and report train and test AUC."""
+    from ..sources.models import load_model
     from .train import FitResult, final_report
-    data, res = _fit_cached(spark, sf_dir, "multitask", _spec_multitask)
-    path = scratch_path(spark, "model-multitask")
-    save_model(spark, res.spec, res.theta, path)
-    spec, theta = load_model(spark, path)
+    data, res = _fit_cached(spark, sf_dir, "multitask", _spec_multitask, checkpoint=True)
+    spec, theta = load_model(spark, res.checkpoint_path)
     return final_report(data, FitResult(spec=spec, theta=theta))
 
 
@@ -639,7 +658,7 @@ def q_v4(spark, sf_dir):
 def q_s6(spark, sf_dir):
     from ..session import scratch_path
     from ..sources.store import read_metrics, write_metrics
-    _, res = _fit_cached(spark, sf_dir, "multitask", _spec_multitask)
+    _, res = _fit_cached(spark, sf_dir, "multitask", _spec_multitask, checkpoint=True)
     path = scratch_path(spark, "metrics")
     m = _metrics_df(spark, res).withColumn("run_id", F.lit("multitask"))
     write_metrics(m, path)

@@ -38,6 +38,7 @@ class FitResult:
     metrics: list[dict] = field(default_factory=list)   # epoch, split, task, auc, n_classes, loss, rows, seconds
     history: list[dict] = field(default_factory=list)   # epoch, shard, rows, steps, loss, seconds
     shards: int = 1
+    checkpoint_path: str | None = None
 
 
 def prepare(df: DataFrame, spec: NetSpec, features: str = "features", id_col: str = "record_id",
@@ -230,9 +231,13 @@ def fit(df: DataFrame, spec: NetSpec, features: str = "features", id_col: str =
         split_col: str = "split", shards: int | None = None, rows_per_shard: int = ROWS_PER_SHARD,
         standardize: bool = True, eval_splits: Sequence[str] = ("train", "valid"),
         on_epoch_end: Callable[[int, FitResult, list[dict]], None] | None = None,
-        eval_method: str = "binned", prepared: DataFrame | None = None) -> FitResult:
+        eval_method: str = "binned", prepared: DataFrame | None = None,
+        checkpoint_path: str | None = None) -> FitResult:
     """M3/M4/M5: train ``spec`` on rows with split = 'train'; evaluate train+valid every epoch (V3).
 
+    ``checkpoint_path``: the model is saved there (S7, overwrite) after every
+    epoch, so the last completed epoch survives a lost driver.
+
     With the binned (reference) evaluation, epoch e's metrics are computed in
     epoch e+1's job -- training tasks score their rows with the incoming
     weights, which are exactly epoch e's model, and extra tasks score the
@@ -258,7 +263,7 @@ def fit(df: DataFrame, spec: NetSpec, features: str = "features", id_col: str =
 
     theta = init_params(spec)
     m, v, t = np.zeros_like(theta), np.zeros_like(theta), 0
-    res = FitResult(spec=spec, theta=theta, shards=k)
+    res = FitResult(spec=spec, theta=theta, shards=k, checkpoint_path=checkpoint_path)
     t_prev = time.time()
 
     def record(epoch: int, rows_ev: list[dict], secs: float) -> None:
@@ -279,6 +284,9 @@ def fit(df: DataFrame, spec: NetSpec, features: str = "features", id_col: str =
             theta, m, v = s_theta / n, s_m / n, s_v / n
             t += max_steps
         res.theta = theta
+        if checkpoint_path:
+            from ..sources.models import save_model
+            save_model(data.sparkSession, spec, theta, checkpoint_path)
         for shard_id, rows, steps, loss_sum, secs in info:
             res.history.append({"epoch": epoch, "shard": int(shard_id), "rows": int(rows), "steps": int(steps),
                                 "loss": float(loss_sum / rows) if rows else None, "seconds": float(secs)})
