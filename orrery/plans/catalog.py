@@ -538,7 +538,7 @@ def cohort_prepared(spark, sf_dir) -> DataFrame:
     """The cohort with all three label sets, typed and checkpointed once per (session, data):
     the training and reporting queries of a session read the same materialized input."""
     from .train import prepare
-    k = (id(spark), sf_dir)
+    k = (spark.sparkContext.applicationId, sf_dir)
     if k not in _PREPARED:
         _PREPARED[k] = prepare(cohort_dataset(spark, sf_dir), _spec_multitask())
     return _PREPARED[k]
@@ -552,7 +552,7 @@ def _fit_cached(spark, sf_dir, key: str, spec_fn, checkpoint: bool = False):
     """
     from ..session import scratch_path
     from .train import fit
-    k = (id(spark), sf_dir, key)
+    k = (spark.sparkContext.applicationId, sf_dir, key)
     if k not in _FITS:
         data = cohort_prepared(spark, sf_dir)
         path = scratch_path(spark, f"model-{key}") if checkpoint else None
