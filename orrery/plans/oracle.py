@@ -204,7 +204,7 @@ ranked AS (
   SELECT task, epoch, auc, row_number() OVER (PARTITION BY task ORDER BY auc DESC, epoch ASC) AS rk
   FROM ex WHERE split = 'valid' AND auc IS NOT NULL
 )
-SELECT r.task, CAST(r.epoch AS BIGINT) AS best_epoch, round(r.auc, 6) AS valid_auc, round(t.auc, 6) AS test_auc
+SELECT r.task, CAST(r.epoch AS INTEGER) AS best_epoch, round(r.auc, 6) AS valid_auc, round(t.auc, 6) AS test_auc
 FROM ranked r LEFT JOIN ex t ON t.task = r.task AND t.epoch = r.epoch AND t.split = 'test'
 WHERE r.rk = 1
 """
@@ -379,10 +379,10 @@ FROM documents d JOIN labels l ON d.doc_id = l.doc_id
 # ------------------------------------------------------------- encodings
 
 ORACLE["e1_one_hot"] = "SELECT vec_id, " + ", ".join(
-    f"CASE WHEN label = {i} THEN 1.0 ELSE 0.0 END AS oh_{i}" for i in range(10)) + " FROM embeddings"
+    f"CAST(CASE WHEN label = {i} THEN 1 ELSE 0 END AS DOUBLE) AS oh_{i}" for i in range(10)) + " FROM embeddings"
 
 ORACLE["e2_one_hot_nullable"] = "SELECT doc_id, " + ", ".join(
-    f"CASE WHEN lang = '{v}' THEN 1.0 ELSE 0.0 END AS lang_{v}" for v in ["en", "fr", "de"]) + " FROM documents"
+    f"CAST(CASE WHEN lang = '{v}' THEN 1 ELSE 0 END AS DOUBLE) AS lang_{v}" for v in ["en", "fr", "de"]) + " FROM documents"
 
 LINE_DAYS = """
 ld AS (
@@ -470,7 +470,7 @@ SELECT user_id AS record_id, CAST(row_number() OVER (PARTITION BY user_id ORDER
 FROM events
 """
 ORACLE["s4_read_dataset"] = """
-SELECT vec_id AS record_id, CAST(label AS DOUBLE) AS y_label, CASE WHEN label >= 5 THEN 1.0 ELSE 0.0 END AS y_high,
+SELECT vec_id AS record_id, CAST(label AS DOUBLE) AS y_label, CAST(CASE WHEN label >= 5 THEN 1 ELSE 0 END AS DOUBLE) AS y_high,
        CAST(len(embedding) AS INTEGER) AS width,
        round(CAST(embedding[1] AS DOUBLE), 6) AS f0, round(CAST(embedding[64] AS DOUBLE), 6) AS f63
 FROM embeddings
