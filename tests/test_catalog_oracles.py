@@ -4,12 +4,14 @@ import math
 
 import duckdb
 import pytest
+from pyspark.sql import types as T
 
 import __spark_entry__ as E
 from orrery.plans.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
 ORACLES = E.oracle_sql()
+DUCK_TYPE = {T.LongType: "BIGINT", T.IntegerType: "INTEGER", T.DoubleType: "DOUBLE", T.StringType: "VARCHAR"}
 
 
 @pytest.fixture(scope="module")
@@ -41,6 +43,9 @@ def test_query_matches_oracle(spark, con, name):
     res = con.execute(ORACLES[name])
     dcols = [d[0] for d in res.description]
     assert sorted(sdf.columns) == sorted(dcols)
+    dtypes = {r[0]: r[1] for r in con.execute(f"DESCRIBE {ORACLES[name]}").fetchall()}
+    for f in sdf.schema.fields:
+        assert DUCK_TYPE.get(type(f.dataType), str(f.dataType)) == dtypes[f.name], (f.name, f.dataType)
     got, exp = _rows(sdf.columns, [tuple(r) for r in sdf.collect()]), _rows(dcols, res.fetchall())
     assert len(got) == len(exp)
     for a, b in zip(got, exp):
