@@ -42,11 +42,12 @@ def test_query_matches_oracle(spark, con, name):
     sdf = E.queries()[name](spark, SF)
     res = con.execute(ORACLES[name])
     dcols = [d[0] for d in res.description]
+    drows = res.fetchall()
     assert sorted(sdf.columns) == sorted(dcols)
     dtypes = {r[0]: r[1] for r in con.execute(f"DESCRIBE {ORACLES[name]}").fetchall()}
     for f in sdf.schema.fields:
         assert DUCK_TYPE.get(type(f.dataType), str(f.dataType)) == dtypes[f.name], (f.name, f.dataType)
-    got, exp = _rows(sdf.columns, [tuple(r) for r in sdf.collect()]), _rows(dcols, res.fetchall())
+    got, exp = _rows(sdf.columns, [tuple(r) for r in sdf.collect()]), _rows(dcols, drows)
     assert len(got) == len(exp)
     for a, b in zip(got, exp):
         for x, y in zip(a, b):
