@@ -31,20 +31,24 @@ def dataset_summary(df: DataFrame, features: str, targets: Sequence[str], id_col
                       F.lit(sh["first_record"]).cast("long").alias("first_record"))
 
 
-def best_epoch(metrics: DataFrame, keys: Sequence[str], epoch: str = "epoch", split: str = "split",
-               auc_col: str = "auc", select_on: str = "valid", report: str = "test") -> DataFrame:
-    """The epoch with the best validation AUC (lowest epoch on ties), never chosen on test.
+def best_epoch(metrics: DataFrame, keys: Sequence[str], epoch: str | Sequence[str] = "epoch",
+               split: str = "split", auc_col: str = "auc", select_on: str = "valid",
+               report: str = "test") -> DataFrame:
+    """The epoch (or any candidate, e.g. (config, epoch)) with the best validation AUC, never chosen on test.
 
-    Returns the chosen epoch, its validation AUC and the reported (test) AUC
-    of that epoch.
+    Ties go to the lowest candidate.  Returns the chosen candidate columns
+    (``best_<name>``), its validation AUC and the reported (test) AUC of the
+    same candidate.  One grouped ``max_by`` per key: no window, no sort.
     """
+    cand = [epoch] if isinstance(epoch, str) else list(epoch)
     v = metrics.where(F.col(split) == select_on).where(F.col(auc_col).isNotNull())
-    best = v.groupBy(*keys).agg(
-        F.max_by(F.col(epoch), F.struct(F.col(auc_col), -F.col(epoch))).alias("best_epoch"),
-        F.max(auc_col).alias("valid_auc"))
-    rep = metrics.where(F.col(split) == report).select(*keys, F.col(epoch).alias("best_epoch"),
+    order = F.struct(F.col(auc_col), *[(-F.col(c)).alias(f"neg_{c}") for c in cand])
+    best = v.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in cand]), order).alias("__best"),
+                                F.max(auc_col).alias("valid_auc"))
+    best = best.select(*keys, *[F.col(f"__best.{c}").alias(f"best_{c}") for c in cand], "valid_auc")
+    rep = metrics.where(F.col(split) == report).select(*keys, *[F.col(c).alias(f"best_{c}") for c in cand],
                                                         F.col(auc_col).alias("test_auc"))
-    return best.join(rep, [*keys, "best_epoch"], "left")
+    return best.join(rep, [*keys, *[f"best_{c}" for c in cand]], "left")
 
 
 def first_records(df: DataFrame, n: int, id_col: str = "record_id") -> DataFrame:

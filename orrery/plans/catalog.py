@@ -697,10 +697,9 @@ def q_m7(spark, sf_dir):
         res = fit(None, spec, prepared=data, eval_splits=("valid",))
         rows += [(gi, lr, hidden, m["epoch"], m["split"], m["auc"]) for m in res.metrics]
     metrics = spark.createDataFrame(rows, "config int, lr double, hidden int, epoch int, split string, auc double")
-    metrics = metrics.withColumn("epoch", F.col("config") * 1000 + F.col("epoch"))
-    best = best_epoch(metrics.withColumn("task", F.lit("mortality")), ["task"])
-    return best.select("task", (F.col("best_epoch") / 1000).cast("int").alias("config"),
-                       (F.col("best_epoch") % 1000).alias("epoch"), "valid_auc")
+    best = best_epoch(metrics.withColumn("task", F.lit("mortality")), ["task"], epoch=["config", "epoch"])
+    return best.select("task", F.col("best_config").alias("config"), F.col("best_epoch").alias("epoch"),
+                       "valid_auc")
 
 
 # ---------------------------------------------------------------- streaming forms (S1+S5, A3)

@@ -31,3 +31,14 @@ def test_alignment_audit(spark):
     r = al.alignment_audit(f, {"y": l}).first()
     assert (r["matched"], r["missing_labels"], r["missing_features"], r["dup_feature_ids"], r["dup_label_ids"]) == \
         (2, 1, 1, 1, 1)
+
+
+def test_best_epoch_ties_and_multi_candidates(spark):
+    from orrery.operators.summary import best_epoch
+    rows = [("t", 1, 0, "valid", 0.7), ("t", 1, 1, "valid", 0.8), ("t", 2, 0, "valid", 0.8),
+            ("t", 1, 1, "test", 0.6), ("t", 2, 0, "test", 0.9)]
+    m = spark.createDataFrame(rows, "task string, config int, epoch int, split string, auc double")
+    r = best_epoch(m, ["task"], epoch=["config", "epoch"]).first()
+    assert (r["best_config"], r["best_epoch"], r["valid_auc"], r["test_auc"]) == (1, 1, 0.8, 0.6)
+    r = best_epoch(m.where("config = 1"), ["task"]).first()
+    assert (r["best_epoch"], r["test_auc"]) == (1, 0.6)
