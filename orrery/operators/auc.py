@@ -39,11 +39,16 @@ def expand_classes(scored: DataFrame, y: str = "y", p: str = "p", cls: str = "cl
                     (F.col("__y") == F.col(cls)).cast("int").alias(y), F.col("__p").alias(p)))
 
 
+def _valid(scored: DataFrame, y: str, p: str) -> DataFrame:
+    """Rows with both a label and a score; labels other than 0/1 count as neither class."""
+    return scored.where(F.col(y).isNotNull() & F.col(p).isNotNull())
+
+
 def score_counts(scored: DataFrame, keys: Sequence[str], y: str = "y", p: str = "p") -> DataFrame:
     """Positives and negatives per distinct score (partial + final hash aggregate)."""
-    return scored.groupBy(*keys, p).agg(
-        F.sum(F.col(y).cast("double")).alias("pos"),
-        F.sum((1 - F.col(y)).cast("double")).alias("neg"))
+    return _valid(scored, y, p).groupBy(*keys, p).agg(
+        F.sum((F.col(y) == 1).cast("double")).alias("pos"),
+        F.sum((F.col(y) == 0).cast("double")).alias("neg"))
 
 
 def negatives_below(scored: DataFrame, keys: Sequence[str], y: str = "y", p: str = "p",
@@ -80,9 +85,9 @@ def score_bin(p, steps: int = 100):
 def roc_histogram(scored: DataFrame, keys: Sequence[str], y: str = "y", p: str = "p",
                   steps: int = 100) -> DataFrame:
     """A3: mergeable ROC state, positives and negatives per threshold bin (<= steps+1 rows a group)."""
-    return (scored.groupBy(*keys, score_bin(p, steps).alias("bin"))
-            .agg(F.sum(F.col(y).cast("long")).alias("pos"),
-                 F.sum((1 - F.col(y)).cast("long")).alias("neg")))
+    return (_valid(scored, y, p).groupBy(*keys, score_bin(p, steps).alias("bin"))
+            .agg(F.sum((F.col(y) == 1).cast("long")).alias("pos"),
+                 F.sum((F.col(y) == 0).cast("long")).alias("neg")))
 
 
 def merge_histograms(*hists: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -129,3 +129,10 @@ def test_exact_auc_with_a_hot_group_over_many_partitions(spark):
     for k in range(6):
         sel = g == k
         assert got[k] == pytest.approx(brute_auc(y[sel], s[sel]), abs=1e-12)
+
+
+def test_rows_without_label_or_score_are_skipped(spark):
+    rows = [(0, 1, 0.9), (0, 0, 0.1), (0, None, 0.5), (0, 1, None), (0, 0, 0.2)]
+    df = spark.createDataFrame(rows, "g int, y int, p double")
+    assert _one(df)[0] == 1.0
+    assert _one(df, "binned")[0] == 1.0
