@@ -142,7 +142,7 @@ def auc(scored: DataFrame, keys: Sequence[str], method: str = "exact", steps: in
 def auc_per_class(scored: DataFrame, keys: Sequence[str], method: str = "exact", steps: int = 100,
                   y: str = "y", p: str = "p", cls: str = "class") -> DataFrame:
     """One-vs-rest AUC of every class of a multiclass score array."""
-    return auc(expand_classes(scored, y, p, cls), [*keys, cls], method, steps, "y" if y == "y" else y, p)
+    return auc(expand_classes(scored, y, p, cls), [*keys, cls], method, steps, y, p)
 
 
 def auc_macro(per_class: DataFrame, keys: Sequence[str], auc_col: str = "auc") -> DataFrame:
