@@ -33,7 +33,9 @@ def _reader(spark: SparkSession, width: int, header: bool = False):
 
 
 def record_id_col():
-    return F.regexp_extract(F.col("_metadata.file_name"), ID_PATTERN, 1).cast("long")
+    """The record id from ``<id>.csv``; NULL for a file not named by a number (safe under ANSI casts)."""
+    digits = F.regexp_extract(F.col("_metadata.file_name"), ID_PATTERN, 1)
+    return F.when(digits != "", digits.cast("long"))
 
 
 def read_numbered_csv(spark: SparkSession, path: str, width: int, lo: int | None = None,

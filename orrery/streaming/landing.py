@@ -20,7 +20,8 @@ def numbered_csv_stream(spark: SparkSession, path: str, width: int, max_files_pe
     schema = T.StructType([T.StructField(f"c{i}", T.DoubleType(), True) for i in range(width)])
     raw = (spark.readStream.schema(schema).option("mode", "FAILFAST")
            .option("maxFilesPerTrigger", max_files_per_trigger).csv(path))
-    rid = F.regexp_extract(F.col("_metadata.file_name"), ID_PATTERN, 1).cast("long")
+    digits = F.regexp_extract(F.col("_metadata.file_name"), ID_PATTERN, 1)
+    rid = F.when(digits != "", digits.cast("long"))
     return raw.select(rid.alias("record_id"), F.array(*[F.col(f"c{i}") for i in range(width)]).alias(name))
 
 

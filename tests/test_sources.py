@@ -98,3 +98,11 @@ def test_sequence_file_split_across_partitions_keeps_row_order(spark, tmp_dir):
             spark.conf.set(k, v)
     assert [r["step"] for r in got] == list(range(n))
     assert [r["x"][0] for r in got] == [float(i) for i in range(n)]
+
+
+def test_csv_dir_with_a_file_not_named_by_a_number(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "mixed")
+    _write(d, "3.csv", "1.0,2.0\n")
+    _write(d, "notes.csv", "5.0,6.0\n")
+    got = sorted((r["record_id"] is None, tuple(r["features"])) for r in nb.read_csv_dir(spark, d, 2).collect())
+    assert got == [(False, (1.0, 2.0)), (True, (5.0, 6.0))]
