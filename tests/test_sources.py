@@ -30,9 +30,16 @@ def test_range_filter_prunes_files(spark, tmp_dir):
     for i in range(20):
         _write(d, f"{i}.csv", f"{i}.0\n")
     df = nb.read_numbered_csv(spark, d, 1, lo=3, hi=7)
-    df.collect()
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "file_name" in plan
+    assert sorted(r["record_id"] for r in df.collect()) == [3, 4, 5, 6, 7]
+
+    def walk(p):
+        yield p
+        it = p.children().iterator()
+        while it.hasNext():
+            yield from walk(it.next())
+
+    scans = [n for n in walk(df._jdf.queryExecution().executedPlan()) if "Scan" in n.nodeName()]
+    assert [n.metrics().get("numFiles").get().value() for n in scans] == [5]     # 5 of 20 files opened
 
 
 def test_strict_parse_fails(spark, tmp_dir):
