@@ -65,11 +65,23 @@ def test_learns_planted_target_and_is_repeatable(spark):
     assert not any(m["split"] == "test" for m in r1.metrics)            # no test row in per-epoch evaluation
 
 
-def test_multitask_with_one_head_equals_single_task(spark):
+def test_multitask_with_one_live_head_equals_single_task(spark):
+    """A second head whose labels are all missing adds no gradient: trunk and first head
+    train exactly as in the single-task net, and only train rows reach training."""
+    from pyspark.sql import functions as F
+
+    from orrery.plans.net import unpack
     _, _, df = _planted(spark)
-    a = tr.fit(df, NetSpec(n_in=8, hidden=6, heads=[Head("t", 1, "y")], epochs=1), shards=2, eval_splits=())
-    b = tr.fit(df, NetSpec(n_in=8, hidden=6, heads=[Head("t", 1, "y")], epochs=1), shards=2, eval_splits=())
-    assert np.abs(a.theta - b.theta).max() == 0
+    df2 = df.withColumn("z", F.lit(None).cast("int"))
+    single = NetSpec(n_in=8, hidden=6, heads=[Head("t", 1, "y")], epochs=2)
+    multi = NetSpec(n_in=8, hidden=6, heads=[Head("t", 1, "y"), Head("u", 3, "z")], epochs=2)
+    a = tr.fit(df, single, shards=2, eval_splits=())
+    b = tr.fit(df2, multi, shards=2, eval_splits=())
+    pa, pb = unpack(single, a.theta), unpack(multi, b.theta)
+    for name in ("W1", "b1", "W_t", "b_t"):
+        assert np.abs(pa[name] - pb[name]).max() < 1e-12
+    n_train = df.where("split = 'train'").count()
+    assert sum(h["rows"] for h in b.history if h["epoch"] == 0) == n_train
 
 
 def test_fused_evaluation_equals_dataframe_evaluation(spark):
