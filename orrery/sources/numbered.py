@@ -88,12 +88,17 @@ def squeeze_if_single(df: DataFrame, col: str, width: int, out: str) -> DataFram
 def read_dataset(spark: SparkSession, features_dir: str, width: int,
                  targets: str | Sequence[str] | None = None, target_widths: int | Sequence[int] = 1,
                  start: int | None = None, end: int | None = None,
-                 target_names: Sequence[str] | None = None) -> DataFrame:
+                 target_names: Sequence[str] | None = None, sequence: bool = False) -> DataFrame:
     """Features plus one or many label folders, aligned by record id, optionally sliced.
 
-    ``start``/``end`` follow P1 (half-open, 0 means unset).
+    ``start``/``end`` follow P1 (half-open on the record id, 0 means unset).
+    ``sequence=True`` reads ``features_dir`` as sequence files (one header row,
+    S3) and returns the long ``(record_id, step, x, labels...)`` table.
     """
-    X = read_numbered_csv(spark, features_dir, width)
+    if sequence:
+        X = read_sequences(spark, features_dir, width)
+    else:
+        X = read_numbered_csv(spark, features_dir, width)
     if targets is None:
         tlist: list[str] = []
     elif isinstance(targets, str):

@@ -113,3 +113,13 @@ def test_csv_dir_with_a_file_not_named_by_a_number(spark, tmp_dir):
     _write(d, "notes.csv", "5.0,6.0\n")
     got = sorted((r["record_id"] is None, tuple(r["features"])) for r in nb.read_csv_dir(spark, d, 2).collect())
     assert got == [(False, (1.0, 2.0)), (True, (5.0, 6.0))]
+
+
+def test_read_dataset_sequence_mode(spark, tmp_dir):
+    s, y = os.path.join(tmp_dir, "sequence"), os.path.join(tmp_dir, "mortality")
+    for i in range(4):
+        _write(s, f"{i}.csv", "a,b\n" + "".join(f"{i}.{k},{k}\n" for k in range(i + 1)))
+        _write(y, f"{i}.csv", f"{i % 2}\n")
+    d = nb.read_dataset(spark, s, 2, y, start=1, end=3, sequence=True)
+    got = sorted((r["record_id"], r["step"], r["y0"]) for r in d.collect())
+    assert got == [(1, 0, 1.0), (1, 1, 1.0), (2, 0, 0.0), (2, 1, 0.0), (2, 2, 0.0)]
