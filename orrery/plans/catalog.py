@@ -669,11 +669,12 @@ def q_s6(spark, sf_dir):
 
 @register("m6_fit_builtin")
 def q_m6(spark, sf_dir):
+    from ..session import scratch_path
     from .train import fit_builtin
     # iterative optimizers re-read their input every iteration: use the checkpointed cohort
     data = cohort_prepared(spark, sf_dir)
-    lr = fit_builtin(data, "y_mortality", 1)
-    mlp = fit_builtin(data, "y_los", 8, hidden=32)
+    lr = fit_builtin(data, "y_mortality", 1, model_path=scratch_path(spark, "mllib-lr"))
+    mlp = fit_builtin(data, "y_los", 8, hidden=32, model_path=scratch_path(spark, "mllib-mlp"))
     a = au.auc_exact(lr, ["split"]).withColumn("model", F.lit("logistic_mortality"))
     pc = au.auc_per_class(mlp.select("split", "y", "p"), ["split"])
     b = au.auc_macro(pc, ["split"]).select("split", F.col("auc_macro").alias("auc")).withColumn(

@@ -314,12 +314,17 @@ def final_report(data: DataFrame, res: FitResult, splits: Sequence[str] = ("trai
 
 
 def fit_builtin(data: DataFrame, label: str, n_classes: int, features: str = "features",
-                hidden: int | None = None, max_iter: int = 20, seed: int = 1234):
+                hidden: int | None = None, max_iter: int = 20, seed: int = 1234,
+                model_path: str | None = None):
     """M6: MLlib baseline -- LogisticRegression, or MultilayerPerceptronClassifier when ``hidden`` is set.
 
-    Returns the scored DataFrame (split, y, p) for the AUC operators; ``p`` is the
+    A ``Pipeline`` of StandardScaler and the estimator, fitted on the train
+    split.  With ``model_path`` the fitted pipeline is saved (MLWriter,
+    overwrite) and reloaded (MLReader) before scoring.  Returns the scored
+    DataFrame (record_id, split, y, p) for the AUC operators: ``p`` is the
     positive-class probability for binary labels, the probability array otherwise.
     """
+    from pyspark.ml import Pipeline, PipelineModel
     from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
     from pyspark.ml.feature import StandardScaler
     from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -327,17 +332,18 @@ def fit_builtin(data: DataFrame, label: str, n_classes: int, features: str = "fe
     d = data.where(F.col(label).isNotNull()).select(
         "record_id", "split", array_to_vector(F.col(features)).alias("raw"),
         F.col(label).cast("double").alias("label"))
-    train = d.where(F.col("split") == "train")
-    scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True).fit(train)
-    tr = scaler.transform(train)
+    scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True)
     if hidden is None:
         est = LogisticRegression(maxIter=max_iter, family="binomial" if n_classes == 1 else "multinomial")
     else:
-        width = len(scaler.mean)
+        width = len(data.select(features).first()[0])
         est = MultilayerPerceptronClassifier(layers=[width, hidden, max(2, n_classes)], maxIter=max_iter,
                                              seed=seed, blockSize=128)
-    model = est.fit(tr)
-    out = model.transform(scaler.transform(d)).select(
+    model = Pipeline(stages=[scaler, est]).fit(d.where(F.col("split") == "train"))
+    if model_path:
+        model.write().overwrite().save(model_path)
+        model = PipelineModel.load(model_path)
+    out = model.transform(d).select(
         "record_id", "split", F.col("label").cast("int").alias("y"),
         vector_to_array("probability").alias("prob"))
     if n_classes == 1:

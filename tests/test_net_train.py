@@ -145,3 +145,11 @@ def test_in_training_evaluation_equals_separate_evaluation(spark):
             assert fused[k]["loss"] == pytest.approx(sep[k]["loss"], rel=1e-9)
             assert fused[k]["rows"] == sep[k]["rows"]
     assert sorted({m["epoch"] for m in res.metrics}) == [0, 1]
+
+
+def test_builtin_baseline_learns_and_round_trips(spark, tmp_dir):
+    from orrery.operators.auc import auc_exact
+    _, _, df = _planted(spark, n=800)
+    scored = tr.fit_builtin(df, "y", 1, model_path=tmp_dir + "/lr")
+    aucs = {r["split"]: r["auc"] for r in auc_exact(scored, ["split"]).collect()}
+    assert aucs["valid"] > 0.9 and aucs["test"] > 0.9
