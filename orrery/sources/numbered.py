@@ -135,9 +135,11 @@ def write_numbered_csv(df: DataFrame, path: str, id_col: str, array_col: str,
 
     With ``order_col`` each id may own many rows (a sequence): rows are
     clustered by id and sorted, and every file is streamed out batch by batch,
-    so a task holds one Arrow batch, never a whole record.  Files are written
-    whole and overwritten, so a retried task is harmless.  Returns the number
-    of files.
+    so a task holds one Arrow batch, never a whole record (a file is written by
+    one task: the format has one file per record).  Each file is written under
+    a hidden temporary name and renamed into place, so readers only see whole
+    files and a retried or speculative task attempt is harmless.  Returns the
+    number of files.
     """
     from pyarrow import fs as pafs
 
@@ -152,25 +154,32 @@ def write_numbered_csv(df: DataFrame, path: str, id_col: str, array_col: str,
     base = path.rstrip("/")
 
     def write(batches):
+        import uuid
         filesystem, root = pafs.FileSystem.from_uri(base)
         filesystem.create_dir(root, recursive=True)
+        attempt = uuid.uuid4().hex
         n_files = 0
         cur_id, stream = None, None
+
+        def finish():
+            stream.close()
+            filesystem.move(f"{root}/.{cur_id}.csv.{attempt}", f"{root}/{cur_id}.csv")
+
         for b in batches:
             ids = b.column("__id").to_pylist()
             xs = b.column("__x").to_pylist()
             for i, x in zip(ids, xs):
                 if i != cur_id:
                     if stream is not None:
-                        stream.close()
-                    stream = filesystem.open_output_stream(f"{root}/{i}.csv")
+                        finish()
+                    cur_id = i
+                    stream = filesystem.open_output_stream(f"{root}/.{i}.csv.{attempt}")
                     if header is not None:
                         stream.write((header + "\n").encode())
-                    cur_id = i
                     n_files += 1
                 stream.write((",".join(_fmt(v) for v in x) + "\n").encode())
         if stream is not None:
-            stream.close()
+            finish()
         yield pa.RecordBatch.from_pydict({"n": [n_files]}, schema=pa.schema([("n", pa.int64())]))
 
     res = data.mapInArrow(write, "n long").agg(F.sum("n").alias("n")).first()
