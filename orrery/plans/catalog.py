@@ -43,11 +43,15 @@ def r6(c):
 # ---------------------------------------------------------------- shared plans
 
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """documents x labels by doc_id, 80/10/10 split by id, fixed length score."""
+    """documents x labels by doc_id, 80/10/10 split by id, fixed length score.
+
+    The id space of the split is the record table (documents), as record
+    numbers define it, not whichever records happen to have labels.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
     labs = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     j = al.align(docs, labs, id_col="doc_id")
-    j = sp.assign_split(j, "doc_id", 0.8, 0.1)
+    j = sp.assign_split(j, "doc_id", 0.8, 0.1, id_space=docs)
     return j.withColumn("p", nn.length_score("n_chars"))
 
 
@@ -521,12 +525,12 @@ def q_s7(spark, sf_dir):
 # ---------------------------------------------------------------- training on the derived cohort
 
 def cohort_dataset(spark, sf_dir) -> DataFrame:
-    """(record_id, split, features, y_mortality, y_los, y_survival): 80/10/10 by id."""
+    """(record_id, split, features, y_mortality, y_los, y_survival): 80/10/10 of the order id space."""
     from .cohort import cohort_features, cohort_labels
     labels = cohort_labels(spark, sf_dir)
     d = al.align_many(cohort_features(spark, sf_dir), labels)
-    # the aligned ids, from narrow inputs: every order has a feature row
-    ids = al.align_many(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("record_id")), labels)
+    # the id space is the record table (every order is a record), read narrow
+    ids = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("record_id"))
     return sp.assign_split(d, "record_id", 0.8, 0.1, id_space=ids)
 
 

@@ -15,7 +15,7 @@ doc_base AS (
   SELECT d.doc_id, d.n_chars, l.quality, l.toxic
   FROM documents d JOIN labels l ON d.doc_id = l.doc_id
 ),
-doc_bounds AS (SELECT CAST(max(doc_id) + 1 AS DOUBLE) AS n FROM doc_base),
+doc_bounds AS (SELECT CAST(max(doc_id) + 1 AS DOUBLE) AS n FROM documents),
 doc_split AS (
   SELECT b.*,
          CASE WHEN b.doc_id < floor(x.n * 0.8) THEN 'train'
