@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_root, scratch_path, ship_package
@@ -22,7 +23,7 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 _U = np.uint64
 
 
-def read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
+def read(spark: SparkSession, sf_dir: str, name: str, *cols: str | Column) -> DataFrame:
     """Columns of one table; ships the package first, so that tasks can import it."""
     ship_package(spark)
     checkpoint_root(spark)
@@ -114,8 +115,20 @@ class Words:
         self.starts = np.flatnonzero(begin)
         self.lens = np.flatnonzero(end) + 1 - self.starts
         self.first = np.searchsorted(self.starts, self.offs)
-        self.is_word = word
-        self.hashes = hash_spans(self.data, self.starts, self.lens, fold)
+        self.is_word, self.fold = word, fold
+
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        return hash_spans(self.data, self.starts, self.lens, self.fold)
+
+    @cached_property
+    def owner(self) -> np.ndarray:
+        """Text of each word."""
+        return np.repeat(np.arange(len(self.offs) - 1), np.diff(self.first))
+
+    @property
+    def counts(self) -> np.ndarray:
+        return np.diff(self.first)
 
     def windows(self, k: int) -> np.ndarray:
         """Hash of the k words from each word on; the last k - 1 of a text reach into the next one and must be cut."""

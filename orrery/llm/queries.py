@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe
-from .common import read
+from . import bpe, linededup, mixing, quality, rules
+from .common import read, stored
 
 #: Vocabulary of the tokenizing query.
 RANKS = "byte_bpe_50k.tiktoken"
@@ -20,5 +21,41 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, public_tokenizers.path(RANKS), ids=False)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_bpe": op1_bpe}
-ORACLE: dict[str, str] = {}
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores every whole text of ``documents``, learning from the labelled rows that are not held out."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    rows = stored(quality.with_features(docs).drop("text"), "features")
+    model = quality.fit(rows, read(spark, sf_dir, "labels", "doc_id", "quality"))
+    out = rows.select("doc_id", quality.held_out().alias("held_out"), model.score().alias("score"))
+    return out.withColumn("predicted", (F.col("score") >= quality.CUT).cast("int"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mixes all of ``documents``: words, target and take of each, and the training time of its first copy."""
+    docs = read(spark, sf_dir, "documents", F.col("doc_id").alias("__key"), F.col("source").alias("__source"), "text")
+    rows = mixing.plan(stored(mixing.sizes(docs), "sizes"))
+    return rows.select(F.col("__key").alias("doc_id"), F.col("__size").alias("size"), "source_size", "target",
+                       (F.col("copies") * F.col("__size")).cast("long").alias("taken"), "copies",
+                       F.try_element_at("times", F.lit(1)).alias("first_time"))
+
+
+def op9_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Takes each source's boilerplate lines out of ``documents``."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "source", "text")
+    return linededup.drop_lines(docs).select("doc_id", F.col("__n_lines").alias("n_lines"),
+                                             F.col("__n_dropped").alias("n_dropped"), "text")
+
+
+def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures every whole text of ``documents`` and judges it by its language's and source's thresholds."""
+    return rules.judge(read(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bpe": op1_bpe,
+    "op3_quality": op3_quality,
+    "op6_mixing": op6_mixing,
+    "op9_linededup": op9_linededup,
+    "op10_rules": op10_rules,
+}
+ORACLE: dict[str, str] = {"op9_linededup": linededup.ORACLE_SQL}
