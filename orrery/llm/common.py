@@ -43,15 +43,21 @@ def text_pass(df: DataFrame, fn: Callable[[pa.RecordBatch, pa.Array], pa.RecordB
               text: str) -> DataFrame:
     """Apply ``fn(rows, texts)`` to slices of rows holding about ``SLICE_BYTES`` of text (a null text is empty)."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = pc.fill_null(batch.column(batch.schema.get_field_index(text)).cast(pa.large_string()), "")
-            for lo, hi in _cuts(texts):
-                out = fn(batch.slice(lo, hi - lo), texts.slice(lo, hi - lo))
-                if out is not None and out.num_rows:
-                    yield out
+        yield from slices(batches, text, fn)
     return df.mapInArrow(run, schema)
 
 
+def slices(batches: Iterable[pa.RecordBatch], text: str,
+           fn: Callable[[pa.RecordBatch, pa.Array], pa.RecordBatch | None]) -> Iterator[pa.RecordBatch]:
+    """``fn(rows, texts)`` of slices of the batches."""
+    for batch in batches:
+        texts = pc.fill_null(batch.column(batch.schema.get_field_index(text)).cast(pa.large_string()), "")
+        for lo, hi in _cuts(texts):
+            out = fn(batch.slice(lo, hi - lo), texts.slice(lo, hi - lo))
+            if out is not None and out.num_rows:
+                yield out
+
+
 def _cuts(texts: pa.Array) -> Iterator[tuple[int, int]]:
     if not len(texts):
         return

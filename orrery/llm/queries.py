@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, linededup, mixing, quality, rules
+from . import bpe, jaccard, linededup, mixing, quality, rules
 from .common import read, stored
 
 #: Vocabulary of the tokenizing query.
@@ -30,6 +30,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("predicted", (F.col("score") >= quality.CUT).cast("int"))
 
 
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links ``documents`` whose sets of 4-word shingles have a Jaccard similarity of 0.85 or more."""
+    return jaccard.join(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mixes all of ``documents``: words, target and take of each, and the training time of its first copy."""
     docs = read(spark, sf_dir, "documents", F.col("doc_id").alias("__key"), F.col("source").alias("__source"), "text")
@@ -54,6 +59,7 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op3_quality": op3_quality,
+    "op4_jaccard": op4_jaccard,
     "op6_mixing": op6_mixing,
     "op9_linededup": op9_linededup,
     "op10_rules": op10_rules,
