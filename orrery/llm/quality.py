@@ -33,7 +33,8 @@ FIT_ROWS = 20_000
 PAIRS = 4
 RIDGE = 1e-3
 CUT = 0.3
-_COL = "__features"
+#: Column of the features.
+FEATURES = "__features"
 
 
 def _matrix(s: TextStats) -> np.ndarray:
@@ -54,9 +55,9 @@ def with_features(df: DataFrame, text: str = "text") -> DataFrame:
         x = _matrix(TextStats(texts))
         offs = pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32())
         return pa.RecordBatch.from_arrays([*rows.columns, pa.ListArray.from_arrays(offs, pa.array(x.ravel()))],
-                                          [*rows.schema.names, _COL])
+                                          [*rows.schema.names, FEATURES])
 
-    return text_pass(df, run, f"{kinds}, {_COL} array<double>", text)
+    return text_pass(df, run, f"{kinds}, {FEATURES} array<double>", text)
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -71,7 +72,7 @@ class Model:
     weights: tuple[float, ...]
     cut: float
 
-    def score(self, features: str = _COL) -> Column:
+    def score(self, features: str = FEATURES) -> Column:
         if not self.weights:
             return F.lit(0.5)
         strength = F.lit(-self.cut)
@@ -85,14 +86,14 @@ def fit(features: DataFrame, labels: DataFrame, id_col: str = "doc_id", label: s
     own = labels.select(F.col(id_col).alias("__id"), F.col(label).alias("__y")).where("__id is not null and __y in (0, 1)")
     own = own.groupBy("__id").agg(F.min("__y").alias("__y"), F.max("__y").alias("__z")).where("__y = __z").drop("__z")
     own = own.where(~held_out("__id"))
-    rows = features.join(own, F.col(id_col) == F.col("__id")).select("__id", "__y", _COL)
+    rows = features.join(own, F.col(id_col) == F.col("__id")).select("__id", "__y", FEATURES)
     count = {r["__y"]: r["n"] for r in rows.groupBy("__y").agg(F.count("*").alias("n")).collect()}  # two rows
     if len(count) < 2:
         return Model((), 0.0)
     side = {}
     for y in (0, 1):
         pick = rows.where(F.col("__y") == y).orderBy(F.xxhash64("__id"), "__id").limit(FIT_ROWS)
-        side[y] = np.array([r[0] for r in pick.select(_COL).collect()])
+        side[y] = np.array([r[0] for r in pick.select(FEATURES).collect()])
     return _solve(side[1], side[0], count[1], count[0])
 
 
