@@ -40,8 +40,8 @@ def expand_classes(scored: DataFrame, y: str = "y", p: str = "p", cls: str = "cl
 
 
 def _valid(scored: DataFrame, y: str, p: str) -> DataFrame:
-    """Rows with both a label and a score; labels other than 0/1 count as neither class."""
-    return scored.where(F.col(y).isNotNull() & F.col(p).isNotNull())
+    """Rows with both a label and a score (NaN is none); labels other than 0/1 count as neither class."""
+    return scored.where(F.col(y).isNotNull() & F.col(p).isNotNull() & ~F.isnan(F.col(p).cast("double")))
 
 
 def score_counts(scored: DataFrame, keys: Sequence[str], y: str = "y", p: str = "p") -> DataFrame:

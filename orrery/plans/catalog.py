@@ -113,11 +113,16 @@ def q_w2(spark, sf_dir):
                      F.col("neg").cast("long").alias("neg"), F.col("neg_below").cast("long").alias("neg_below"))
 
 
+def class_map(n_in: int = 64, n_out: int = 10) -> list[list[float]]:
+    """Fixed linear map of a whole vector to class scores, by a rule."""
+    return [[((i * (c + 2) + 3 * c) % 7 - 3) / 4 for i in range(n_in)] for c in range(n_out)]
+
+
 def embedding_scored(spark, sf_dir) -> DataFrame:
-    """(vec_id, split, y = label, p = softmax of the first 10 embedding values)."""
+    """(vec_id, split, y = label, p = softmax of a fixed linear map of the whole embedding)."""
     e = table(spark, sf_dir, "embeddings").select(
         "vec_id", F.col("label").alias("y"),
-        nn.softmax(F.slice(F.col("embedding").cast("array<double>"), 1, 10)).alias("p"))
+        nn.softmax(nn.dense(F.col("embedding").cast("array<double>"), class_map(), [0.0] * 10)).alias("p"))
     return sp.assign_split(e, "vec_id", 0.8, 0.1)
 
 
@@ -233,8 +238,9 @@ def q_p4(spark, sf_dir):
     from ..operators.features import squeeze_label
     lab = table(spark, sf_dir, "labels").select(
         "doc_id", F.array("quality").alias("one"), F.array("quality", "toxic").alias("two"))
-    return lab.select("doc_id", squeeze_label("one").alias("quality"),
-                      squeeze_label("two").alias("two_squeezed"), F.size("two").alias("two_width"))
+    both = lab.select("doc_id", squeeze_label("one", 1).alias("quality"), squeeze_label("two", 2).alias("two"))
+    return both.select("doc_id", "quality", F.col("two")[0].alias("two_0"), F.col("two")[1].alias("two_1"),
+                       F.size("two").alias("two_width"))
 
 
 @register("p5_select_groups")
@@ -440,7 +446,7 @@ def q_s4(spark, sf_dir):
                        high_dir, "vec_id", "y")
     d = read_dataset(spark, feat, 64, [lab_dir, high_dir], target_names=["y_label", "y_high"])
     return d.select("record_id", "y_label", "y_high", F.size("features").alias("width"),
-                    r6(F.col("features")[0]).alias("f0"), r6(F.col("features")[63]).alias("f63"))
+                    *[r6(F.col("features")[i]).alias(f"f{i}") for i in range(64)])
 
 
 @register("s5_compact")
@@ -455,8 +461,16 @@ def q_s5(spark, sf_dir):
 
 @register("e7_parse_numeric")
 def q_e7(spark, sf_dir):
+    """Values of the exported vectors, with an empty and a suffixed field planted by id; valid rows and bad fields."""
+    from ..session import scratch_path
     from ..sources.numbered import validate_numeric
-    return validate_numeric(spark, _export_embeddings(spark, sf_dir), 64)
+    e = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<string>").alias("x"))
+    bad = (F.when(F.col("vec_id") % 7 == 3, F.lit("")).when(F.col("vec_id") % 11 == 5, F.lit("1.5f"))
+           .when(F.col("vec_id") % 13 == 6, F.lit("x")))
+    fields = F.transform("x", lambda v, i: F.when((i == F.col("vec_id") % 64) & bad.isNotNull(), bad).otherwise(v))
+    path = scratch_path(spark, "fields")
+    e.select(F.concat_ws(",", fields).alias("value")).write.text(path, lineSep="\n")
+    return validate_numeric(spark, path, 64, glob="*.txt")
 
 
 # ---------------------------------------------------------------- fixed small net
@@ -678,7 +692,7 @@ def q_m6(spark, sf_dir):
     # iterative optimizers re-read their input every iteration: use the checkpointed cohort
     data = cohort_prepared(spark, sf_dir)
     lr = fit_builtin(data, "y_mortality", 1, model_path=scratch_path(spark, "mllib-lr"))
-    mlp = fit_builtin(data, "y_los", 8, hidden=32, model_path=scratch_path(spark, "mllib-mlp"))
+    mlp = fit_builtin(data, "y_los", 8, hidden=750, model_path=scratch_path(spark, "mllib-mlp"))
     a = au.auc_exact(lr, ["split"]).withColumn("model", F.lit("logistic_mortality"))
     pc = au.auc_per_class(mlp.select("split", "y", "p"), ["split"])
     b = au.auc_macro(pc, ["split"]).select("split", F.col("auc_macro").alias("auc")).withColumn(
@@ -694,7 +708,7 @@ def q_m7(spark, sf_dir):
     from .cohort import WIDTH
     from .train import fit
     grid = [(lr, hidden) for lr in (0.005, 0.001) for hidden in (100, 500)]
-    base = NetSpec(n_in=WIDTH, hidden=100, heads=[Head("mortality", 1, "y_mortality")], epochs=5)
+    base = NetSpec(n_in=WIDTH, hidden=100, heads=[Head("mortality", 1, "y_mortality")])
     data = cohort_prepared(spark, sf_dir)
     rows = []
     for gi, (lr, hidden) in enumerate(grid):

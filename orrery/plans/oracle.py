@@ -124,10 +124,15 @@ SELECT split, task, round(p, 6) AS p, CAST(pos AS BIGINT) AS pos, CAST(neg AS BI
 FROM ex_nb
 """
 
-EMB_SCORED = """
+# the rule of catalog.class_map, written out
+_CLASS_SCORES = ", ".join(
+    f"list_inner_product(CAST(e.embedding AS DOUBLE[]), {[((i * (c + 2) + 3 * c) % 7 - 3) / 4 for i in range(64)]}::DOUBLE[])"
+    for c in range(10))
+
+EMB_SCORED = f"""
 emb_bounds AS (SELECT CAST(max(vec_id) + 1 AS DOUBLE) AS n FROM embeddings),
 emb_x AS (
-  SELECT e.vec_id, e.label, CAST(e.embedding AS DOUBLE[])[1:10] AS z,
+  SELECT e.vec_id, e.label, [{_CLASS_SCORES}] AS z,
          CASE WHEN e.vec_id < floor(b.n * 0.8) THEN 'train'
               WHEN e.vec_id < floor(b.n * 0.9) THEN 'valid' ELSE 'test' END AS split
   FROM embeddings e, emb_bounds b
@@ -338,7 +343,7 @@ FROM parts p, shape s
 # ------------------------------------------------------------- projections
 
 ORACLE["p4_squeeze_label"] = """
-SELECT doc_id, quality, CAST(NULL AS INTEGER) AS two_squeezed, 2 AS two_width FROM labels
+SELECT doc_id, quality, quality AS two_0, toxic AS two_1, 2 AS two_width FROM labels
 """
 
 ORACLE["p5_select_groups"] = """
@@ -469,14 +474,17 @@ SELECT user_id AS record_id, CAST(row_number() OVER (PARTITION BY user_id ORDER
        round(value, 6) AS value, round(CAST(epoch_us(ts) AS DOUBLE) / 3600000000.0, 6) AS hour
 FROM events
 """
-ORACLE["s4_read_dataset"] = """
+_ALL64 = ", ".join(f"round(CAST(embedding[{i + 1}] AS DOUBLE), 6) AS f{i}" for i in range(64))
+ORACLE["s4_read_dataset"] = f"""
 SELECT vec_id AS record_id, CAST(label AS DOUBLE) AS y_label, CAST(CASE WHEN label >= 5 THEN 1 ELSE 0 END AS DOUBLE) AS y_high,
-       CAST(len(embedding) AS INTEGER) AS width,
-       round(CAST(embedding[1] AS DOUBLE), 6) AS f0, round(CAST(embedding[64] AS DOUBLE), 6) AS f63
+       CAST(len(embedding) AS INTEGER) AS width, {_ALL64}
 FROM embeddings
 """
 ORACLE["e7_parse_numeric"] = """
-SELECT count(*) AS n_rows, count(*) AS n_files, CAST(0 AS BIGINT) AS n_empty_fields FROM embeddings
+WITH f AS (SELECT vec_id, vec_id % 7 = 3 OR vec_id % 11 = 5 OR vec_id % 13 = 6 AS bad, vec_id % 7 = 3 AS empty,
+                  list_sum([CAST(x AS DOUBLE) for x in embedding]) AS total FROM embeddings)
+SELECT count(*) AS n_rows, count(*) FILTER (NOT bad) AS n_good_rows, count(*) FILTER (empty) AS n_empty_fields,
+       count(*) FILTER (bad AND NOT empty) AS n_bad_fields, round(sum(total) FILTER (NOT bad), 4) AS good_total FROM f
 """
 
 # ------------------------------------------------------------- fixed small net on embeddings

@@ -20,7 +20,7 @@ from ..sources.models import load_model
 from ..sources.numbered import read_numbered_csv
 from ..sources.store import write_metrics
 from .net import EPOCHS, Head, NetSpec
-from .train import FitResult, final_report, fit, prepare
+from .train import SHARDS, FitResult, final_report, fit, prepare
 
 # Fixed values of the reference programs: task folders and their class counts.
 TASKS = {"mortality": 1, "los_bucket": 8, "survival_bucket": 5}
@@ -45,7 +45,7 @@ def load_tasks(spark: SparkSession, base_dir: str, tasks: Sequence[str], width:
 def run_program(spark: SparkSession, base_dir: str, out_dir: str, tasks: Sequence[str] = tuple(TASKS),
                 hidden: int = 750, epochs: int = EPOCHS, width: int = NB_INPUTS,
                 n_train: int | float = NB_TRAIN, n_valid: int | float = NB_VALID,
-                shards: int | None = None, run_id: str = "run") -> ProgramResult:
+                shards: int = SHARDS, run_id: str = "run") -> ProgramResult:
     """Train one shared-trunk network on ``tasks`` (1, 2 or all three) and report train and test AUC."""
     data = assign_split(load_tasks(spark, base_dir, tasks, width), "record_id", n_train, n_valid)
     spec = NetSpec(n_in=width, hidden=hidden, epochs=epochs,

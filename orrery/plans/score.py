@@ -23,7 +23,14 @@ from .net import NetSpec, forward
 
 
 def arrow_matrix(col: pa.Array, width: int) -> np.ndarray:
-    """A fixed-width list<double> Arrow column as an (n, width) float64 matrix."""
+    """A fixed-width list<double> Arrow column as an (n, width) float64 matrix; other rows are refused."""
+    if col.null_count:
+        raise ValueError("a feature vector is null")
+    lens = np.diff(col.offsets.to_numpy())
+    if (lens != width).any():
+        raise ValueError(f"a feature vector has {lens[lens != width][0]} values, not {width}")
+    if col.flatten().null_count or not np.isfinite(col.flatten().to_numpy(zero_copy_only=False)).all():
+        raise ValueError("a feature is null or not finite")
     vals = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
     return vals.reshape(-1, width)
 

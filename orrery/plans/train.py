@@ -5,16 +5,15 @@ into K shards (``repartitionById``: partition = shard), sorted by id and
 checkpointed once.  Each epoch broadcasts (weights, Adam moments, step); each
 shard streams its Arrow batches re-cut to mini-batches of 32 in id order and
 returns its final state; the states are combined as the row-weighted mean
-with ``treeReduce`` (driver memory stays one copy of the weights for any K).
+by levels of ``FAN_IN``, so that the driver receives one state for any K.
 K = 1 is the reference algorithm exactly; K > 1 is the scale path (local SGD
 with model averaging).  A task is a pure function of (broadcast, shard), so
-retries and speculative copies are harmless.  K is sized by data volume, not
-by cluster size, so results depend on (K, seed) only.
+retries and speculative copies are harmless.  K is a parameter, never derived
+from data or cluster, so results depend on (K, seed) only.
 """
 
 from __future__ import annotations
 
-import math
 import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
@@ -24,11 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root, ship_package
+from ..session import scratch_path, ship_package
 from .net import NetSpec, forward, init_params, train_pass
 from .score import arrow_matrix, evaluate, predict
 
-ROWS_PER_SHARD = 4096
+#: Shards of the train split.  A parameter of the algorithm, never derived from the data: 1 is plain mini-batch Adam,
+#: more are trained side by side and averaged each epoch.  Set it to the cores that training should use.
+SHARDS = 8
+#: States that one task merges; the driver receives the one that is left.
+FAN_IN = 16
 
 
 @dataclass
@@ -43,12 +46,22 @@ class FitResult:
 
 def prepare(df: DataFrame, spec: NetSpec, features: str = "features", id_col: str = "record_id",
             split_col: str = "split") -> DataFrame:
-    """Narrow, typed and checkpointed input: (id, split, features, labels as double)."""
-    checkpoint_root(df.sparkSession)
+    """Narrow, typed input in the shared folder, by split: (id, features, labels as double, split).
+
+    A label that is no class of its head fails the job; a null label is left out of its task's loss.
+    """
     cols = [F.col(id_col).alias("record_id"), F.col(split_col).alias("split"),
             F.col(features).cast("array<double>").alias("features")]
-    cols += [F.col(h.label).cast("double").alias(h.label) for h in spec.heads]
-    return df.select(*cols).checkpoint(eager=True)
+    for h in spec.heads:
+        y = F.col(h.label).cast("double")
+        top = 1 if h.n == 1 else h.n - 1
+        right = y.isNull() | ((y >= 0) & (y <= top) & (y == F.floor(y)) & ~F.isnan(y))
+        cols.append(F.when(right, y).otherwise(F.raise_error(F.concat(
+            F.lit(f"label {h.label} is not a class of 0..{top}: "), y.cast("string")))).alias(h.label))
+    path = scratch_path(df.sparkSession, "prepared")
+    df.select(*cols).write.partitionBy("split").parquet(path)  # reading one split opens its files only
+    schema = f"record_id {dict(df.dtypes)[id_col]}, features array<double>" + "".join(f", `{h.label}` double" for h in spec.heads)
+    return df.sparkSession.read.schema(schema + ", split string").parquet(path)
 
 
 def fit_standardizer(train: DataFrame, width: int) -> tuple[list[float], list[float]]:
@@ -64,10 +77,6 @@ def fit_standardizer(train: DataFrame, width: int) -> tuple[list[float], list[fl
     return mean, scale
 
 
-def shard_count(n_rows: int, rows_per_shard: int = ROWS_PER_SHARD) -> int:
-    return max(1, math.ceil(n_rows / rows_per_shard))
-
-
 def shard(train: DataFrame, k: int) -> DataFrame:
     """Partition i holds shard i, rows in id order; checkpointed for all epochs."""
     return (train.withColumn("__shard", F.pmod(F.xxhash64("record_id"), F.lit(k)).cast("int"))
@@ -221,14 +230,26 @@ def _epoch_job(data: DataFrame, spec: NetSpec, state, train: bool = True, evalua
             s = (a[0] + b[0], a[1] + b[1], a[2] + b[2], a[3] + b[3])
         return (*s, max(a[4], b[4]), a[5] + b[5], a[6] + b[6], a[7] + b[7])
 
-    out = data.mapInArrow(run, _EPOCH_SCHEMA)
-    acc = out.rdd.map(to_acc).treeReduce(add, depth=2)
+    states = data.mapInArrow(run, _EPOCH_SCHEMA).rdd.map(to_acc)
+    parts = states.getNumPartitions()
+    while parts > 1:  # a constant fan-in: no task and not the driver sees more than FAN_IN states
+        parts = -(-parts // FAN_IN)
+        states = (states.mapPartitionsWithIndex(lambda i, it, n=parts: ((i % n, x) for x in it))
+                  .partitionBy(parts, lambda k: k).values().mapPartitions(lambda it: _merged(it, add)))
+    acc = states.first()
     bc.unpersist()
     return acc
 
 
+def _merged(states, add):
+    total = None
+    for x in states:
+        total = x if total is None else add(total, x)
+    return [] if total is None else [total]
+
+
 def fit(df: DataFrame, spec: NetSpec, features: str = "features", id_col: str = "record_id",
-        split_col: str = "split", shards: int | None = None, rows_per_shard: int = ROWS_PER_SHARD,
+        split_col: str = "split", shards: int = SHARDS,
         standardize: bool = True, eval_splits: Sequence[str] = ("train", "valid"),
         on_epoch_end: Callable[[int, FitResult, list[dict]], None] | None = None,
         eval_method: str = "binned", prepared: DataFrame | None = None,
@@ -249,8 +270,7 @@ def fit(df: DataFrame, spec: NetSpec, features: str = "features", id_col: str =
     train = data.where(F.col("split") == "train")
     if standardize and spec.mean is None:
         spec.mean, spec.scale = fit_standardizer(train, spec.n_in)
-    n_train = train.count()
-    k = shards or shard_count(n_train, rows_per_shard)
+    k = shards
     sharded = shard(train, k)
     fused = eval_method == "binned"
     unknown = set(eval_splits) - set(EVAL_SPLITS)

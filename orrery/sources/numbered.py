@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,15 +21,37 @@ from ..operators.split import slice_records
 ID_PATTERN = r"^(\d+)\.csv$"
 
 
+#: A number as it may be written in a file: no suffixes, no names of special values.
+NUMBER = r"^[ \t]*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[ \t]*$"
+
+
 def _schema(width: int) -> T.StructType:
-    return T.StructType([T.StructField(f"c{i}", T.DoubleType(), True) for i in range(width)])
+    return T.StructType([T.StructField(f"c{i}", T.StringType(), True) for i in range(width)])
 
 
-def _reader(spark: SparkSession, width: int, header: bool = False):
+def _reader(spark: SparkSession, width: int, header: bool = False, glob: str = "*.csv"):
+    """Fields as they are written; a row with another number of them fails."""
     return (spark.read.schema(_schema(width))
             .option("mode", "FAILFAST")
             .option("header", header)
-            .option("pathGlobFilter", "*.csv"))
+            .option("enforceSchema", True)
+            .option("pathGlobFilter", glob))
+
+
+def _is_number(i: int) -> Column:
+    return F.coalesce(F.col(f"c{i}").rlike(NUMBER), F.lit(False))
+
+
+def _number(i: int) -> Column:
+    return F.trim(F.translate(F.col(f"c{i}"), "\t", " ")).cast("double")
+
+
+def _numbers(width: int) -> Column:
+    """All fields as one array; fails if any field is empty or not a number, whichever of them is used."""
+    bad = F.array_compact(F.array(*[F.when(~_is_number(i), F.concat(F.lit(f"field {i}: "), F.coalesce(f"c{i}", F.lit(""))))
+                                    for i in range(width)]))
+    return F.when(F.size(bad) == 0, F.array(*[_number(i) for i in range(width)])).otherwise(
+        F.raise_error(F.concat(F.lit("not a number, "), bad[0])))
 
 
 def record_id_col():
@@ -42,11 +64,11 @@ def read_numbered_csv(spark: SparkSession, path: str, width: int, lo: int | None
                       hi: int | None = None, name: str = "features") -> DataFrame:
     """``(record_id, <name> ARRAY<DOUBLE>)`` for files ``lo..hi`` (inclusive) of ``path``.
 
-    Parsing is strict (E7): a non-numeric field or a short row fails the scan.
+    Parsing is strict (E7): an empty or non-numeric field in any column, or a short row, fails the scan.
     """
     df = _reader(spark, width).csv(path)
     out = df.select(record_id_col().alias("record_id"),
-                    F.array(*[F.col(f"c{i}") for i in range(width)]).alias(name))
+                    _numbers(width).alias(name))
     if lo is not None:
         out = out.where(F.col("record_id") >= lo)
     if hi is not None:
@@ -73,7 +95,7 @@ def read_sequences(spark: SparkSession, path: str, width: int, header_rows: int
     rows = df.select(record_id_col().alias("record_id"),
                      F.col("_metadata.file_block_start").alias("__blk"),
                      F.monotonically_increasing_id().alias("__pos"),
-                     F.array(*[F.col(f"c{i}") for i in range(width)]).alias(name))
+                     _numbers(width).alias(name))
     ranked = row_number_within(rows, ["record_id"], ["__blk", "__pos"], name="__rn")
     return ranked.select("record_id", (F.col("__rn") - 1).cast("int").alias("step"), name)
 
@@ -114,13 +136,24 @@ def read_dataset(spark: SparkSession, features_dir: str, width: int,
     return slice_records(out, start, end)
 
 
-def validate_numeric(spark: SparkSession, path: str, width: int) -> DataFrame:
-    """Parse every column of every file strictly; one row of counts, or the scan fails."""
-    df = _reader(spark, width).csv(path)
-    return df.agg(F.count(F.lit(1)).alias("n_rows"),
-                  F.count_distinct(F.col("_metadata.file_name")).alias("n_files"),
-                  F.sum(F.when(F.greatest(*[F.col(f"c{i}").isNull() for i in range(width)]), 1)
-                        .otherwise(0)).cast("long").alias("n_empty_fields"))
+def validate_numeric(spark: SparkSession, path: str, width: int, glob: str = "*.csv") -> DataFrame:
+    """One row on all fields of all files: rows, rows of numbers only, empty fields, other bad fields, and the
+    sum of the good rows.  ``read_numbered_csv`` fails on what this counts; a short row fails here too."""
+    df = _reader(spark, width, glob=glob).csv(path)
+
+    def fields(test):
+        return F.size(F.array_compact(F.array(*[F.when(test(i), 1) for i in range(width)]))).cast("long")
+
+    empty = fields(lambda i: F.coalesce(F.trim(f"c{i}"), F.lit("")) == "")
+    bad = fields(lambda i: ~_is_number(i)) - empty
+    total = F.lit(0.0)
+    for i in range(width):
+        total = total + F.when(_is_number(i), _number(i))
+    rows = df.select(empty.alias("empty"), bad.alias("bad"), total.alias("total"))
+    good = (F.col("empty") == 0) & (F.col("bad") == 0)
+    return rows.agg(F.count("*").alias("n_rows"), F.count(F.when(good, 1)).alias("n_good_rows"),
+                    F.sum("empty").alias("n_empty_fields"), F.sum("bad").alias("n_bad_fields"),
+                    F.round(F.sum(F.when(good, F.col("total"))), 4).alias("good_total"))
 
 
 # ------------------------------------------------------------------ export
@@ -145,6 +178,9 @@ def write_numbered_csv(df: DataFrame, path: str, id_col: str, array_col: str,
 
     ship_package(df.sparkSession)
     if order_col is None:
+        twice = df.groupBy(F.col(id_col).cast("long")).count().where("count > 1").limit(1)
+        if not twice.isEmpty():
+            raise ValueError(f"record id {twice.first()[0]} has several rows; name their order with order_col")
         data = df.select(F.col(id_col).cast("long").alias("__id"), F.col(array_col).alias("__x"))
     else:
         data = (df.select(F.col(id_col).cast("long").alias("__id"), F.col(array_col).alias("__x"),

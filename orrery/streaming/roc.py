@@ -3,8 +3,7 @@
 The reference evaluates batch by batch into a ROC accumulator.  Here the
 accumulator is Structured Streaming state: a grouped sum per (keys, bin),
 at most ``steps + 1`` rows per group, so the state and the complete output
-stay bounded however long the stream runs.  Each micro-batch overwrites a
-small Parquet table with the complete histogram (idempotent on replay).
+stay bounded however long the stream runs.
 """
 
 from __future__ import annotations
@@ -14,37 +13,31 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.auc import score_bin
-
-
-def histogram_stream(scored: DataFrame, keys: Sequence[str], y: str = "y", p: str = "p",
-                     steps: int = 100) -> DataFrame:
-    return (scored.groupBy(*keys, score_bin(p, steps).alias("bin"))
-            .agg(F.sum(F.col(y).cast("long")).alias("pos"), F.sum((1 - F.col(y)).cast("long")).alias("neg")))
+from ..operators.auc import roc_histogram
 
 
 def accumulate_histograms(spark: SparkSession, src: str, schema: str, keys: Sequence[str], out: str,
-                          checkpoint: str, steps: int = 100, max_files_per_trigger: int = 1,
-                          state_partitions: int = 4) -> DataFrame:
+                          checkpoint: str, steps: int = 100, max_files_per_trigger: int = 1) -> DataFrame:
     """Run the stream over the Parquet files under ``src`` (available now) and return the histogram.
 
-    The state holds at most (groups x (steps+1)) rows, so it gets a few state
-    partitions of its own (fixed in the checkpoint at the first start) rather
-    than the session's shuffle partition count.
+    The aggregate is the batch form's own, so both treat missing scores and
+    labels alike.  Each micro-batch writes the complete histogram to a folder
+    of its number (a replay writes the same rows there again), so the last
+    whole one is never overwritten while it is the only copy.
     """
     scored = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(src)
+    last: list[int] = []
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        last[:] = [batch_id]
 
-    def publish(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
-
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions))
-    try:
-        q = (histogram_stream(scored, keys, steps=steps).writeStream.outputMode("complete")
-             .option("checkpointLocation", checkpoint).foreachBatch(publish)
-             .trigger(availableNow=True).start())
-    finally:
-        spark.conf.set(key, old)
+    q = (roc_histogram(scored, keys, steps=steps).writeStream.outputMode("complete")
+         .option("checkpointLocation", checkpoint).foreachBatch(publish)
+         .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out)
+    if last:
+        return spark.read.parquet(f"{out}/batch={last[0]}")
+    done = spark.read.parquet(out)  # nothing new since an earlier run
+    newest = done.agg(F.max("batch")).first()[0]
+    return done.where(F.col("batch") == newest).drop("batch")
