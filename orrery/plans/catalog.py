@@ -524,6 +524,57 @@ def q_v1(spark, sf_dir):
     return _fixed_scored(predict(_emb_features(spark, sf_dir), spec, theta, keep=["vec_id"]))
 
 
+def _planted(spark, sf_dir) -> DataFrame:
+    """embeddings with labels of both heads of the fixed net, split by id."""
+    e = table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.col("embedding").cast("array<double>").alias("features"),
+        (F.col("label") >= 5).cast("double").alias("y_bin"), (F.col("label") % 3).cast("double").alias("y_cls"))
+    return sp.assign_split(e, "vec_id", 0.8, 0.1)
+
+
+def _gradient(spark, sf_dir, spec, theta):
+    from .train import summed_gradient
+    g = summed_gradient(_planted(spark, sf_dir), spec, theta)
+    return g.select("param", "i", F.round("gradient", 4).alias("gradient"))
+
+
+@register("m3_gradient")
+def q_m3_gradient(spark, sf_dir):
+    """Summed gradient of the fixed net's binary head, by the training tasks' arithmetic."""
+    from dataclasses import replace
+    spec, theta = fixed_net()
+    one = replace(spec, heads=spec.heads[:1])
+    return _gradient(spark, sf_dir, one, theta[:one.n_params()])
+
+
+@register("m5_gradient")
+def q_m5_gradient(spark, sf_dir):
+    """Summed gradient of the fixed net with both heads on one trunk."""
+    return _gradient(spark, sf_dir, *fixed_net())
+
+
+@register("v3_evaluate_fixed")
+def q_v3_fixed(spark, sf_dir):
+    """Metrics of the fixed net on train and valid, by the job that evaluates an epoch."""
+    from .train import epoch_metrics, prepare
+    spec, theta = fixed_net()
+    data = prepare(_planted(spark, sf_dir), spec, id_col="vec_id")
+    rows = [(m["split"], m["task"], m["auc"], m["n_classes"], m["loss"], m["rows"])
+            for m in epoch_metrics(data, spec, theta)]
+    df = spark.createDataFrame(rows, "split string, task string, auc double, n_classes long, loss double, rows long")
+    return df.select("split", "task", r6("auc").alias("auc"), "n_classes", r6("loss").alias("loss"), "rows")
+
+
+@register("v4_report_fixed")
+def q_v4_fixed(spark, sf_dir):
+    """Train and test report of the fixed net."""
+    from .train import FitResult, final_report
+    spec, theta = fixed_net()
+    rep = final_report(_planted(spark, sf_dir), FitResult(spec=spec, theta=theta))
+    return rep.select("split", "task", r6("auc_exact").alias("auc_exact"), r6("auc_binned").alias("auc_binned"),
+                      F.col("n_classes").cast("long").alias("n_classes"), r6("loss").alias("loss"), "rows")
+
+
 @register("s7_model_roundtrip")
 def q_s7(spark, sf_dir):
     from ..session import scratch_path

@@ -513,6 +513,77 @@ ORACLE["e8_dense_forward"] = _fixed_net_sql()
 ORACLE["v1_predict"] = ORACLE["e8_dense_forward"]
 ORACLE["s7_model_roundtrip"] = ORACLE["e8_dense_forward"]
 
+# ------------------------------------------------------------- gradients and reports of the fixed net
+
+
+def _planted_ctes() -> str:
+    """``r``: a row for each vector with labels, split, hidden values, probabilities of both heads."""
+    from .catalog import fixed_weights
+    w1, b1, w_bin, b_bin, w_cls, b_cls = fixed_weights()
+    z = ", ".join(f"list_inner_product(x, {row}::DOUBLE[]) + {b}" for row, b in zip(w1, b1))
+    zc = ", ".join(f"list_inner_product(h, {row}::DOUBLE[]) + {b}" for row, b in zip(w_cls, b_cls))
+    return f"""
+px AS (SELECT e.vec_id, CAST(e.embedding AS DOUBLE[]) AS x, CASE WHEN e.label >= 5 THEN 1 ELSE 0 END AS y_bin,
+              CAST(e.label % 3 AS INTEGER) AS y_cls,
+              CASE WHEN e.vec_id < floor(b.n * 0.8) THEN 'train' WHEN e.vec_id < floor(b.n * 0.9) THEN 'valid'
+                   ELSE 'test' END AS split
+       FROM embeddings e, (SELECT CAST(max(vec_id) + 1 AS DOUBLE) AS n FROM embeddings) b),
+pz AS (SELECT *, [{z}] AS z FROM px),
+ph AS (SELECT *, [greatest(v, 0.0) for v in z] AS h FROM pz),
+pc AS (SELECT *, list_inner_product(h, {w_bin[0]}::DOUBLE[]) + {b_bin[0]} AS zb, [{zc}] AS zc FROM ph),
+pe AS (SELECT *, [exp(v - list_max(zc)) for v in zc] AS ec FROM pc),
+r AS (SELECT *, 1.0 / (1.0 + exp(-zb)) AS p_bin, [v / list_sum(ec) for v in ec] AS p_cls FROM pe)"""
+
+
+def _gradient_sql(both: bool) -> str:
+    from .catalog import fixed_weights
+    _, _, w_bin, _, w_cls, _ = fixed_weights()
+    dh = ", ".join("(db * {} {})".format(w_bin[0][j], "".join(f" + dc[{k + 1}] * {w_cls[k][j]}" for k in range(3)) if both else "")
+                   + f" * CASE WHEN z[{j + 1}] > 0 THEN 1 ELSE 0 END" for j in range(4))
+    parts = ["SELECT 'W1' AS param, i * 4 + j AS i, sum(x[i + 1] * dz[j + 1]) AS g FROM d, range(64) a(i), range(4) b(j) GROUP BY 1, 2",
+             "SELECT 'b1', j, sum(dz[j + 1]) FROM d, range(4) b(j) GROUP BY 1, 2",
+             "SELECT 'W_bin', j, sum(h[j + 1] * db) FROM d, range(4) b(j) GROUP BY 1, 2",
+             "SELECT 'b_bin', 0, sum(db) FROM d"]
+    if both:
+        parts += ["SELECT 'W_cls', j * 3 + k, sum(h[j + 1] * dc[k + 1]) FROM d, range(4) b(j), range(3) c(k) GROUP BY 1, 2",
+                  "SELECT 'b_cls', k, sum(dc[k + 1]) FROM d, range(3) c(k) GROUP BY 1, 2"]
+    return f"""
+WITH {_planted_ctes()},
+e AS (SELECT *, p_bin - y_bin AS db, [p_cls[k + 1] - CASE WHEN y_cls = k THEN 1 ELSE 0 END for k in range(3)] AS dc FROM r),
+d AS (SELECT *, [{dh}] AS dz FROM e)
+SELECT param, CAST(i AS INTEGER) AS i, round(g, 4) AS gradient FROM ({" UNION ALL ".join(parts)})
+"""
+
+
+ORACLE["m3_gradient"] = _gradient_sql(False)
+ORACLE["m5_gradient"] = _gradient_sql(True)
+
+_PLANTED_LONG = f"""{_planted_ctes()},
+long AS (SELECT split, 'bin' AS task, 0 AS class, y_bin AS y, p_bin AS p FROM r
+         UNION ALL SELECT split, 'cls', CAST(k AS INTEGER), CASE WHEN y_cls = k THEN 1 ELSE 0 END, p_cls[k + 1]
+         FROM r, range(3) c(k)),
+losses AS (SELECT split, 'bin' AS task,
+                  avg(-ln(greatest(least(CASE WHEN y_bin = 1 THEN p_bin ELSE 1 - p_bin END, 1 - 1e-7), 1e-7))) AS loss,
+                  count(*) AS rows FROM r GROUP BY split
+           UNION ALL SELECT split, 'cls', avg(-ln(greatest(least(p_cls[y_cls + 1], 1 - 1e-7), 1e-7))), count(*)
+           FROM r GROUP BY split),
+{exact_auc_ctes("long", "split, task, class", "lx")},
+{hist_ctes("long", "split, task, class", "lb")},
+tasks AS (SELECT lx.split, lx.task, avg(lx.auc) AS auc_exact, avg(lb.auc) AS auc_binned, count(lx.auc) AS n_classes
+          FROM lx JOIN lb ON lx.split = lb.split AND lx.task = lb.task AND lx.class = lb.class GROUP BY lx.split, lx.task)"""
+
+ORACLE["v3_evaluate_fixed"] = f"""
+WITH {_PLANTED_LONG}
+SELECT split, task, round(auc_binned, 6) AS auc, n_classes, round(loss, 6) AS loss, rows
+FROM tasks JOIN losses USING (split, task) WHERE split IN ('train', 'valid')
+"""
+ORACLE["v4_report_fixed"] = f"""
+WITH {_PLANTED_LONG}
+SELECT split, task, round(auc_exact, 6) AS auc_exact, round(auc_binned, 6) AS auc_binned, n_classes,
+       round(loss, 6) AS loss, rows
+FROM tasks JOIN losses USING (split, task) WHERE split IN ('train', 'test')
+"""
+
 # ------------------------------------------------------------- streaming forms
 ORACLE["s5_land_stream"] = ORACLE["s1_read_numbered_csv"]
 ORACLE["a3_roc_histogram_stream"] = ORACLE["a3_roc_histogram"]

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, ship_package
-from .net import NetSpec, forward, init_params, train_pass
+from .net import NetSpec, forward, init_params, loss_and_grad, train_pass
 from .score import arrow_matrix, evaluate, predict
 
 #: Shards of the train split.  A parameter of the algorithm, never derived from the data: 1 is plain mini-batch Adam,
@@ -248,6 +248,41 @@ def _merged(states, add):
     return [] if total is None else [total]
 
 
+def summed_gradient(df: DataFrame, spec: NetSpec, theta: np.ndarray, features: str = "features") -> DataFrame:
+    """(param, i, gradient): gradient of the loss summed over all rows, by the arithmetic of the training tasks.
+
+    Each task adds up its batches and returns one row for each parameter;
+    labels must be there in every row.
+    """
+    ship_package(df.sparkSession)
+    bc = df.sparkSession.sparkContext.broadcast((spec.to_json(), theta))
+    width = spec.n_in
+
+    def run(batches):
+        sp, th = NetSpec.from_json(bc.value[0]), bc.value[1]
+        total = np.zeros_like(th)
+        for b in batches:
+            if b.num_rows:
+                X = arrow_matrix(b.column("__x"), width)
+                Y = {h.task: b.column(h.label).to_numpy(zero_copy_only=False).astype(np.float64) for h in sp.heads}
+                total += loss_and_grad(sp, th, X, Y)[1] * len(X)  # the loss is a mean over the batch
+        names = [(n, i) for n, shape in sp.shapes() for i in range(int(np.prod(shape)))]
+        yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in names]), pa.array([i for _, i in names], pa.int32()),
+                                          pa.array(total)], ["param", "i", "gradient"])
+
+    narrow = df.select(F.col(features).cast("array<double>").alias("__x"),
+                       *[F.col(h.label).cast("double").alias(h.label) for h in spec.heads])
+    parts = narrow.mapInArrow(run, "param string, i int, gradient double")
+    return parts.groupBy("param", "i").agg(F.sum("gradient").alias("gradient"))
+
+
+def epoch_metrics(data: DataFrame, spec: NetSpec, theta: np.ndarray, splits: Sequence[str] = EVAL_SPLITS) -> list[dict]:
+    """V3: metrics of fixed weights, by the evaluation-only job that follows the last epoch."""
+    zero = np.zeros_like(theta)
+    *_, H, L = _epoch_job(data.where(F.col("split").isin(list(splits))), spec, (theta, zero, zero, 0), train=False)
+    return _metrics_from(spec, H, L, splits)
+
+
 def fit(df: DataFrame, spec: NetSpec, features: str = "features", id_col: str = "record_id",
         split_col: str = "split", shards: int = SHARDS,
         standardize: bool = True, eval_splits: Sequence[str] = ("train", "valid"),
@@ -325,8 +360,11 @@ def final_report(data: DataFrame, res: FitResult, splits: Sequence[str] = ("trai
     """V4: train and test AUC (exact and binned), loss and rows of a trained model."""
     spec = res.spec
     d = data.where(F.col("split").isin(list(splits)))
-    # predictions feed four aggregates below: score once (recomputable from lineage if lost)
-    pred = predict(d, spec, res.theta, keep=["split", *[h.label for h in spec.heads]]).persist()
+    # predictions feed the aggregates below: score once, into the shared folder
+    path = scratch_path(data.sparkSession, "predicted")
+    pred = predict(d, spec, res.theta, keep=["split", *[h.label for h in spec.heads]])
+    pred.write.parquet(path)
+    pred = data.sparkSession.read.schema(pred.schema).parquet(path)
     ex = evaluate(pred, spec, ["split"], method="exact")
     bn = evaluate(pred, spec, ["split"], method="binned").select("split", "task", F.col("auc").alias("auc_binned"))
     return ex.join(bn, ["split", "task"]).select("split", "task", F.col("auc").alias("auc_exact"), "auc_binned",
