@@ -12,8 +12,8 @@ def compact(df: DataFrame, path: str, id_col: str = "record_id", num_partitions:
     re-parsing thousands of tiny files every epoch.  Overwrite makes a rerun
     idempotent.
     """
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (df.repartitionByRange(n, id_col).sortWithinPartitions(id_col)
+    count = [num_partitions] if num_partitions else []  # without one, adaptive execution sizes the files by bytes
+    (df.repartitionByRange(*count, id_col).sortWithinPartitions(id_col)
        .write.mode("overwrite").parquet(path))
     return df.sparkSession.read.parquet(path)
 
