@@ -126,80 +126,6 @@ def evaluate(pred: DataFrame, spec: NetSpec, keys: Sequence[str] = ("split",), m
             .select(*keys, "task", F.col("auc_macro").alias("auc"), "n_classes", "loss", "rows"))
 
 
-_HIST_SCHEMA = "split string, task string, class int, bin int, pos long, neg long, loss_sum double, n long"
-
-
-def epoch_histograms(df: DataFrame, spec: NetSpec, theta: np.ndarray, steps: int = 100,
-                     features: str = "features", split: str = "split") -> DataFrame:
-    """Score and reduce in the same Arrow pass: per batch, ROC histograms and loss sums.
-
-    Each task emits at most (splits x classes x (steps+1)) rows per batch
-    instead of one row per record (map-side combine); one grouped sum merges
-    them.  Loss rows use ``bin = -1`` (``loss_sum``, ``n``).
-    """
-    spark = df.sparkSession
-    ship_package(spark)
-    labels = [h.label for h in spec.heads]
-    in_df = df.select(F.col(split).alias("split"), F.col(features).cast("array<double>").alias("__x"),
-                      *[F.col(c).cast("double").alias(c) for c in labels])
-    bc = spark.sparkContext.broadcast((spec.to_json(), theta))
-    width = spec.n_in
-
-    def run(batches):
-        from .net import CLIP
-        spec_json, th = bc.value
-        sp = NetSpec.from_json(spec_json)
-        acc: dict = {}
-        for b in batches:
-            if b.num_rows == 0:
-                continue
-            probs = forward(sp, th, arrow_matrix(b.column("__x"), width))
-            splits = np.asarray(b.column("split").to_pylist(), dtype=object)
-            for s in np.unique(splits):
-                sel = splits == s
-                for h in sp.heads:
-                    y = b.column(h.label).to_numpy(zero_copy_only=False)[sel]
-                    ok = ~np.isnan(y)
-                    y = y[ok]
-                    if len(y) == 0:
-                        continue
-                    p = probs[h.task][sel][ok]
-                    if h.n == 1:
-                        pcs = [(0, p, y == 1)]
-                        loss = -(y * np.log(np.clip(p, CLIP, 1 - CLIP))
-                                 + (1 - y) * np.log(np.clip(1 - p, CLIP, 1 - CLIP))).sum()
-                    else:
-                        yi = y.astype(np.int64)
-                        pcs = [(c, p[:, c], yi == c) for c in range(h.n)]
-                        loss = -np.log(np.clip(p[np.arange(len(yi)), yi], CLIP, 1 - CLIP)).sum()
-                    lk = (s, h.task, -1, -1)
-                    a = acc.setdefault(lk, [0, 0, 0.0, 0])
-                    a[2] += float(loss)
-                    a[3] += len(y)
-                    for c, pc, pos in pcs:
-                        bins = np.clip(np.floor(np.round(pc * steps, 9)), 0, steps).astype(np.int64)
-                        bp = np.bincount(bins[pos], minlength=steps + 1)
-                        bn = np.bincount(bins[~pos], minlength=steps + 1)
-                        for k in np.nonzero(bp + bn)[0]:
-                            a = acc.setdefault((s, h.task, c, int(k)), [0, 0, 0.0, 0])
-                            a[0] += int(bp[k])
-                            a[1] += int(bn[k])
-        keys = list(acc)
-        yield pa.RecordBatch.from_pydict({
-            "split": [k[0] for k in keys], "task": [k[1] for k in keys],
-            "class": [k[2] for k in keys], "bin": [k[3] for k in keys],
-            "pos": [acc[k][0] for k in keys], "neg": [acc[k][1] for k in keys],
-            "loss_sum": [acc[k][2] for k in keys], "n": [acc[k][3] for k in keys]},
-            schema=pa.schema([("split", pa.string()), ("task", pa.string()), ("class", pa.int32()),
-                              ("bin", pa.int32()), ("pos", pa.int64()), ("neg", pa.int64()),
-                              ("loss_sum", pa.float64()), ("n", pa.int64())]))
-
-    return (in_df.mapInArrow(run, _HIST_SCHEMA)
-            .groupBy("split", "task", "class", "bin")
-            .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"),
-                 F.sum("loss_sum").alias("loss_sum"), F.sum("n").alias("n")))
-
-
 def trapezoid_auc(bins_pos_neg: list[tuple[int, int, int]]) -> float | None:
     """Binned AUC from one group's histogram rows (bin, pos, neg): the same
     trapezoid as ``auc_binned``, for a collected (<= steps+1 rows) histogram."""
@@ -215,22 +141,3 @@ def trapezoid_auc(bins_pos_neg: list[tuple[int, int, int]]) -> float | None:
         tp += pos
         fp += neg
     return area / (n1 * n0)
-
-
-def epoch_metrics(df: DataFrame, spec: NetSpec, theta: np.ndarray, steps: int = 100) -> list[dict]:
-    """Per (split, task): binned AUC (macro over classes), mean loss, rows -- one small job."""
-    rows = epoch_histograms(df, spec, theta, steps).collect()   # bounded: splits x classes x (steps+1)
-    hist: dict = {}
-    loss: dict = {}
-    for r in rows:
-        if r["bin"] < 0:
-            loss[(r["split"], r["task"])] = (r["loss_sum"], r["n"])
-        else:
-            hist.setdefault((r["split"], r["task"], r["class"]), []).append((r["bin"], r["pos"], r["neg"]))
-    out = []
-    for (s, task), (ls, n) in sorted(loss.items()):
-        aucs = [trapezoid_auc(v) for (s2, t2, _c), v in hist.items() if s2 == s and t2 == task]
-        defined = [a for a in aucs if a is not None]
-        out.append({"split": s, "task": task, "auc": float(np.mean(defined)) if defined else None,
-                    "n_classes": len(defined), "loss": ls / n if n else None, "rows": int(n)})
-    return out

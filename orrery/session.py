@@ -96,17 +96,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/orrery-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
-
-
 _SHIPPED: set[str] = set()
 
 

@@ -5,7 +5,7 @@ import pytest
 
 from orrery.plans import train as tr
 from orrery.plans.net import Head, NetSpec, forward, init_params, loss_and_grad, train_pass
-from orrery.plans.score import epoch_metrics, evaluate, predict
+from orrery.plans.score import evaluate, predict
 
 
 def _spec(**kw):
@@ -91,7 +91,7 @@ def test_fused_evaluation_equals_dataframe_evaluation(spark):
     rows = [(i, "train" if i % 3 else "valid", rng.normal(size=6).tolist(), int(rng.integers(0, 2)),
              None if i % 11 == 0 else int(rng.integers(0, 4))) for i in range(300)]
     df = spark.createDataFrame(rows, "record_id long, split string, features array<double>, yb int, ym int")
-    fused = {(r["split"], r["task"]): r for r in epoch_metrics(df, spec, th)}
+    fused = {(r["split"], r["task"]): r for r in tr.epoch_metrics(tr.prepare(df, spec), spec, th)}
     pred = predict(df, spec, th, keep=["split", "yb", "ym"])
     frame = {(r["split"], r["task"]): r for r in evaluate(pred, spec).collect()}
     assert fused.keys() == frame.keys()
@@ -137,7 +137,8 @@ def test_in_training_evaluation_equals_separate_evaluation(spark):
                                                            df["y"].cast("double").alias("y"))
     assert np.array_equal(seen[1], res.theta)
     for epoch in (0, 1):
-        sep = {(r["split"], r["task"]): r for r in epoch_metrics(data, spec, seen[epoch])}
+        pred = predict(data, spec, seen[epoch], keep=["split", "y"])
+        sep = {(r["split"], r["task"]): r for r in evaluate(pred, spec).collect()}
         fused = {(m["split"], m["task"]): m for m in res.metrics if m["epoch"] == epoch}
         assert sep.keys() == fused.keys()
         for k in sep:
