@@ -154,34 +154,38 @@ class Words:
 
 # ---------------------------------------------------------------- connected components
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """Smallest reachable id of every node: (node, component), for ``edges`` (a, b) of long ids.
-
-    Alternating large-star and small-star steps: each step is one minimum per
-    node (partial aggregation, so a hub's neighbours never meet in one task)
-    and one equi-join back, which adaptive execution splits when a hub is
-    skewed.  The edge table never grows, and every round is written to the
-    shared folder.  Ends when a round changes nothing; null ids and self loops
-    are ignored, repeated edges collapse.
+def components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
+    """(node, component) for ``edges`` (a, b) of long ids: equal components mean that nodes are connected.
+
+    Rounds of contraction: every node goes to that of itself and its
+    neighbours whose hash is smallest, edges follow, and loops go.  A star is
+    gone after two rounds, a path loses a third of its nodes in each, and every
+    second round hashes anew.  The smallest is a partial aggregate, so a hub's
+    neighbours never meet in one task, and the joins are equi-joins, which
+    adaptive execution splits when a hub is skewed.  Each round is written to
+    the shared folder.  Loops and null ids are ignored, repeated edges collapse.
     """
-    e = stored(edges.select("a", "b").where("a <> b").distinct(), "cc")
-    state = None
-    for _ in range(max_rounds):
+    def between(df: DataFrame) -> DataFrame:
+        return df.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    e = stored(between(edges.select("a", "b")), "edges")
+    steps = []
+    while not e.isEmpty():
+        if len(steps) == max_rounds:
+            raise RuntimeError("connected components did not settle")
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a <> b").distinct()
-        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        low = down.groupBy("a").agg(F.min("b").alias("m"))
-        small = down.join(low, "a")
-        small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(
-            low.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
-        e = stored(small, "cc")
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == state:
-            break
-        state = now
-    else:
-        raise RuntimeError("connected components did not settle")
-    return e.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
-        e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+        order = [F.xxhash64(c, F.lit(len(steps) // 2)) for c in ("a", "b")]
+        near = F.min(F.struct(order[1].alias("h"), F.col("b").alias("to")))
+        to = both.groupBy("a").agg(F.least(near, F.struct(order[0].alias("h"), F.col("a").alias("to"))).alias("m"))
+        to = stored(to.select(F.col("a").alias("node"), F.col("m.to").alias("to")), "steps")
+        steps.append(to)
+        moved = e.join(to.withColumnsRenamed({"node": "a", "to": "ma"}), "a")
+        moved = moved.join(to.withColumnsRenamed({"node": "b", "to": "mb"}), "b")
+        e = stored(between(moved.select(F.col("ma").alias("a"), F.col("mb").alias("b"))), "edges")
+    if not steps:
+        return e.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    out = steps[0].withColumnRenamed("to", "component")
+    for to in steps[1:]:
+        out = out.join(to.withColumnsRenamed({"node": "component", "to": "__to"}), "component", "left")
+        out = out.select("node", F.coalesce("__to", "component").alias("component"))
+    return out
