@@ -97,12 +97,11 @@ def judge(df: DataFrame, text: str = "text", id_col: str = "doc_id", lang: str =
     own = fences(sk, "__lang", "__source")
     of_lang = fences(sk, "__lang").select(F.col("__lang").alias("__l"), F.col("n").alias("__n"),
                                           *[F.col(c).alias(f"__l_{c}") for c in sides])
-    of_all = fences(sk.withColumn("__all", F.lit(1)), "__all").select("__all", *[F.col(c).alias(f"__a_{c}") for c in sides])
-    limits = own.join(of_lang, F.col("__lang").eqNullSafe(F.col("__l")), "left").withColumn("__all", F.lit(1))
-    limits = limits.join(F.broadcast(of_all), "__all")  # one row
+    limits = own.join(of_lang, F.col("__lang").eqNullSafe(F.col("__l")), "left")
+    whole = fences(sk.withColumn("__all", F.lit(1)), "__all").first()  # one row
     limits = stored(limits.select(F.col("__lang").alias("__l"), F.col("__source").alias("__s"), *[
         F.when(F.col("n") >= LEAST, F.col(c)).when(F.col("__n") >= LEAST, F.col(f"__l_{c}")).otherwise(
-            F.col(f"__a_{c}")).alias(c) for c in sides]), "fences")
+            F.lit(whole[c] if whole else None)).alias(c) for c in sides]), "fences")
     j = m.join(limits, F.col("__lang").eqNullSafe(F.col("__l")) & F.col("__source").eqNullSafe(F.col("__s")), "left")
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     out_of = [F.when((v > F.col(f"high_{k}")) | ((v < F.col(f"low_{k}")) if k == "length" else F.lit(False)), F.lit(k))
