@@ -18,7 +18,7 @@ Steps 2 and 4 both read the range-partitioned rows, so they are checkpointed
 once: the partition of a row must be the same in both passes.
 
 The order keys must be unique within a group (add a tie-breaker column), so
-the result does not depend on partitioning.
+the result does not depend on partitioning.  Null group values form a group.
 """
 
 from __future__ import annotations
@@ -70,7 +70,12 @@ def prefix_sums(df: DataFrame, by: Sequence[str], order: Sequence[str], values:
     end = Window.currentRow if inclusive else -1
     w_loc = Window.partitionBy(_PID, *by).orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, end)
     local = ranged.select("*", *[F.sum(v).over(w_loc).alias(f"__loc_{v}") for v in values])
-    out = local.join(F.broadcast(offsets), [_PID, *by], "left")
+    # A null group value is a group like any other, so its offsets must match too.
+    offsets = offsets.withColumnsRenamed({c: f"__of_{c}" for c in [_PID, *by]})
+    same = F.col(_PID) == F.col(f"__of_{_PID}")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"__of_{c}"))
+    out = local.join(F.broadcast(offsets), same, "left")
     zero = F.lit(0)
     return out.select(*[F.col(c) for c in df.columns],
                       *[(F.coalesce(F.col(f"__off_{v}"), zero) + F.coalesce(F.col(f"__loc_{v}"), zero))

@@ -78,6 +78,22 @@ def test_hot_source_over_many_partitions(spark):
     assert max(abs(took[s] - t) for s, t in target.items()) <= 50
 
 
+def test_a_hot_null_source_over_many_partitions(spark):
+    rows = [(i, None if i % 3 else f"s{i % 7}", 1 + i % 50) for i in range(6000)]
+    one = plan(spark, rows)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as many ranges as the session has
+    try:
+        got = plan(spark, rows)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    took, target = Counter(), {}
+    for r in got:
+        took[r["__source"]] += r.copies * r["__size"]
+        target[r["__source"]] = r.target
+    assert max(abs(took[s] - t) for s, t in target.items()) <= 50
+    assert {r["__key"]: r for r in got} == {r["__key"]: r for r in one}
+
+
 def test_times_follow_the_density(spark):
     got = plan(spark, [(i, f"s{i % 4}", 10) for i in range(4000)])
     by = defaultdict(list)

@@ -40,3 +40,15 @@ def test_hot_group_spreads_over_partitions(spark):
     ranged = df.repartitionByRange(8, "g", "o").withColumn("pid", F.spark_partition_id())
     per_pid = ranged.where("g = 0").groupBy("pid").count().collect()
     assert len(per_pid) >= 2          # the hot group is not in one task
+
+
+def test_a_null_group_keeps_its_offsets(spark):
+    rows = [(None if i % 3 else i % 5, i % 2 or None, (i * 7919) % 3001, 1 + i % 4) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g long, h long, o long, v long")
+    groups = {}
+    for g, h, o, v in sorted(rows, key=lambda r: r[2]):
+        groups.setdefault((g, h), []).append((o, v))
+    want = {(g, h, o): sum(v for _, v in x[:k]) for (g, h), x in groups.items() for k, (o, _) in enumerate(x)}
+    for parts in (1, 8, 17):
+        got = prefix_sums(df, ["g", "h"], ["o"], ["v"], num_partitions=parts).collect()
+        assert {(r.g, r.h, r.o): r.v_before for r in got} == want
