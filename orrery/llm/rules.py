@@ -9,7 +9,8 @@ sketch has a few hundred bins, however many rows its source holds.
 The upper fence of a ratio is its third quartile plus ``REACH`` times the
 interquartile range, at least ``SLACK`` of that ratio above the quartile (a
 range of nothing is no reason to drop a document); mean word length also has a
-lower one.  A (language, source) with under ``LEAST`` documents takes the
+lower one.  On the given tables ``SLACK`` is the larger of the two for every
+group and ratio, so constants decide there (figures in the README).  A (language, source) with under ``LEAST`` documents takes the
 fences of its language, a language with under ``LEAST`` those of the table.
 Counts do not depend on the order of rows, so reruns agree.
 
