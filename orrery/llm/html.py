@@ -6,8 +6,12 @@ adverts, comments and the like go by their element, role or the words of their
 class and id.  Each remaining block of text gives points for its length and
 commas to its ancestors (all to the parent, half to the next, a third, ...),
 and an element's points are discounted by the share of its text that is links.
-The best container stays, with those siblings that score close to it or are
-plain paragraphs; lists and boxes of mostly links inside them go.
+The best container stays.  Inside an article or main element all of that
+element stays, links too.  Elsewhere all of its parent stays, if that holds most
+of the text that is not links; beside a container at page level stay headings,
+paragraphs, lists, tables, bare text and the boxes that score close to it, and
+lists and boxes of mostly links go.  If the words of a class or id dropped the
+best container and what is left has few points, its ancestors come back.
 
 Text is decoded, white space inside a block becomes one space, blocks are
 trimmed and joined in page order by an empty line.  Nothing else is dropped or
@@ -29,8 +33,7 @@ from .common import text_pass
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/><]*)([^>]*)>|<[!?/][^>]*(?:>|\Z)", re.S)
 _QUOTED = re.compile(r"""=\s*(?:"[^"]*"|'[^']*')""")
 _OPEN_QUOTE = re.compile(r"""=\s*(["'])""")
-#: An attribute's value that holds ">" is read as such up to this length.
-_LONG_VALUE = 4096
+_VALUE_OR_END = re.compile(r"""=\s*(["'])|>""")
 _ATTR = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|([^\s=/"'>]+)""")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
@@ -58,30 +61,42 @@ _DROP_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "adsense", "al
                "notices", "notification", "pager", "pagination", "popup", "promo", "promoted", "promotion", "recommended",
                "related", "replies", "reply", "respond", "share", "sharing", "shoutbox", "sidebar", "signup", "skip", "social",
                "sponsor", "sponsored", "subscribe", "subscription", "tags", "toolbar", "widget", "widgets"}
+#: A word after one of these says what is not there, or is beside the element.
+_ABOUT = {"has", "no", "with", "without"}
 #: Ancestors that a block gives points to.
 _LEVELS = 5
 _KEEP_TAGS = {"html", "body", "article", "main"}
 _CONTENT = {"article": 25.0, "main": 25.0, "body": 0.0}
 _LISTS = {"ul", "ol", "dl", "table", "div", "section"}
+#: A container that class words dropped comes back, if the best other has fewer points than this and a fifth of its own.
+_LITTLE = 10.0
 
 
 class Node:
-    __slots__ = ("tag", "parent", "kids", "drop", "size", "links", "score", "inside")
+    __slots__ = ("tag", "parent", "kids", "drop", "size", "links", "score", "inside", "soft")
 
     def __init__(self, tag: str, parent: Node | None, drop: bool):
         self.tag, self.parent, self.drop = tag, parent, drop
         self.kids: list[Node | str] = []
         self.size = self.links = 0
         self.score = 0.0
+        self.soft = False
         self.inside = parent is not None and (parent.inside or parent.tag in ("article", "main"))
 
 
-def _dropped(tag: str, attrs: str, inside: bool) -> bool:
-    """Whether an element is not part of any article."""
+def _names(value: str) -> bool:
+    """Whether a class or id holds a word of what is dropped."""
+    words = [w.lower() for w in _WORD.findall(value)]
+    return any(w in _DROP_WORDS and (i == 0 or words[i - 1] not in _ABOUT) for i, w in enumerate(words))
+
+
+def _dropped(tag: str, attrs: str, inside: bool) -> bool | None:
+    """Whether an element is not part of any article; None if only a word of its class or id says so."""
     if tag in _DROP_TAGS or tag == "header" and not inside:
         return True
     if not attrs or tag in _KEEP_TAGS:
         return False
+    out: bool | None = False
     for m in _ATTR.finditer(attrs):
         name = (m[1] or m[5]).lower()
         value = m[2] or m[3] or m[4] or ""
@@ -91,15 +106,26 @@ def _dropped(tag: str, attrs: str, inside: bool) -> bool:
             return True
         if name == "role" and value.strip().lower() in _DROP_ROLES:
             return True
-        if name in ("class", "id") and any(w.lower() in _DROP_WORDS for w in _WORD.findall(value)):
-            return True
-    return False
+        if name in ("class", "id") and _names(value):
+            out = None
+    return out
 
 
-def parse(page: str) -> Node:
-    """The tree of a page; text that is dropped is left out of it."""
+def _tag_end(page: str, at: int) -> int:
+    """Place of the ``>`` that ends a tag, outside of quoted values; -1 without one."""
+    while m := _VALUE_OR_END.search(page, at):
+        if not m[1]:
+            return m.start()
+        at = page.find(m[1], m.end()) + 1
+        if not at:
+            break
+    return -1
+
+
+def parse(page: str) -> tuple[Node, list[Node]]:
+    """The tree of a page and its elements that only a word drops; other text that is dropped is left out of it."""
     root = Node("#root", None, False)
-    open_ = [root]
+    open_, soft, whole = [root], [], True
     count: Counter[str] = Counter()
     at, raw_until = 0, None
     n, last = len(page), page.rfind(">")
@@ -125,25 +151,29 @@ def parse(page: str) -> Node:
             if count[tag]:
                 _close(open_, tag, count)
             continue
-        if "=" in attrs and (quote := _OPEN_QUOTE.search(_QUOTED.sub("", attrs))):
-            end = page.find(quote[1], at, at + _LONG_VALUE)
-            end = page.find(">", end, end + _LONG_VALUE) if end >= 0 else -1
-            if end >= 0:
-                attrs, at = attrs + page[at - 1:end], end + 1
+        if whole and "=" in attrs and _OPEN_QUOTE.search(_QUOTED.sub("", attrs)):
+            end = _tag_end(page, m.end(2))
+            whole = end >= 0  # a page that ends inside a tag is read without quotes from there on
+            if whole:
+                attrs, at = page[m.end(2):end], end + 1
         if tag in _BLOCK and count["p"]:
             _end(open_, {"p"}, _WALL, count)
         if tag in _ENDS and any(count[t] for t in _ENDS[tag][0]):
             _end(open_, *_ENDS[tag], count)
         top = open_[-1]
-        node = Node(tag, top, top.drop or _dropped(tag, attrs, top.inside or top.tag in ("article", "main")))
+        drop = top.drop or _dropped(tag, attrs, top.inside or top.tag in ("article", "main"))
+        node = Node(tag, top, bool(drop))
         if not node.drop:
             top.kids.append(node)
+        if drop is None:
+            node.soft = True
+            soft.append(node)
         if tag in _RAW:
             raw_until = re.compile(rf"</{re.escape(tag)}\s*[^>]*>", re.I)
         elif tag not in _VOID and (tag in _BLOCK or not attrs.endswith("/")):  # a slash does not close a block
             open_.append(node)
             count[tag] += 1
-    return root
+    return root, soft
 
 
 def _cut(open_: list[Node], at: int, count: Counter[str]) -> None:
@@ -174,6 +204,7 @@ def _measure(root: Node) -> list[Node]:
     order, stack = [], [root]
     while stack:
         node = stack.pop()
+        node.score = 0.0
         order.append(node)
         stack.extend(k for k in node.kids if type(k) is Node)
     order.reverse()
@@ -207,8 +238,8 @@ def _density(node: Node) -> float:
     return node.links / node.size if node.size else 0.0
 
 
-def _chosen(root: Node) -> list[Node]:
-    """The best container and the siblings that belong to it, in page order."""
+def _best(root: Node) -> tuple[Node, float]:
+    """The best container and its points."""
     order = _measure(root)
     best, most = root, -1.0
     for node in reversed(order):
@@ -216,16 +247,47 @@ def _chosen(root: Node) -> list[Node]:
             score = (node.score + _CONTENT.get(node.tag, 0.0)) * (1 - _density(node)) if node.size else 0.0
             if score > most and (node is not root or not node.kids):
                 best, most = node, score
-    if best is root or best.parent is None:
-        return [root]
-    out = []
-    for k in best.parent.kids:
-        if type(k) is str:
-            continue
-        near = k.tag in _BLOCK and k.size and k.score * (1 - _density(k)) >= max(10.0, most / 5)
-        plain = k.tag == "p" and (k.size > 80 and _density(k) < 0.25)
-        if k is best or k.tag in ("article", "div", "section", "main") and near or plain:
-            out.append(k)
+    return best, most
+
+
+def _prune(soft: list[Node]) -> None:
+    for top in {id(n.parent): n.parent for n in soft if n.soft}.values():
+        top.kids = [k for k in top.kids if type(k) is str or not k.soft]
+
+
+def _chosen(root: Node, soft: list[Node]) -> Node:
+    """What belongs to the article, in page order."""
+    before = [(n.parent, n.parent.kids) for n in soft]
+    _prune(soft)
+    best, most = _best(root)
+    for top, kids in before:
+        top.kids = kids
+    if soft:
+        held, points = _best(root)
+        if most < min(_LITTLE, points / 5):
+            while held is not None:
+                held.soft, held = False, held.parent
+        _prune(soft)
+        best, most = _best(root)
+    up = best
+    while up is not None:  # all of the outermost article
+        if up.tag in ("article", "main"):
+            best = up
+        up = up.parent
+    top = best.parent
+    if best is root or top is None:
+        return root
+    if top.tag not in ("body", "html", "#root") and 2 * (top.size - top.links) >= root.size - root.links:
+        return top
+    out = Node("div", None, False)
+    for k in top.kids:
+        if type(k) is str or k is best:
+            out.kids.append(k)
+        elif k.tag in ("article", "div", "section", "main"):
+            if k.size and k.score * (1 - _density(k)) >= max(_LITTLE, most / 5):
+                out.kids.append(k)
+        elif _density(k) <= 0.6:
+            out.kids.append(k)
     return out
 
 
@@ -242,7 +304,7 @@ def _blocks(node: Node, out: list[list[str]], top: bool = True) -> None:
             if k.tag == "br":
                 out[-1].append(" ")
                 continue
-            if k.tag in _LISTS and k.size and _density(k) > 0.6:
+            if k.tag in _LISTS and k.size and not k.inside and _density(k) > 0.6:
                 continue
             if k.tag in _BLOCK:
                 out.append([])
@@ -257,8 +319,7 @@ def _blocks(node: Node, out: list[list[str]], top: bool = True) -> None:
 def extract(page: str) -> str:
     """Main text of a page."""
     out: list[list[str]] = []
-    for node in _chosen(parse(page)):
-        _blocks(node, out)
+    _blocks(_chosen(*parse(page)), out)
     texts = (" ".join(entities.unescape("".join(b)).split()) for b in out if b)
     return "\n\n".join(t for t in texts if t)
 

@@ -37,6 +37,39 @@ def test_small_pages(page, text):
     assert html.extract(page) == text
 
 
+LONG = "This is a long paragraph, with commas, and enough words, to count as text of the article."
+TEN = f"<p>{LONG}</p>" * 10
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<article><h1>T</h1><div>{TEN}</div><div><p>End.</p></div></article>", ["T", *[LONG] * 10, "End."]),
+    (f"<main>Bare<div>{TEN}</div><pre>code</pre><section><p>End.</p></section></main>",
+     ["Bare", *[LONG] * 10, "code", "End."]),
+    (f"<body><div><h2>T</h2><div>{TEN}</div><blockquote>Q</blockquote><table><tr><td>x</table></div></body>",
+     ["T", *[LONG] * 10, "Q", "x"]),
+    (f"<body><h1>T</h1><div>{TEN}</div><ul><li>point</li></ul><p>End.</p><ul><li><a href=x>links</a></ul></body>",
+     ["T", *[LONG] * 10, "point", "End."]),
+    (f"<body><div class='page has-sidebar'><article>{TEN}</article></div></body>", [LONG] * 10),
+    (f"<body><div class='layout menu'><div>{TEN}</div><div class=ad>Buy</div></div><p>x</p></body>", [LONG] * 10),
+    (f"<article>{TEN}<ul><li><a href=1>one</a></li><li><a href=2>two</a></li></ul></article>", [*[LONG] * 10, "one", "two"]),
+    (f"<article><p title='{'a > b ' * 2000}' lang=\"x > y\">kept</p></article>", ["kept"]),
+])
+def test_whole_articles(page, text):
+    assert html.extract(page) == "\n\n".join(text)
+
+
+def test_long_comments_do_not_replace_the_article():
+    page = f"<body><div>{TEN}</div><div class=comments>{TEN * 9}</div></body>"
+    assert html.extract(page) == "\n\n".join([LONG] * 10)
+
+
+def test_quotes_without_end_take_linear_time():
+    began = time.time()
+    for page in ("<a b='>' " * 50_000, "<a b=\"x>" * 50_001, "<p class=ad>x" * 30_000, "<a b='" + "x > " * 200_000 + "'>y"):
+        html.extract(page)
+    assert time.time() - began < 30
+
+
 def test_bad_markup_takes_linear_time():
     began = time.time()
     for page in ("<div>x" * 30_000, "<p><b>x" * 30_000 + "</i>" * 30_000, "<a title=\"x>" * 30_000, "<a " * 100_000,
