@@ -7,9 +7,10 @@ strengths of the training rows at the share of label 0 (half-way to the next
 strength), and the score is the logistic function of the strength's distance
 from the cut, moved so that the cut scores ``CUT``.
 
-The fit uses at most ``FIT_ROWS`` rows of each label, those of lowest id hash:
-a documented bound on what reaches the driver.  Features, label counts and
-scores cover every row.
+The fit of the weights uses at most ``FIT_ROWS`` rows of each label, those of
+lowest id hash: a documented bound on what reaches the driver.  Features, label
+counts, the cut and scores cover every row; the cut is found by exact rank in a
+prefix sum over the distinct strengths.
 
 Rows without a label, with a null id or with both labels do not train.
 Without rows of both labels every score is 0.5.  Null text counts as empty and
@@ -25,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.scan import prefix_sums
 from .common import text_pass
 from .textstats import TextStats
 
@@ -74,12 +76,16 @@ class Model:
     weights: tuple[float, ...]
     cut: float
 
+    def strength(self, features: str = FEATURES) -> Column:
+        strength = F.lit(0.0)
+        for i, w in enumerate(self.weights):
+            strength = strength + F.lit(w) * F.col(features)[i]
+        return strength
+
     def score(self, features: str = FEATURES) -> Column:
         if not self.weights:
             return F.lit(0.5)
-        strength = F.lit(-self.cut)
-        for i, w in enumerate(self.weights):
-            strength = strength + F.lit(w) * F.col(features)[i]
+        strength = self.strength(features) - F.lit(self.cut)
         return 1 / (1 + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), strength))) * ((1 - CUT) / CUT))
 
 
@@ -98,7 +104,17 @@ def fit(features: DataFrame, labels: DataFrame, id_col: str = "doc_id", label: s
         upto = min(1.0, _SPARE * FIT_ROWS / count[y]) * (1 << 31)  # so each task sends its share, not FIT_ROWS of them
         pick = rows.where((F.col("__y") == y) & (place < upto)).orderBy(place, "__id").limit(FIT_ROWS)
         side[y] = np.array([r[0] for r in pick.select(FEATURES).collect()])
-    return _solve(side[1], side[0], count[1], count[0])
+    model = _solve(side[1], side[0], count[1], count[0])
+    return Model(model.weights, _cut(rows, model, count[0]))
+
+
+def _cut(rows: DataFrame, model: Model, n_bad: int) -> float:
+    """Half-way between the ``n_bad``-th strength of all rows and the next."""
+    each = rows.groupBy(model.strength().alias("__strength")).agg(F.count("*").alias("__n"))
+    upto = prefix_sums(each.withColumn("__all", F.lit(1)), ["__all"], ["__strength"], ["__n"])
+    near = upto.where((F.col("__n_before") <= n_bad) & (F.col("__n_before") + F.col("__n") >= n_bad))  # one row or two
+    lo, hi = near.agg(F.min("__strength"), F.max("__strength")).first()
+    return float((lo + hi) / 2)
 
 
 def _solve(good: np.ndarray, bad: np.ndarray, n_good: int, n_bad: int) -> Model:

@@ -1,5 +1,7 @@
 """Held-out accuracy, and tables without what the fit needs."""
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -30,6 +32,18 @@ def test_fit_orders_pairs_and_cuts_at_the_share_of_bad_rows():
     assert np.isclose((strength < m.cut).mean(), 0.2, atol=0.003)
 
 
+def test_the_cut_covers_rows_that_the_fit_does_not_see(spark, monkeypatch):
+    monkeypatch.setattr(quality, "FIT_ROWS", 40)
+    rnd = np.random.default_rng(2)
+    ids = [i for i in range(3000) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(i, [float(x) for x in rnd.normal([2 * (i % 4 > 0), 0], 1)]) for i in ids]
+    rows += [(ids[0], rows[0][1])] * 3
+    features = spark.createDataFrame(rows, f"doc_id long, {quality.FEATURES} array<double>")
+    labels = spark.createDataFrame([(i, int(i % 4 > 0)) for i in ids], "doc_id long, quality int")
+    model = quality.fit(features, labels)
+    assert features.where(model.score() < quality.CUT).count() == sum(i % 4 == 0 for i, _ in rows)
+
+
 def test_features_are_finite_for_any_text():
     texts = pa.array(["", " ", "\n\n", "a", "!!!", "#" * 1000, "漢字", "A\nA\nA"], pa.large_string())
     x = quality._matrix(quality.TextStats(texts))
