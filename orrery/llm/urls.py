@@ -10,7 +10,8 @@ Work is on distinct urls.  A url's rule is found by an equi-join on the
 suffixes of its host (at label borders), so the list of rules may be large.
 Nodes are urls without scheme, fragment, tracking parameters and the slash at
 their end: forms that lead to one page.  Edges come from the pages' canonical
-links and immediate refreshes, and from a table of redirects if one is given.
+links and refreshes to a url (all of a page, after any delay), and from a table
+of redirects if one is given.
 
 A null url, or one without ``://``, has an empty host and path, is no alias of
 anything and is allowed, as no rule fits.  Repeated rows are judged alike.
@@ -27,7 +28,7 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _CANONICAL = r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>"""
 _REFRESH = r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""
 _HREF = r"""(?is)\bhref\s*=\s*["']?([^"'\s>]+)"""
-_GOTO = r"""(?is)\bcontent\s*=\s*["']?\s*[0-4]\s*;\s*url\s*=\s*["']?([^"'\s>]+)"""
+_GOTO = r"""(?is)\bcontent\s*=\s*["']?\s*[0-9.]+(?:\s*[;,]\s*|\s+)url\s*=\s*["']?([^"'\s>]+)"""
 _TRACKING = r"(^|&)(?:utm_[^=&]*|fbclid|gclid)(?:=[^&]*)?(?=&|$)"
 
 
@@ -64,12 +65,14 @@ def _resolved(base: Column, link: Column) -> Column:
 
 
 def edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(a, b): node names that a page's canonical link or immediate refresh makes aliases."""
-    tag = F.concat(F.regexp_extract(F.col(html), _CANONICAL, 0), F.lit("\n"))
-    goto = F.regexp_extract(F.regexp_extract(F.col(html), _REFRESH, 0), _GOTO, 1)
-    some = F.col(html).contains("canonical") | F.lower(html).contains("http-equiv")
-    links = pages.where(some).select(F.col(url).alias("__url"), F.explode(
-        F.array(F.regexp_extract(tag, _HREF, 1), goto)).alias("__link")).where("__link <> ''")
+    """(a, b): node names that a page's canonical links or refreshes make aliases."""
+    def found(tag: str, part: str) -> Column:
+        return F.transform(F.regexp_extract_all(F.col(html), F.lit(tag), F.lit(0)), lambda t: F.regexp_extract(t, part, 1))
+
+    low = F.lower(html)
+    links = pages.where(low.contains("canonical") | low.contains("http-equiv")).select(
+        F.col(url).alias("__url"), F.explode(F.array_distinct(F.concat(found(_CANONICAL, _HREF), found(_REFRESH, _GOTO))))
+        .alias("__link")).where("__link <> ''")
     link = F.regexp_replace("__link", "&amp;", "&")
     return links.select(node(F.col("__url")).alias("a"), node(_resolved(F.col("__url"), link)).alias("b"))
 

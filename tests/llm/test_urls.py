@@ -58,6 +58,16 @@ def test_aliases_carry_blocks_unless_one_is_allowed(spark):
     assert {i: v[3] for i, v in got.items()} == {1: "block", 2: "block", 3: "block", 4: "allow"}
 
 
+def test_all_forms_of_canonical_links_and_refreshes(spark):
+    bad = "http://bad.example.net/fr/1"
+    refresh = '<meta http-equiv="refresh" content="%s">'
+    html = ["", f'<LINK REL="CANONICAL" HREF="{bad}">', f"<link rel=Canonical href={bad}>", refresh % f"5; url={bad}",
+            refresh % f"300;URL={bad}", refresh % f"0.5, url='{bad}'", refresh % "300" + refresh % f"0; url={bad}",
+            f'<link rel=canonical href="/self">\n<link rel=canonical href="{bad}">', refresh % "300", refresh % "5; /x"]
+    got = judge(spark, [(i, f"http://h{i}.example.com/x", h) for i, h in enumerate(html)])
+    assert {i: v[3] for i, v in got.items()} == {i: "block" if 0 < i < 8 else "allow" for i in range(10)}
+
+
 def test_a_hot_target(spark):
     pages = [(i, f"http://h{i}.example.com/a", canonical("http://spam.net/")) for i in range(300)]
     pages += [(1000 + i, f"http://k{i}.example.com/a", "") for i in range(300)]
