@@ -9,9 +9,10 @@ an explicit allow takes precedence over a block, and the default is allow.
 Work is on distinct urls.  A url's rule is found by an equi-join on the
 suffixes of its host (at label borders), so the list of rules may be large.
 Nodes are urls without scheme, fragment, tracking parameters and the slash at
-their end: forms that lead to one page.  Edges come from the pages' canonical
-links and refreshes to a url (all of a page, after any delay), and from a table
-of redirects if one is given.
+the end of a path longer than ``/``: forms that lead to one page.  Edges come
+from the pages' canonical links and refreshes to a url (all of a page, after any
+delay) outside comments, scripts and styles, and from a table of redirects if
+one is given.  The ends of an edge are judged by their host and path as written.
 
 A null url, or one without ``://``, has an empty host and path, is no alias of
 anything and is allowed, as no rule fits.  Repeated rows are judged alike.
@@ -29,6 +30,8 @@ _CANONICAL = r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>"""
 _REFRESH = r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""
 _HREF = r"""(?is)\bhref\s*=\s*["']?([^"'\s>]+)"""
 _GOTO = r"""(?is)\bcontent\s*=\s*["']?\s*[0-9.]+(?:\s*[;,]\s*|\s+)url\s*=\s*["']?([^"'\s>]+)"""
+#: Markup whose content is no tag of the page; an unclosed one reaches to the end.
+_HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b.*?(?:</\1\s*>|\z)"
 _TRACKING = r"(^|&)(?:utm_[^=&]*|fbclid|gclid)(?:=[^&]*)?(?=&|$)"
 
 
@@ -50,7 +53,7 @@ def node(url: Column) -> Column:
     """Name of the page that a url leads to; null without a host."""
     query = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*[^?#]*\?([^#]*)", 1)
     query = F.regexp_replace(F.regexp_replace(query, _TRACKING, ""), "^&", "")
-    name = F.concat(host(url), F.regexp_replace(path(url), "/$", ""), F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))
+    name = F.concat(host(url), F.regexp_replace(path(url), r"(?s)(?<=.)/\z", ""), F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))
     return F.when(host(url) != "", name)
 
 
@@ -64,17 +67,23 @@ def _resolved(base: Column, link: Column) -> Column:
             .otherwise(F.concat(scheme, F.lit("://"), host(base), F.when(folder == "", F.lit("/")).otherwise(folder), link)))
 
 
+def _ends(a: Column, b: Column) -> list[Column]:
+    """Both ends of an edge: node name, host and path."""
+    return [f(c).alias(f"{side}{part}") for side, c in (("a", a), ("b", b))
+            for part, f in (("", node), ("_host", host), ("_path", path))]
+
+
 def edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(a, b): node names that a page's canonical links or refreshes make aliases."""
+    """(a, b): node names that a page's canonical links or refreshes make aliases, with the host and path of each."""
     def found(tag: str, part: str) -> Column:
-        return F.transform(F.regexp_extract_all(F.col(html), F.lit(tag), F.lit(0)), lambda t: F.regexp_extract(t, part, 1))
+        return F.transform(F.regexp_extract_all("__seen", F.lit(tag), F.lit(0)), lambda t: F.regexp_extract(t, part, 1))
 
     low = F.lower(html)
-    links = pages.where(low.contains("canonical") | low.contains("http-equiv")).select(
-        F.col(url).alias("__url"), F.explode(F.array_distinct(F.concat(found(_CANONICAL, _HREF), found(_REFRESH, _GOTO))))
-        .alias("__link")).where("__link <> ''")
-    link = F.regexp_replace("__link", "&amp;", "&")
-    return links.select(node(F.col("__url")).alias("a"), node(_resolved(F.col("__url"), link)).alias("b"))
+    seen = pages.where(low.contains("canonical") | low.contains("http-equiv")).select(
+        F.col(url).alias("__url"), F.regexp_replace(html, _HIDDEN, "").alias("__seen"))
+    links = seen.select("__url", F.explode(F.array_distinct(F.concat(found(_CANONICAL, _HREF), found(_REFRESH, _GOTO))))
+                        .alias("__link")).where("__link <> ''")
+    return links.select(*_ends(F.col("__url"), _resolved(F.col("__url"), F.regexp_replace("__link", "&amp;", "&"))))
 
 
 def ruled(urls: DataFrame, rules: DataFrame) -> DataFrame:
@@ -99,13 +108,12 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", html: str = "htm
     own = stored(ruled(rows.select("host", "path").distinct(), rules), "ruled")
     links = edges(pages, url, html)
     if redirects is not None:
-        links = links.union(redirects.select(node(F.col("from_url")), node(F.col("to_url"))))
+        links = links.union(redirects.select(*_ends(F.col("from_url"), F.col("to_url"))))
     links = stored(links.where("a is not null and b is not null and a <> b").distinct(), "links")
     comps = stored(components(links.select(F.xxhash64("a").alias("a"), F.xxhash64("b").alias("b"))), "components")
     # Decisions of every url known: pages, and the ends of edges that are no page themselves.
-    ends = links.select(F.explode(F.array("a", "b")).alias("__node")).distinct()
-    ends = ends.select("__node", host(F.concat(F.lit("x://"), "__node")).alias("host"),
-                       path(F.concat(F.lit("x://"), "__node")).alias("path"))
+    ends = links.selectExpr("a as __node", "a_host as host", "a_path as path").union(
+        links.selectExpr("b", "b_host", "b_path"))
     known = stored(rows.select("__node", "host", "path").where("__node is not null").union(ends).distinct(), "known")
     known = known.join(ruled(known.select("host", "path").distinct(), rules), ["host", "path"])
     said = known.join(comps.withColumnRenamed("node", "__id"), F.xxhash64("__node") == F.col("__id"), "left")

@@ -1,5 +1,9 @@
 """Verdicts by brute force over rules and aliases."""
 
+import random
+import re
+from collections import defaultdict
+
 from orrery.llm import urls
 from orrery.llm.queries import URL_RULES
 
@@ -75,6 +79,67 @@ def test_a_hot_target(spark):
     assert {v[3] for i, v in got.items() if i < 300} == {"block"} and {v[3] for i, v in got.items() if i >= 1000} == {"allow"}
 
 
+def test_ends_are_judged_by_their_path_as_written(spark):
+    got = judge(spark, [(1, "http://a.example.org/", canonical("http://spam.net/")),
+                        (2, "http://b.example.org/", canonical("http://example.com/de/")),
+                        (3, "http://c.example.org/", canonical("http://example.com/de/x")),
+                        (4, "http://d.example.org/", canonical("http://spam.net")),   # no path: no rule
+                        (5, "http://spam.net", "")])
+    assert {i: v[3] for i, v in got.items()} == {1: "block", 2: "block", 3: "block", 4: "allow", 5: "allow"}
+
+
+def test_links_in_comments_and_scripts_are_none(spark):
+    link = canonical("http://spam.net/x")
+    html = [f"<!-- {link} -->", f"<script>var x = '{link}';</script>", f"<STYLE>{link}</style >", f"<!-- {link}",
+            f"<!-- a --><b>c</b>{link}<!-- d -->", f"<script>1</script>{link}"]
+    got = judge(spark, [(i, f"http://h{i}.example.org/x", h) for i, h in enumerate(html)])
+    assert [got[i][3] for i in range(6)] == ["allow"] * 4 + ["block"] * 2
+
+
+def test_aliases_against_union_find(spark):
+    rnd = random.Random(5)
+    hosts = ["a.example.com", "b.example.net", "example.org", "spam.net", "c.org", "example.com"]
+    urls_ = [f"http://{h}{p}" for h in hosts for p in ("", "/", "/de/", "/de/1", "/en/2/", "/fr/3?q=1", "/x")]
+    for _ in range(3):
+        pages = [(i, u, "".join(canonical(rnd.choice(urls_)) for _ in range(rnd.choice((0, 0, 0, 1, 1, 2)))))
+                 for i, u in enumerate(urls_)]
+        moved = [(rnd.choice(urls_), rnd.choice(urls_)) for _ in range(4)]
+
+        def parts(u):
+            rest = u.split("://")[1].split("?")[0]
+            return rest.split("/")[0], rest[len(rest.split("/")[0]):]
+
+        def name(u):
+            h, p = parts(u)
+            return h + (p[:-1] if len(p) > 1 and p.endswith("/") else p) + ("?" + u.split("?")[1] if "?" in u else "")
+
+        def rule(u):
+            h, p = parts(u)
+            fit = [(len(a + b), v) for a, b, v in URL_RULES if (h == a or h.endswith("." + a)) and p.startswith(b)]
+            return max(fit)[1] if fit else None
+
+        up = {name(u): name(u) for u in urls_}
+
+        def top(x):
+            while up[x] != x:
+                x = up[x]
+            return x
+
+        for _, u, html in pages:
+            for to in re.findall('href="([^"]+)"', html):
+                up[top(name(u))] = top(name(to))
+        for u, to in moved:
+            up[top(name(u))] = top(name(to))
+        said = defaultdict(set)
+        for u in urls_:
+            said[top(name(u))].add(rule(u))
+        want = {}
+        for i, u, _ in pages:
+            known = said[top(name(u))]
+            want[i] = rule(u) or ("block" if "block" in known and "allow" not in known else "allow")
+        assert {i: v[3] for i, v in judge(spark, pages, redirects=moved).items()} == want
+
+
 def test_awkward_rows(spark, awkward, empty):
     rules = spark.createDataFrame(URL_RULES, RULES)
     pages = awkward.selectExpr("doc_id as page_id", "text as url", "lang as html", "1 as host", "2 as verdict", "3 as rule")
