@@ -27,7 +27,7 @@ def con():
 
 def test_one_query_for_each_operator():
     names = [n for n in E.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in E.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in E.queries()
 
 
 @pytest.mark.parametrize("name", sorted(Q.ORACLE))
