@@ -106,11 +106,14 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, lens: np.ndarray, fold: boo
 
 
 class Words:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of a slice of texts: byte starts and lengths, hashes, first word of each text."""
+    """Words of a slice of texts, ``[^\\x20\\x09-\\x0D]+`` unless ``sep`` (a flag of each byte) says otherwise.
 
-    def __init__(self, texts: pa.Array, fold: bool = False):
+    Has their byte starts and lengths, hashes, and the first word of each text.
+    """
+
+    def __init__(self, texts: pa.Array, fold: bool = False, sep: np.ndarray = _SEP):
         self.data, self.offs = raw(texts)
-        word = ~_SEP[self.data]
+        word = ~sep[self.data]
         begin, end = word.copy(), word.copy()
         begin[1:] &= ~word[:-1]
         end[:-1] &= ~word[1:]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html, jaccard, linededup, mixing, quality, rules, secrets, topk, urls, variants
+from . import bpe, html, jaccard, linededup, mixing, prefixtrie, quality, rules, secrets, topk, toxicity, urls, variants
 from .common import read, stored
 
 #: Vocabulary of the tokenizing query.
@@ -80,11 +80,22 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(read(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores every whole text of ``documents`` for toxicity, learning from the labelled rows that are not held out."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return toxicity.scores(docs, read(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups the spelling variants of the words of all of ``documents``."""
     return variants.variants(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op13_prefixtrie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Builds the prefix trie of all rebuilt ``conversations``."""
+    return prefixtrie.shared_trie(read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
 _NATIVE_RULES = """
 WITH u AS (
   SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
@@ -115,6 +126,6 @@ SELECT * FROM (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id OR
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_bpe, op2_html, op3_quality, op4_jaccard, op5_secrets, op6_mixing, op7_topk, op8_urls,
-                            op9_linededup, op10_rules, op12_variants)}
+                            op9_linededup, op10_rules, op11_toxicity, op12_variants, op13_prefixtrie)}
 #: The url oracle holds where no page links to another, as in the given tables; tests cover links by brute force.
 ORACLE: dict[str, str] = {"op7_topk": _TOP, "op8_urls": _NATIVE_RULES, "op9_linededup": linededup.ORACLE_SQL}
