@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from .common import stored
 
 RATIO = 0.1
-LEAST = 10
+#: A line on fewer documents is no boilerplate of a small host: two copies of a text are not a site's template.
+LEAST = 3
 _BLANK = " \t\r\x0b\x0c"
 
 

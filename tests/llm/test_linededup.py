@@ -30,6 +30,16 @@ def run(spark, rows, **kw):
     return sorted(((r.doc_id, r.text, r["__n_lines"], r["__n_dropped"]) for r in got.collect()), key=str)
 
 
+def test_small_hosts_take_the_ratio(spark):
+    rows = []
+    for pages, held in ((3, 3), (9, 9), (20, 9), (20, 2), (2, 2), (100, 10), (100, 9)):
+        rows += [(len(rows) + i, f"{pages}-{held}", f"own {pages} {i}\n" + ("menu" if i < held else "other %d" % i)) for i in range(pages)]
+    got = run(spark, rows)
+    assert got == brute(rows)
+    gone = Counter(rows[i][1] for i, _, _, dropped in got if dropped)
+    assert gone == {"3-3": 3, "9-9": 9, "20-9": 9, "100-10": 10}
+
+
 def test_random_hosts(spark):
     rnd = random.Random(1)
     rows = []
