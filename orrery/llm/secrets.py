@@ -2,15 +2,18 @@
 
 Strong parts stand for themselves: keyword assignments, access identifiers
 with their prefix, and long hex strings.  Weak parts are reported only in
-company: an unprefixed identifier, a long mixed string, an endpoint.  The scope
-of a weak part is ``SCOPE`` code points before and after it.  It is linked when
-its scope holds a strong part that complements it, or weak parts of both other
-roles.  An identifier is complemented by secrets and endpoints, and so on.
-
-Parts of one role do not overlap, so the interval join is two binary searches
+company: an unprefixed identifier, a mixed string, an endpoint, the first two
+of 16 characters or more and an entropy that words do not have.  The scope of a
+weak part is ``SCOPE`` code points before and after it.  It is linked when its
+scope holds parts of both other roles, strong or weak, apart from one another;
+an identifier is complemented by secrets and endpoints, and so on.  A single
+strong part of one other role completes it too if it is plainly random itself
+(three digits and three letters), as there is less company to go by.
+
+Parts of one role do not overlap, so the interval join is four binary searches
 on their sorted bounds for each weak part.  All parts of a scope lie in one
 text, so nothing is shuffled.  A text is searched in full only if its bytes
-hold a keyword, the prefix, or a long enough run.
+hold a keyword, the prefix, a long hex run, or an endpoint and a long run.
 
 Null and empty texts have no spans; repeated rows and null ids are kept.
 """
@@ -41,8 +44,8 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 BASE = ("assign", "access", "hex")
 
 WEAK = {
-    "weak_access": re.compile(r"(?<![A-Za-z0-9])[A-Z0-9]{16,32}(?![A-Za-z0-9])"),
-    "weak_secret": re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{32,}={0,2}(?![A-Za-z0-9+/=])"),
+    "weak_access": re.compile(r"(?<![A-Za-z0-9])[A-Z0-9]{16,}(?![A-Za-z0-9])"),
+    "weak_secret": re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{16,}={0,2}(?![A-Za-z0-9+/=])"),
     "endpoint": re.compile(r"https?://[^\s\"'<>]+"),
 }
 ROLE = {"assign": "secret", "hex": "secret", "weak_secret": "secret", "access": "access", "weak_access": "access",
@@ -60,14 +63,42 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
-def _random(word: str) -> bool:
-    """Digits, letters and an entropy that words do not have."""
+#: Capitals and digits alone are an identifier; from this length on they may be a secret as well.
+BOTH = 33
+
+
+def _entropy(word: str) -> bool:
     n = len(word)
-    if sum(c.isdigit() for c in word) < 3 or sum(c.isalpha() for c in word) < 3:
-        return False
     return -sum(c / n * math.log2(c / n) for c in Counter(word).values()) >= ENTROPY - (n < 24)
 
 
+def _mixed(word: str) -> bool:
+    """Digits and letters, or small letters before a capital: not the spelling of a word."""
+    if any(c.isdigit() for c in word):
+        return any(c.isalpha() for c in word)
+    return any(a.islower() and b.isupper() for a, b in zip(word, word[1:]))
+
+
+def _random(word: str) -> bool:
+    return sum(c.isdigit() for c in word) >= 3 and sum(c.isalpha() for c in word) >= 3
+
+
+def candidates(text: str, base: list[Span]) -> list[Span]:
+    """Weak parts that do not share a place with a strong one."""
+    taken = _Parts((s, e) for _, s, e in base)
+    out = []
+    for kind, rule in WEAK.items():
+        for m in rule.finditer(text):
+            word = m[0]
+            if kind != "endpoint" and not (_mixed(word) and _entropy(word)):
+                continue
+            if kind == "weak_secret" and len(word) < BOTH and WEAK["weak_access"].fullmatch(word):
+                continue
+            if not taken.within(*m.span()):
+                out.append((kind, *m.span()))
+    return out
+
+
 class _Parts:
     """Spans of one role, none inside another, in order."""
 
@@ -82,21 +113,32 @@ class _Parts:
         """Whether one shares a place with [lo, hi)."""
         return bisect_right(self.ends, lo) < bisect_left(self.starts, hi)
 
+    def beside(self, lo: int, hi: int, s: int, e: int) -> tuple[int, int] | None:
+        """Of those that share a place with [lo, hi) but none with [s, e): the first end and the last start."""
+        a, b = bisect_right(self.ends, lo), bisect_left(self.starts, hi)
+        p, q = min(max(bisect_right(self.ends, s), a), b), min(max(bisect_left(self.starts, e), a), b)
+        if a == p and q >= b:
+            return None
+        return self.ends[a if a < p else q], self.starts[b - 1 if q < b else p - 1]
+
 
 def linked_spans(text: str, base: list[Span], scope: int = SCOPE) -> list[Span]:
     """The weak parts whose scope completes them."""
-    taken = _Parts((s, e) for _, s, e in base)
-    weak = [(kind, *m.span()) for kind, rule in WEAK.items() for m in rule.finditer(text)
-            if (kind == "endpoint" or _random(m[0])) and not taken.within(*m.span())]
+    weak = candidates(text, base)
     if not weak:
         return []
-    strong = {r: _Parts((s, e) for k, s, e in base if ROLE[k] == r) for r in ("access", "secret", "endpoint")}
-    soft = {r: _Parts((s, e) for k, s, e in weak if ROLE[k] == r) for r in strong}
+    roles = ("access", "secret", "endpoint")
+    strong = {r: _Parts((s, e) for k, s, e in base if ROLE[k] == r) for r in roles}
+    every = {r: _Parts((s, e) for k, s, e in [*base, *weak] if ROLE[k] == r) for r in roles}
     out = []
     for kind, s, e in weak:
-        others = [r for r in strong if r != ROLE[kind]]
+        one, two = (r for r in roles if r != ROLE[kind])
         lo, hi = s - scope, e + scope
-        if any(strong[r].within(lo, hi) for r in others) or all(soft[r].within(lo, hi) for r in others):
+        near = every[one].beside(lo, hi, s, e), every[two].beside(lo, hi, s, e)
+        # Two of different roles lie apart if one of them can end before the other starts.
+        if all(near) and (near[0][0] <= near[1][1] or near[1][0] <= near[0][1]):
+            out.append((kind, s, e))
+        elif (kind == "endpoint" or _random(text[s:e])) and (strong[one].within(lo, hi) or strong[two].within(lo, hi)):
             out.append((kind, s, e))
     return out
 
@@ -128,13 +170,14 @@ def scan(df: DataFrame, text: str = "text", id_col: str = "doc_id", scope: int =
     """(id, n_assign, n_access, n_hex, n_linked, base_sha256, spans): one row for each row of ``df``."""
     def run(rows: pa.RecordBatch, texts: pa.Array) -> pa.RecordBatch:
         data, offs = raw(texts)
-        search = _runs(_IS_HEX[data], offs, LEAST["hex"]) | _runs(_IS_MIXED[data], offs, 32)
+        search = _runs(_IS_HEX[data], offs, LEAST["hex"])
+        long = _runs(_IS_MIXED[data], offs, 16)
         whole = data.tobytes()
         lower = whole.lower()
         found = []
         for i in range(len(texts)):
             lo, hi = int(offs[i]), int(offs[i + 1])
-            if not (search[i] or lower.find(b"akia", lo, hi) >= 0 or any(lower.find(k, lo, hi) >= 0 for k in _KEYS)):
+            if not (search[i] or long[i] and lower.find(b"://", lo, hi) >= 0 or lower.find(b"akia", lo, hi) >= 0 or any(lower.find(k, lo, hi) >= 0 for k in _KEYS)):
                 found.append(((), ()))
                 continue
             own = whole[lo:hi].decode()
