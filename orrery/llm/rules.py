@@ -10,8 +10,10 @@ The upper fence of a ratio is its third quartile plus ``REACH`` times the
 interquartile range, at least ``SLACK`` of that ratio above the quartile (a
 range of nothing is no reason to drop a document); mean word length also has a
 lower one.  On the given tables ``SLACK`` is the larger of the two for every
-group and ratio, so constants decide there (figures in the README).  A (language, source) with under ``LEAST`` documents takes the
-fences of its language, a language with under ``LEAST`` those of the table.
+group and ratio, so constants decide there (figures in the README).  To the
+sketch of a (language, source) come ``PRIOR`` documents spread as in its
+language, and to that of a language as many spread as in the table: groups of
+any size have fences of their own, and small ones lean on what is around them.
 Counts do not depend on the order of rows, so reruns agree.
 
 Null language or source: a group of its own.  Null or empty text: no words,
@@ -32,7 +34,8 @@ from .textstats import TextStats
 #: Bins grow by this factor: values of one bin differ by 2 % at most.
 GROWTH = 1.02
 REACH = 3.0
-LEAST = 100
+#: Documents that a group's sketch borrows from the one around it.
+PRIOR = 100
 #: Least distance of a fence from its quartile.
 SLACK = {"symbols": 0.03, "bangs": 0.1, "capitals": 0.15, "repeats": 0.35, "dup_lines": 0.4, "length": 3.0}
 
@@ -71,21 +74,42 @@ def sketch(measured: DataFrame) -> DataFrame:
         F.count("*").alias("n"))
 
 
-def fences(sketches: DataFrame, *by: str) -> DataFrame:
-    """(by, n, low_<ratio>, high_<ratio>) of the sketches merged by the given columns."""
-    merged = sketches.groupBy(*by, "ratio", "bin").agg(F.sum("n").alias("n"))
+def _shares(weights: DataFrame, *by: str) -> DataFrame:
+    """Share of each bin in its sketch; a sketch has a bounded number of bins."""
+    return weights.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(*by, "ratio")))
+
+
+def _leaning(counts: DataFrame, around: DataFrame, own: list[str], shared: list[str]) -> DataFrame:
+    """``counts`` by ``own`` columns plus ``PRIOR`` documents spread as ``around`` (by ``shared`` columns) says."""
+    groups = counts.select(*own).distinct()
+    around = around.select(*[F.col(c).alias(f"__in_{c}") for c in shared], "ratio", "bin", (PRIOR * F.col("share")).alias("n"))
+    inside = F.lit(True)
+    for c in shared:
+        inside = inside & F.col(c).eqNullSafe(F.col(f"__in_{c}"))
+    borrowed = groups.join(around, inside) if shared else groups.join(F.broadcast(around), F.lit(True))  # bins of one sketch
+    both = counts.select(*own, "ratio", "bin", "n").union(borrowed.select(*own, "ratio", "bin", "n"))
+    return both.groupBy(*own, "ratio", "bin").agg(F.sum("n").alias("n"))
+
+
+def fences(sketches: DataFrame) -> DataFrame:
+    """(__lang, __source, low_<ratio>, high_<ratio>): the fences of each group."""
+    whole = _shares(sketches.groupBy("ratio", "bin").agg(F.sum("n").alias("n")))
+    of_lang = sketches.groupBy("__lang", "ratio", "bin").agg(F.sum("n").alias("n"))
+    of_lang = _shares(_leaning(of_lang, whole, ["__lang"], []), "__lang")
+    by = ["__lang", "__source"]
+    merged = _leaning(sketches, of_lang, by, ["__lang"])
     w = Window.partitionBy(*by, "ratio").orderBy(F.col("bin").asc_nulls_first())  # bins of one sketch: bounded
     upto = F.sum("n").over(w)
     total = F.sum("n").over(Window.partitionBy(*by, "ratio"))
     value = F.when(F.col("bin").isNull(), 0.0).otherwise(F.pow(F.lit(GROWTH), F.col("bin") - 0.5))
     q = merged.select(*by, "ratio", value.alias("v"), upto.alias("upto"), total.alias("total"))
-    q = q.groupBy(*by, "ratio").agg(F.max("total").alias("n"),
-                                    *[F.min(F.when(F.col("upto") >= r * F.col("total"), F.col("v"))).alias(k)
+    nearly = 1 - 1e-9  # sums of shares in any order
+    q = q.groupBy(*by, "ratio").agg(*[F.min(F.when(F.col("upto") >= r * nearly * F.col("total"), F.col("v"))).alias(k)
                                       for k, r in (("q1", 0.25), ("q3", 0.75))])
     slack = F.create_map(*[F.lit(x) for kv in SLACK.items() for x in kv])[F.col("ratio")]
     reach = F.greatest(slack, REACH * (F.col("q3") - F.col("q1")))
-    q = q.select(*by, "ratio", "n", (F.col("q1") - reach).alias("low"), (F.col("q3") + reach).alias("high"))
-    return q.groupBy(*by).agg(F.max("n").alias("n"), *[
+    q = q.select(*by, "ratio", (F.col("q1") - reach).alias("low"), (F.col("q3") + reach).alias("high"))
+    return q.groupBy(*by).agg(*[
         F.max(F.when(F.col("ratio") == k, F.col(side))).alias(f"{side}_{k}") for k in SLACK for side in ("low", "high")])
 
 
@@ -93,16 +117,8 @@ def judge(df: DataFrame, text: str = "text", id_col: str = "doc_id", lang: str =
           source: str = "source") -> DataFrame:
     """(id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, failed_ratios)."""
     m = stored(measure(df, text, id_col, lang, source), "measured")
-    sk = stored(sketch(m), "sketch")
-    sides = [f"{s}_{k}" for k in SLACK for s in ("low", "high")]
-    own = fences(sk, "__lang", "__source")
-    of_lang = fences(sk, "__lang").select(F.col("__lang").alias("__l"), F.col("n").alias("__n"),
-                                          *[F.col(c).alias(f"__l_{c}") for c in sides])
-    limits = own.join(of_lang, F.col("__lang").eqNullSafe(F.col("__l")), "left")
-    whole = fences(sk.withColumn("__all", F.lit(1)), "__all").first()  # one row
-    limits = stored(limits.select(F.col("__lang").alias("__l"), F.col("__source").alias("__s"), *[
-        F.when(F.col("n") >= LEAST, F.col(c)).when(F.col("__n") >= LEAST, F.col(f"__l_{c}")).otherwise(
-            F.lit(whole[c] if whole else None)).alias(c) for c in sides]), "fences")
+    limits = fences(stored(sketch(m), "sketch"))
+    limits = stored(limits.withColumnsRenamed({"__lang": "__l", "__source": "__s"}), "fences")
     j = m.join(limits, F.col("__lang").eqNullSafe(F.col("__l")) & F.col("__source").eqNullSafe(F.col("__s")), "left")
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     out_of = [F.when((v > F.col(f"high_{k}")) | ((v < F.col(f"low_{k}")) if k == "length" else F.lit(False)), F.lit(k))

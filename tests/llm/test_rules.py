@@ -36,18 +36,39 @@ def test_clean_documents_stay_and_symbols_go(spark):
     assert sum(good) / len(good) > 0.99 and sum(bad) / len(bad) < 0.1
 
 
-def test_sketch_quartiles_are_close_and_merge_exactly(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
+def quartiles(weights):
+    """Smallest values at or above a quarter and three quarters of the weight."""
+    total, upto, out = sum(w for _, w in weights), 0.0, []
+    marks = [0.25, 0.75]
+    for v, w in sorted(weights):
+        upto += w
+        while marks and upto >= marks[0] * total * (1 - 1e-9):
+            out.append(v)
+            marks.pop(0)
+    return out
+
+
+def leaning(values, around):
+    """Values of weight 1, and PRIOR documents spread as the weighted values around."""
+    total = sum(w for _, w in around)
+    return [(v, 1.0) for v in values] + [(v, rules.PRIOR * w / total) for v, w in around]
+
+
+def test_fences_against_sorted_values_and_merge_exactly(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("lang in ('en', 'es') and source in ('src0', 'src1', 'src2')")
+    docs = docs.where("not (lang = 'es' and source = 'src2' and doc_id % 5 > 0)")
     m = rules.measure(docs).cache()
-    got = rules.fences(rules.sketch(m), "__lang", "__source").where("__lang = 'en' and __source = 'src0'").first()
-    whole = sorted(r[0] for r in m.where("__lang = 'en' and __source = 'src0'").select(rules.ratios()["length"]).collect())
-    q1, q3 = (whole[int(-(-q * len(whole) // 1)) - 1] for q in (0.25, 0.75))
-    reach = max(rules.SLACK["length"], 3 * (q3 - q1))
-    assert got.n == len(whole)
-    assert got.high_length == pytest.approx(q3 + reach, rel=0.02) and got.low_length == pytest.approx(q1 - reach, abs=0.1)
+    rows = [tuple(r) for r in m.select("__lang", "__source", rules.ratios()["length"]).collect()]
+    got = {(r["__lang"], r["__source"]): r for r in rules.fences(rules.sketch(m)).collect()}
+    assert len(got) >= 5
+    whole = [(v, 1.0) for _, _, v in rows]
+    for (lang, source), r in got.items():
+        of_lang = leaning([v for x, _, v in rows if x == lang], whole)
+        q1, q3 = quartiles(leaning([v for x, y, v in rows if (x, y) == (lang, source)], of_lang))
+        reach = max(rules.SLACK["length"], 3 * (q3 - q1))
+        assert r.high_length == pytest.approx(q3 + reach, rel=0.03) and r.low_length == pytest.approx(q1 - reach, abs=0.3)
     halves = [rules.sketch(m.where(F.col("doc_id") % 2 == i)) for i in (0, 1)]
-    merged = rules.fences(halves[0].union(halves[1]), "__lang").collect()
-    assert sorted(map(tuple, merged)) == sorted(map(tuple, rules.fences(rules.sketch(m), "__lang").collect()))
+    assert sorted(map(tuple, rules.fences(halves[0].union(halves[1])).collect())) == sorted(map(tuple, got.values()))
 
 
 def test_awkward_rows(awkward, empty):
