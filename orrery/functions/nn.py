@@ -37,12 +37,20 @@ def array_sum(arr) -> Column:
     return F.aggregate(_c(arr), F.lit(0.0), lambda acc, x: acc + x)
 
 
+def _let(value: Column, fn) -> Column:
+    """``fn(value)`` with ``value`` evaluated once, however often ``fn`` refers to it."""
+    return F.transform(F.array(value), fn)[0]
+
+
 def softmax(arr) -> Column:
     """E5: exp(x - max) / sum(exp(x - max)) for numerical safety."""
-    a = _c(arr)
-    # max and sum are evaluated once per array (outside the lambdas), not per element
-    e = F.zip_with(a, F.array_repeat(F.array_max(a), F.size(a)), lambda x, m: F.exp(x - m))
-    return F.zip_with(e, F.array_repeat(array_sum(e), F.size(e)), lambda x, s: x / s)
+    def shares(e: Column) -> Column:
+        return _let(array_sum(e), lambda s: F.transform(e, lambda x: x / s))
+
+    def exps(a: Column) -> Column:
+        return _let(F.array_max(a), lambda m: F.transform(a, lambda x: F.exp(x - m)))
+
+    return _let(_c(arr), lambda a: _let(exps(a), shares))
 
 
 def clip_prob(p) -> Column:

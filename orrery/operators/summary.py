@@ -4,31 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def dataset_summary(df: DataFrame, features: str, targets: Sequence[str], id_col: str = "record_id") -> DataFrame:
-    """A10: shape, first record, number of target sets, class counts.
+    """A10: shape, first record with its features and labels, number of target sets, class counts.
 
     One row per (target set, class) with the data set's row count, vector
-    widths and first record id beside it: one aggregate for the shape, one
-    grouped count per target (partial + final).
+    widths and first record beside it.  All counts come from one scan: a row a
+    target set, grouped (partial + final); the sums over classes run on that
+    small table.  The first record is a top-1 by id.
     """
-    shape = df.agg(F.count(F.lit(1)).alias("n_rows"), F.min(F.size(features)).alias("min_width"),
-                   F.max(F.size(features)).alias("max_width"), F.min(id_col).alias("first_record"))
-    parts = None
-    for t in targets:
-        c = df.groupBy(F.col(t).cast("int").alias("class")).agg(F.count(F.lit(1)).alias("n_class")) \
-              .select(F.lit(t).alias("target_set"), "class", "n_class")
-        parts = c if parts is None else parts.unionByName(c)
-    out = parts.withColumn("n_target_sets", F.lit(len(targets)))
-    sh = shape.first()   # one row, four numbers
-    return out.select("target_set", "class", "n_class", "n_target_sets",
-                      F.lit(sh["n_rows"]).cast("long").alias("n_rows"),
-                      F.lit(sh["min_width"]).cast("int").alias("min_width"),
-                      F.lit(sh["max_width"]).cast("int").alias("max_width"),
-                      F.lit(sh["first_record"]).cast("long").alias("first_record"))
+    each = F.explode(F.array(*[F.struct(F.lit(t).alias("target_set"), F.col(t).cast("int").alias("class"))
+                               for t in targets])).alias("t")
+    counts = df.select(F.size(features).alias("__w"), each).groupBy("t.target_set", "t.class").agg(
+        F.count(F.lit(1)).alias("n_class"), F.min("__w").alias("__lo"), F.max("__w").alias("__hi"))
+    # One row a target set and class: the window is bounded by the classes.
+    w, of = Window.partitionBy(F.lit(1)), Window.partitionBy("target_set")
+    counts = counts.select("target_set", "class", "n_class", F.lit(len(targets)).alias("n_target_sets"),
+                           F.sum("n_class").over(of).alias("n_rows"), F.min("__lo").over(w).alias("min_width"),
+                           F.max("__hi").over(w).alias("max_width"))
+    labels = F.map_from_arrays(F.array(*[F.lit(t) for t in targets]), F.array(*[F.col(t).cast("int") for t in targets]))
+    first = first_records(df, 1, id_col).select(F.col(id_col).cast("long").alias("first_record"),
+                                                F.col(features).alias("first_features"), labels.alias("__labels"))
+    return counts.join(F.broadcast(first), F.lit(True), "left").select(  # one row
+        *counts.columns, "first_record", F.col("__labels")[F.col("target_set")].alias("first_label"), "first_features")
 
 
 def best_epoch(metrics: DataFrame, keys: Sequence[str], epoch: str | Sequence[str] = "epoch",

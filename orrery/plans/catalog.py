@@ -371,18 +371,23 @@ def q_a1(spark, sf_dir):
 
 @register("a2_stats_wide")
 def q_a2(spark, sf_dir):
-    from ..operators.features import STATS, stats_wide
-    w = stats_wide(event_stats(spark, sf_dir), "user_id", "event_type", EVENT_TYPES)
+    from ..operators.features import STATS, events_wide
+    w = events_wide(table(spark, sf_dir, "events"), "user_id", "event_type", EVENT_TYPES, "ts", "value",
+                    tiebreak="event_id")
     return w.select("user_id", *[(F.col(f"{v}_{s}") if s == "count" else r6(f"{v}_{s}")).alias(f"{v}_{s}")
                                  for v in EVENT_TYPES for s in STATS])
 
 
 @register("a10_dataset_summary")
 def q_a10(spark, sf_dir):
+    """Shape, class counts, and the first record: its features and, beside each target set, its label."""
     from ..operators.summary import dataset_summary
-    # features x the three label sets (J2), materialized once per session and shared with training
+    from .cohort import WIDTH
+    # features x the three label sets (J2), stored once and shared with training
     data = cohort_prepared(spark, sf_dir)
-    return dataset_summary(data, "features", ["y_mortality", "y_los", "y_survival"])
+    out = dataset_summary(data, "features", ["y_mortality", "y_los", "y_survival"])
+    return out.select(*[c for c in out.columns if c != "first_features"],
+                      *[r6(F.col("first_features")[i]).alias(f"first_f{i}") for i in range(WIDTH)])
 
 
 # ---------------------------------------------------------------- sources
@@ -599,36 +604,31 @@ def cohort_dataset(spark, sf_dir) -> DataFrame:
     return sp.assign_split(d, "record_id", 0.8, 0.1, id_space=ids)
 
 
-_FITS: dict = {}
-_PREPARED: dict = {}
+def _runs(spark, sf_dir) -> str:
+    """The shared folder of what is kept about one state of the record tables: the prepared cohort and training runs."""
+    from ..session import checkpoint_root
+    from .tables import fingerprint
+    return f"{checkpoint_root(spark).rstrip('/')}/orrery-runs/{fingerprint(spark, sf_dir, 'orders', 'lineitem')}"
 
 
 def cohort_prepared(spark, sf_dir) -> DataFrame:
-    """The cohort with all three label sets, typed and checkpointed once per (session, data):
-    the training and reporting queries of a session read the same materialized input."""
-    from .train import prepare
-    k = (spark.sparkContext.applicationId, sf_dir)
-    if k not in _PREPARED:
-        _PREPARED[k] = prepare(cohort_dataset(spark, sf_dir), _spec_multitask())
-    return _PREPARED[k]
+    """The cohort with all three label sets, typed and by split; written once for one state of its tables."""
+    from .train import open_prepared, prepare
+    path, spec = f"{_runs(spark, sf_dir)}/cohort", _spec_multitask()
+    there = open_prepared(spark, path, spec)
+    return there if there is not None else prepare(cohort_dataset(spark, sf_dir), spec, path=path)
 
 
-def _fit_cached(spark, sf_dir, key: str, spec_fn, checkpoint: bool = False):
-    """One training run per (session, data, config) shared by the queries that report on it.
+def _run(spark, sf_dir, key: str, spec, resume: bool = False):
+    """Train ``spec`` on the cohort, with a checkpoint after every epoch as the reference does.
 
-    With ``checkpoint`` the model is saved after every epoch (overwrite), as
-    the reference does; the path is kept on the result for reloading.
+    With ``resume`` the run is the one that is kept under its name: finished
+    if it was cut off, trained if there is none.  Queries that report on a run
+    take it so, as the reference's report reloads the saved model.
     """
-    from ..session import scratch_path
     from .train import fit
-    k = (spark.sparkContext.applicationId, sf_dir, key)
-    if k not in _FITS:
-        data = cohort_prepared(spark, sf_dir)
-        path = scratch_path(spark, f"model-{key}") if checkpoint else None
-        res = fit(None, spec_fn(), prepared=data, checkpoint_path=path)
-        res.checkpoint_path = path
-        _FITS[k] = (data, res)
-    return _FITS[k]
+    path = f"{_runs(spark, sf_dir)}/{key}"
+    return fit(None, spec, prepared=cohort_prepared(spark, sf_dir), checkpoint_path=path, resume=resume)
 
 
 def _spec_mortality():
@@ -671,34 +671,29 @@ def _metrics_df(spark, res):
 
 @register("m3_fit_binary")
 def q_m3(spark, sf_dir):
-    _, res = _fit_cached(spark, sf_dir, "mortality", _spec_mortality)
-    return _metrics_df(spark, res)
+    return _metrics_df(spark, _run(spark, sf_dir, "mortality", _spec_mortality()))
 
 
 @register("m4_fit_multiclass")
 def q_m4(spark, sf_dir):
-    _, res = _fit_cached(spark, sf_dir, "los", _spec_los)
-    return _metrics_df(spark, res)
+    return _metrics_df(spark, _run(spark, sf_dir, "los", _spec_los()))
 
 
 @register("m4_fit_survival")
 def q_m4_survival(spark, sf_dir):
     """M4, second configuration: survival buckets (5 classes, one unknown), 500-unit trunk."""
-    _, res = _fit_cached(spark, sf_dir, "survival", _spec_survival)
-    return _metrics_df(spark, res)
+    return _metrics_df(spark, _run(spark, sf_dir, "survival", _spec_survival()))
 
 
 @register("m5_fit_multitask")
 def q_m5(spark, sf_dir):
-    _, res = _fit_cached(spark, sf_dir, "multitask", _spec_multitask, checkpoint=True)
-    return _metrics_df(spark, res)
+    return _metrics_df(spark, _run(spark, sf_dir, "multitask", _spec_multitask()))
 
 
 @register("v3_evaluate_per_epoch")
 def q_v3(spark, sf_dir):
     """Per-epoch train/valid AUC of the multi-task run, with the task mean beside it."""
-    _, res = _fit_cached(spark, sf_dir, "multitask", _spec_multitask, checkpoint=True)
-    m = _metrics_df(spark, res).withColumn(
+    m = _metrics_df(spark, _run(spark, sf_dir, "multitask", _spec_multitask(), resume=True)).withColumn(
         "task_no", F.when(F.col("task") == "mortality", 0).when(F.col("task") == "los", 1).otherwise(2))
     mean = au.auc_task_mean(m, ["epoch", "split"])
     return mean.select("epoch", "split", "auc_mean", "n_tasks",
@@ -708,32 +703,51 @@ def q_v3(spark, sf_dir):
 
 @register("t1_history")
 def q_t1(spark, sf_dir):
-    _, res = _fit_cached(spark, sf_dir, "multitask", _spec_multitask, checkpoint=True)
-    rows = [(h["epoch"], h["shard"], h["rows"], h["steps"], h["loss"], h["seconds"]) for h in res.history]
-    return spark.createDataFrame(rows, "epoch int, shard int, rows long, steps long, loss double, seconds double")
+    """Iteration history of the multi-task run, as its tasks wrote it: rows of each epoch and lines that are missing."""
+    from .train import HISTORY_EVERY
+    lines = _run(spark, sf_dir, "multitask", _spec_multitask(), resume=True).history(spark)
+    per = lines.groupBy("epoch", "shard").agg(
+        F.sum("rows").alias("rows"), F.max("step").alias("steps"), F.count(F.lit(1)).alias("lines"),
+        F.min((~F.isnan("loss") & (F.col("loss") > 0) & (F.col("records_per_second") > 0)).cast("int")).alias("sound"))
+    due = F.ceil(F.col("steps") / HISTORY_EVERY)
+    return per.groupBy("epoch").agg(F.count(F.lit(1)).alias("shards"), F.sum("rows").alias("rows"),
+                                    F.sum(due - F.col("lines")).cast("long").alias("missing"), F.min("sound").alias("sound"))
 
 
 @register("v4_final_report")
 def q_v4(spark, sf_dir):
     """Reload the per-epoch model checkpoint (S7) and report train and test AUC."""
-    from ..sources.models import load_model
+    from ..sources.models import load_state
+    from .net import EPOCHS
     from .train import FitResult, final_report
-    data, res = _fit_cached(spark, sf_dir, "multitask", _spec_multitask, checkpoint=True)
-    spec, theta = load_model(spark, res.checkpoint_path)
-    return final_report(data, FitResult(spec=spec, theta=theta))
+    path = f"{_runs(spark, sf_dir)}/multitask"
+    saved = load_state(spark, path)
+    if saved is None or saved.progress["epoch"] < EPOCHS - 1:
+        _run(spark, sf_dir, "multitask", _spec_multitask(), resume=True)
+        saved = load_state(spark, path)
+    return final_report(cohort_prepared(spark, sf_dir), FitResult(spec=saved.spec, theta=saved.theta))
 
 
 @register("s6_write_metrics")
 def q_s6(spark, sf_dir):
+    """Metrics of five epochs and two runs through the sink; epoch 3 fails after its first write and is written again."""
     from ..session import scratch_path
     from ..sources.store import read_metrics, write_metrics
-    _, res = _fit_cached(spark, sf_dir, "multitask", _spec_multitask, checkpoint=True)
     path = scratch_path(spark, "metrics")
-    m = _metrics_df(spark, res).withColumn("run_id", F.lit("multitask"))
-    write_metrics(m, path)
-    write_metrics(m.withColumn("run_id", F.lit("multitask-copy")), path)   # append
-    return read_metrics(spark, path).groupBy("run_id", "split", "task").agg(
-        F.count(F.lit(1)).alias("epochs"), F.max("auc").alias("best_auc"))
+    # Rounded scores: equal ones stay equal whatever library computes the exponential.
+    scored = epoch_scored(spark, sf_dir).withColumn("p", F.round("p", 9)).withColumn("loss", nn.bce("y", "p"))
+    auc = au.auc_exact(scored, ["epoch", "split", "task"])
+    loss = scored.groupBy("epoch", "split", "task").agg(F.avg("loss").alias("loss"), F.count(F.lit(1)).alias("rows"))
+    m = auc.join(loss, ["epoch", "split", "task"]).select(
+        "epoch", "split", "task", F.lit(0).alias("class"), "auc", "loss", "rows",
+        (F.col("epoch") * 1.5).alias("seconds")).checkpoint()
+    for run in ("first", "second"):
+        rows = m.withColumn("run_id", F.lit(run))
+        write_metrics(rows.where("epoch = 3").withColumn("auc", F.lit(-1.0)), path)
+        write_metrics(rows.where("epoch <= 3"), path)
+        write_metrics(rows.where("epoch > 3"), path)
+    return read_metrics(spark, path).select("run_id", "epoch", "split", "task", "class", r6("auc").alias("auc"),
+                                            r6("loss").alias("loss"), "rows", "seconds")
 
 
 @register("m6_fit_builtin")
@@ -753,25 +767,126 @@ def q_m6(spark, sf_dir):
 
 @register("m7_fit_grid")
 def q_m7(spark, sf_dir):
-    """Grid over learning rate and trunk width on one checkpointed input; pick by validation AUC."""
+    """Grid over learning rate and trunk width, one job an epoch for all of it; pick by validation AUC."""
     from ..operators.summary import best_epoch
-    from .net import Head, NetSpec
     from .cohort import WIDTH
-    from .train import fit
+    from .net import Head, NetSpec
+    from .train import fit_grid
     grid = [(lr, hidden) for lr in (0.005, 0.001) for hidden in (100, 500)]
-    base = NetSpec(n_in=WIDTH, hidden=100, heads=[Head("mortality", 1, "y_mortality")])
-    data = cohort_prepared(spark, sf_dir)
-    rows = []
-    for gi, (lr, hidden) in enumerate(grid):
-        spec = NetSpec(n_in=WIDTH, hidden=hidden, heads=base.heads, lr=lr, epochs=base.epochs)
-        res = fit(None, spec, prepared=data, eval_splits=("valid",))
-        rows += [(gi, lr, hidden, m["epoch"], m["split"], m["auc"]) for m in res.metrics]
-    metrics = spark.createDataFrame(rows, "config int, lr double, hidden int, epoch int, split string, auc double")
-    best = best_epoch(metrics.withColumn("task", F.lit("mortality")), ["task"], epoch=["config", "epoch"])
+    specs = [NetSpec(n_in=WIDTH, hidden=hidden, heads=[Head("mortality", 1, "y_mortality")], lr=lr) for lr, hidden in grid]
+    fits = fit_grid(None, specs, prepared=cohort_prepared(spark, sf_dir), eval_splits=("valid",))
+    best = best_epoch(_grid_metrics(spark, fits), ["task"], epoch=["config", "epoch"])
     return best.select("task", F.col("best_config").alias("config"), F.col("best_epoch").alias("epoch"),
                        "valid_auc")
 
 
+def _grid_metrics(spark, fits) -> DataFrame:
+    rows = [(r.config, m["epoch"], m["split"], m["task"], m["auc"]) for r in fits for m in r.metrics]
+    return spark.createDataFrame(rows, "config int, epoch int, split string, task string, auc double")
+
+
+def _linear_label(spark, sf_dir) -> DataFrame:
+    """embeddings with a label that is a fixed linear rule of the vector, split by id."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("features"))
+    rule = nn.dense("features", class_map(64, 1), [0.0])[0]
+    return sp.assign_split(e.withColumn("y", (rule > 0).cast("int")), "vec_id", 0.8, 0.1)
+
+
+@register("m7_grid_planted")
+def q_m7_planted(spark, sf_dir):
+    """A grid of four on a label that a linear rule plants: every configuration is judged, the best one has learned it."""
+    from ..operators.summary import best_epoch
+    from .net import Head, NetSpec
+    from .train import fit_grid
+    specs = [NetSpec(n_in=64, hidden=hidden, heads=[Head("t", 1, "y")], lr=lr, epochs=12)
+             for lr in (0.02, 0.002) for hidden in (8, 32)]
+    m = _grid_metrics(spark, fit_grid(_linear_label(spark, sf_dir), specs, id_col="vec_id", shards=2))
+    top = best_epoch(m, ["task"], epoch=["config", "epoch"])
+    judged = m.groupBy("task").agg(F.count_distinct("config").alias("n_configs"), F.count_distinct("epoch").alias("n_epochs"),
+                                   F.count(F.lit(1)).alias("n_metrics"),
+                                   F.max(F.when(F.col("split") == "valid", F.col("auc"))).alias("most"))
+    return judged.join(top, "task").select(
+        "task", "n_configs", "n_epochs", "n_metrics", (F.col("valid_auc") == F.col("most")).cast("int").alias("is_best"),
+        (F.col("valid_auc") >= 0.85).cast("int").alias("learned"))
+
+
+@register("m6_builtin_planted")
+def q_m6_planted(spark, sf_dir):
+    """The library baselines on the planted label: rows of each split, and whether the model has learned it."""
+    from .train import fit_builtin
+    data = _linear_label(spark, sf_dir).withColumnRenamed("vec_id", "record_id").checkpoint()
+    a = au.auc_exact(fit_builtin(data, "y", 1), ["split"])
+    return a.select("split", (F.col("n_pos") + F.col("n_neg")).alias("rows"), "n_pos",
+                    (F.col("auc") >= 0.85).cast("int").alias("learned"))
+
+
+@register("m4_gradient")
+def q_m4_gradient(spark, sf_dir):
+    """Summed gradient of the fixed net's softmax head alone, by the training tasks' arithmetic."""
+    from dataclasses import replace
+
+    import numpy as np
+    spec, theta = fixed_net()
+    one = replace(spec, heads=spec.heads[1:])
+    trunk = spec.n_in * spec.hidden + spec.hidden
+    return _gradient(spark, sf_dir, one, np.concatenate([theta[:trunk], theta[trunk + spec.hidden + 1:]]))
+
+
+@register("j2_align_landed")
+def q_j2_landed(spark, sf_dir):
+    """J2 over tables that landed in buckets by record id: joined bucket by bucket, without a shuffle."""
+    from ..session import scratch_path
+    from ..sources.store import land
+    from .cohort import cohort_labels
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("record_id"), "o_totalprice")
+    features = land(orders, scratch_path(spark, "landed-features"))
+    labels = {t: land(d, scratch_path(spark, f"landed-{t}")) for t, d in cohort_labels(spark, sf_dir).items()}
+    j = al.align_landed(features, labels)
+    return j.select("record_id", r6("o_totalprice").alias("o_totalprice"), "y_mortality", "y_los", "y_survival")
+
+
+@register("s4_sequence_dataset")
+def q_s4_sequences(spark, sf_dir):
+    """Sequence files of all events with two label folders, and the first record marked."""
+    from ..operators.summary import first_records
+    from ..session import scratch_path
+    from ..sources.numbered import read_dataset, write_numbered_csv
+    from .tables import hours
+    events = table(spark, sf_dir, "events")
+    paths = {k: scratch_path(spark, f"seq-{k}") for k in ("x", "many", "last")}
+    write_numbered_csv(events.select("user_id", F.struct("ts", "event_id").alias("o"),
+                                     F.array(F.col("value"), hours(events, "ts")).alias("x")),
+                       paths["x"], "user_id", "x", header="value,hour", order_col="o")
+    per = events.groupBy("user_id").agg((F.count(F.lit(1)) % 3).alias("many"), (F.max("event_id") % 2).alias("last"))
+    for k in ("many", "last"):
+        write_numbered_csv(per.select("user_id", F.array(F.col(k).cast("double")).alias("y")), paths[k], "user_id", "y")
+    d = read_dataset(spark, paths["x"], 2, [paths["many"], paths["last"]], target_names=["y_many", "y_last"], sequence=True)
+    first = first_records(d.select("record_id"), 1).withColumn("is_first", F.lit(1))
+    d = d.join(F.broadcast(first), "record_id", "left")  # one row
+    return d.select("record_id", "step", r6(F.col("x")[0]).alias("value"), r6(F.col("x")[1]).alias("hour"),
+                    "y_many", "y_last", F.coalesce("is_first", F.lit(0)).alias("is_first"))
+
+
+@register("program_run")
+def q_program(spark, sf_dir):
+    """The end-to-end program over numbered folders of all vectors: report rows, classes, and metrics that it wrote."""
+    from ..session import scratch_path
+    from ..sources.numbered import write_numbered_csv
+    from ..sources.store import read_metrics
+    from .programs import run_program
+    base, out = scratch_path(spark, "program-in"), scratch_path(spark, "program-out")
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("x"))
+    write_numbered_csv(e, f"{base}/features", "vec_id", "x")
+    for task, y in (("mortality", F.col("label") >= 5), ("los_bucket", F.col("label") % 8), ("survival_bucket", F.col("label") % 5)):
+        write_numbered_csv(e.select("vec_id", F.array(y.cast("double")).alias("y")), f"{base}/{task}", "vec_id", "y")
+    res = run_program(spark, base, out, hidden=16, epochs=3, width=64, n_train=0.8, n_valid=0.1, shards=2)
+    wrote = read_metrics(spark, f"{out}/metrics").groupBy("task").agg(
+        F.count_distinct("epoch").alias("epochs"), F.count(F.lit(1)).alias("n_metrics"))
+    sound = F.col("auc_exact").isNull() | F.col("auc_exact").between(0, 1)
+    return res.report.join(wrote, "task").select("split", "task", "rows", "n_classes", "epochs", "n_metrics",
+                                                 sound.cast("int").alias("sound"))
+
+
 # ---------------------------------------------------------------- streaming forms (S1+S5, A3)
 
 @register("s5_land_stream")

@@ -186,11 +186,12 @@ def adam_step(spec: NetSpec, theta, m, v, t: int, g, scratch=None):
     return theta, m, v
 
 
-def train_pass(spec: NetSpec, theta, m, v, t: int, batches, batch_size: int | None = None):
+def train_pass(spec: NetSpec, theta, m, v, t: int, batches, batch_size: int | None = None, on_step=None):
     """Mini-batch Adam over an iterator of (X, Y) chunks in record order.
 
     Chunks are re-cut into batches of ``batch_size``; the remainder of a chunk
     is carried into the next one, and the short final batch is used too.
+    ``on_step(step, rows, loss, last)`` is told of every step, and of the last one again.
     Returns (theta, m, v, t, rows, steps, loss_sum).
     """
     B = batch_size or spec.batch
@@ -198,16 +199,18 @@ def train_pass(spec: NetSpec, theta, m, v, t: int, batches, batch_size: int | No
     scratch = np.empty_like(theta)
     carry_X, carry_Y = None, None
     rows = steps = 0
-    loss_sum = 0.0
+    loss_sum = loss = 0.0
 
     def step(Xb, Yb):
-        nonlocal theta, m, v, t, rows, steps, loss_sum
+        nonlocal theta, m, v, t, rows, steps, loss_sum, loss
         loss, g = loss_and_grad(spec, theta, Xb, Yb)
         t += 1
         theta, m, v = adam_step(spec, theta, m, v, t, g, scratch)
         rows += len(Xb)
         steps += 1
         loss_sum += loss * len(Xb)
+        if on_step is not None:
+            on_step(steps, rows, loss, False)
 
     for X, Y in batches:
         if carry_X is not None and len(carry_X):
@@ -219,4 +222,6 @@ def train_pass(spec: NetSpec, theta, m, v, t: int, batches, batch_size: int | No
         carry_X, carry_Y = X[k:], {kk: vv[k:] for kk, vv in Y.items()}
     if carry_X is not None and len(carry_X):
         step(carry_X, carry_Y)
+    if on_step is not None:
+        on_step(steps, rows, loss, True)
     return theta, m, v, t, rows, steps, loss_sum

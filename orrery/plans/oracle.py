@@ -334,10 +334,14 @@ parts AS (
   SELECT 'y_mortality' AS target_set, y_mortality AS class, count(*) AS n_class FROM d GROUP BY 2
   UNION ALL SELECT 'y_los', y_los, count(*) FROM d GROUP BY 2
   UNION ALL SELECT 'y_survival', y_survival, count(*) FROM d GROUP BY 2
-)
+),
+one AS (SELECT * FROM d ORDER BY record_id LIMIT 1)
 SELECT p.target_set, CAST(p.class AS INTEGER) AS class, p.n_class, 3 AS n_target_sets,
-       s.n_rows, s.min_width, s.max_width, s.first_record
-FROM parts p, shape s
+       s.n_rows, s.min_width, s.max_width, s.first_record,
+       CASE p.target_set WHEN 'y_mortality' THEN one.y_mortality WHEN 'y_los' THEN one.y_los ELSE one.y_survival END
+         AS first_label,
+       {", ".join(f"round(one.features[{i + 1}], 6) AS first_f{i}" for i in range(45))}
+FROM parts p, shape s, one
 """
 
 # ------------------------------------------------------------- projections
@@ -535,16 +539,18 @@ pe AS (SELECT *, [exp(v - list_max(zc)) for v in zc] AS ec FROM pc),
 r AS (SELECT *, 1.0 / (1.0 + exp(-zb)) AS p_bin, [v / list_sum(ec) for v in ec] AS p_cls FROM pe)"""
 
 
-def _gradient_sql(both: bool) -> str:
+def _gradient_sql(bin_: bool, cls: bool) -> str:
     from .catalog import fixed_weights
     _, _, w_bin, _, w_cls, _ = fixed_weights()
-    dh = ", ".join("(db * {} {})".format(w_bin[0][j], "".join(f" + dc[{k + 1}] * {w_cls[k][j]}" for k in range(3)) if both else "")
+    dh = ", ".join("({} {})".format(f"db * {w_bin[0][j]}" if bin_ else "0.0",
+                                    "".join(f" + dc[{k + 1}] * {w_cls[k][j]}" for k in range(3)) if cls else "")
                    + f" * CASE WHEN z[{j + 1}] > 0 THEN 1 ELSE 0 END" for j in range(4))
     parts = ["SELECT 'W1' AS param, i * 4 + j AS i, sum(x[i + 1] * dz[j + 1]) AS g FROM d, range(64) a(i), range(4) b(j) GROUP BY 1, 2",
-             "SELECT 'b1', j, sum(dz[j + 1]) FROM d, range(4) b(j) GROUP BY 1, 2",
-             "SELECT 'W_bin', j, sum(h[j + 1] * db) FROM d, range(4) b(j) GROUP BY 1, 2",
-             "SELECT 'b_bin', 0, sum(db) FROM d"]
-    if both:
+             "SELECT 'b1', j, sum(dz[j + 1]) FROM d, range(4) b(j) GROUP BY 1, 2"]
+    if bin_:
+        parts += ["SELECT 'W_bin', j, sum(h[j + 1] * db) FROM d, range(4) b(j) GROUP BY 1, 2",
+                  "SELECT 'b_bin', 0, sum(db) FROM d"]
+    if cls:
         parts += ["SELECT 'W_cls', j * 3 + k, sum(h[j + 1] * dc[k + 1]) FROM d, range(4) b(j), range(3) c(k) GROUP BY 1, 2",
                   "SELECT 'b_cls', k, sum(dc[k + 1]) FROM d, range(3) c(k) GROUP BY 1, 2"]
     return f"""
@@ -555,8 +561,9 @@ SELECT param, CAST(i AS INTEGER) AS i, round(g, 4) AS gradient FROM ({" UNION AL
 """
 
 
-ORACLE["m3_gradient"] = _gradient_sql(False)
-ORACLE["m5_gradient"] = _gradient_sql(True)
+ORACLE["m3_gradient"] = _gradient_sql(True, False)
+ORACLE["m4_gradient"] = _gradient_sql(False, True)
+ORACLE["m5_gradient"] = _gradient_sql(True, True)
 
 _PLANTED_LONG = f"""{_planted_ctes()},
 long AS (SELECT split, 'bin' AS task, 0 AS class, y_bin AS y, p_bin AS p FROM r
@@ -584,6 +591,70 @@ SELECT split, task, round(auc_exact, 6) AS auc_exact, round(auc_binned, 6) AS au
 FROM tasks JOIN losses USING (split, task) WHERE split IN ('train', 'test')
 """
 
+# ------------------------------------------------------------- runs: what does not depend on the weights
+
+_SPLIT_OF = """CASE WHEN {id} < floor(b.n * 0.8) THEN 'train' WHEN {id} < floor(b.n * 0.9) THEN 'valid' ELSE 'test' END"""
+
+ORACLE["t1_history"] = f"""
+WITH {COHORT_LABELS},
+b AS (SELECT CAST(max(o_orderkey) + 1 AS DOUBLE) AS n FROM orders),
+train AS (SELECT count(*) AS n FROM orders o JOIN c_labels c ON c.record_id = o.o_orderkey, b
+          WHERE o.o_orderkey < floor(b.n * 0.8))
+SELECT CAST(epoch AS INTEGER) AS epoch, CAST(8 AS BIGINT) AS shards, CAST(train.n AS BIGINT) AS rows,
+       CAST(0 AS BIGINT) AS missing, 1 AS sound
+FROM train, range(20) e(epoch)
+"""
+
+ORACLE["s6_write_metrics"] = f"""
+WITH {DOC_SCORED},
+{EPOCH_SCORED},
+ep_round AS (SELECT * REPLACE (round(p, 9) AS p) FROM ep_scored),
+{exact_auc_ctes("ep_round", "epoch, split, task")},
+ls AS (SELECT epoch, split, task, count(*) AS rows,
+              avg(-ln(greatest(least(CASE WHEN y = 1 THEN p ELSE 1 - p END, 1 - 1e-7), 1e-7))) AS loss
+       FROM ep_round GROUP BY epoch, split, task)
+SELECT run_id, CAST(ex.epoch AS INTEGER) AS epoch, split, task, 0 AS class, round(auc, 6) AS auc, round(loss, 6) AS loss,
+       rows, CAST(ex.epoch AS DOUBLE) * 1.5 AS seconds
+FROM ex JOIN ls USING (epoch, split, task), (VALUES ('first'), ('second')) r(run_id)
+"""
+
+_LINEAR = f"""
+lx AS (SELECT e.vec_id, {_SPLIT_OF.format(id="e.vec_id")} AS split,
+              CASE WHEN list_inner_product(CAST(e.embedding AS DOUBLE[]),
+                        [((i * 2) % 7 - 3) / 4.0 for i in range(64)]::DOUBLE[]) > 0 THEN 1 ELSE 0 END AS y
+       FROM embeddings e, (SELECT CAST(max(vec_id) + 1 AS DOUBLE) AS n FROM embeddings) b)"""
+ORACLE["m7_grid_planted"] = """
+SELECT 't' AS task, CAST(4 AS BIGINT) AS n_configs, CAST(12 AS BIGINT) AS n_epochs, CAST(4 * 12 * 2 AS BIGINT) AS n_metrics,
+       1 AS is_best, 1 AS learned
+"""
+ORACLE["m6_builtin_planted"] = f"""
+WITH {_LINEAR}
+SELECT split, count(*) AS rows, CAST(sum(y) AS BIGINT) AS n_pos, 1 AS learned FROM lx GROUP BY split
+"""
+
+ORACLE["program_run"] = f"""
+WITH px AS (SELECT e.label, {_SPLIT_OF.format(id="e.vec_id")} AS split
+            FROM embeddings e, (SELECT CAST(max(vec_id) + 1 AS DOUBLE) AS n FROM embeddings) b),
+long AS (SELECT split, 'mortality' AS task, 0 AS class, label >= 5 AS hit FROM px
+         UNION ALL SELECT split, 'los_bucket', k, label % 8 = k FROM px, range(8) c(k)
+         UNION ALL SELECT split, 'survival_bucket', k, label % 5 = k FROM px, range(5) c(k)),
+per AS (SELECT split, task, class, count(*) AS rows, bool_or(hit) AND bool_or(NOT hit) AS two_sided FROM long GROUP BY ALL)
+SELECT split, task, max(rows) AS rows, count(*) FILTER (two_sided) AS n_classes, CAST(3 AS BIGINT) AS epochs,
+       CAST(6 AS BIGINT) AS n_metrics, 1 AS sound
+FROM per WHERE split IN ('train', 'test') GROUP BY split, task
+"""
+
+ORACLE["j2_align_landed"] = ORACLE["j2_align_many"]
+ORACLE["s4_sequence_dataset"] = """
+WITH per AS (SELECT user_id, CAST(count(*) % 3 AS DOUBLE) AS y_many, CAST(max(event_id) % 2 AS DOUBLE) AS y_last
+             FROM events GROUP BY user_id)
+SELECT e.user_id AS record_id,
+       CAST(row_number() OVER (PARTITION BY e.user_id ORDER BY e.ts, e.event_id) - 1 AS INTEGER) AS step,
+       round(e.value, 6) AS value, round(CAST(epoch_us(e.ts) AS DOUBLE) / 3600000000.0, 6) AS hour, per.y_many, per.y_last,
+       CASE WHEN e.user_id = (SELECT min(user_id) FROM events) THEN 1 ELSE 0 END AS is_first
+FROM events e JOIN per ON per.user_id = e.user_id
+"""
+
 # ------------------------------------------------------------- streaming forms
 ORACLE["s5_land_stream"] = ORACLE["s1_read_numbered_csv"]
 ORACLE["a3_roc_histogram_stream"] = ORACLE["a3_roc_histogram"]

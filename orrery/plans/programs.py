@@ -14,10 +14,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.align import align_many
 from ..operators.split import NB_TRAIN, NB_VALID, assign_split
 from ..sources.models import load_model
-from ..sources.numbered import read_numbered_csv
+from ..sources.numbered import read_dataset
 from ..sources.store import write_metrics
 from .net import EPOCHS, Head, NetSpec
 from .train import SHARDS, FitResult, final_report, fit, prepare
@@ -35,18 +34,22 @@ class ProgramResult:
 
 
 def load_tasks(spark: SparkSession, base_dir: str, tasks: Sequence[str], width: int = NB_INPUTS) -> DataFrame:
-    """Features and every label folder, aligned by record id (labels squeezed to scalars)."""
-    feats = read_numbered_csv(spark, f"{base_dir}/features", width)
-    labels = {t: read_numbered_csv(spark, f"{base_dir}/{t}", 1, name="__y")
-              .select("record_id", F.col("__y")[0].cast("int").alias(f"y_{t}")) for t in tasks}
-    return align_many(feats, labels)
+    """Features and every label folder in one scan, aligned by record id (labels squeezed to scalars)."""
+    data = read_dataset(spark, f"{base_dir}/features", width, [f"{base_dir}/{t}" for t in tasks],
+                        target_names=[f"y_{t}" for t in tasks])
+    return data.select("record_id", "features", *[F.col(f"y_{t}").cast("int").alias(f"y_{t}") for t in tasks])
 
 
 def run_program(spark: SparkSession, base_dir: str, out_dir: str, tasks: Sequence[str] = tuple(TASKS),
                 hidden: int = 750, epochs: int = EPOCHS, width: int = NB_INPUTS,
                 n_train: int | float = NB_TRAIN, n_valid: int | float = NB_VALID,
-                shards: int = SHARDS, run_id: str = "run") -> ProgramResult:
-    """Train one shared-trunk network on ``tasks`` (1, 2 or all three) and report train and test AUC."""
+                shards: int = SHARDS, run_id: str = "run", resume: bool = False,
+                patience: int | None = None) -> ProgramResult:
+    """Train one shared-trunk network on ``tasks`` (1, 2 or all three) and report train and test AUC.
+
+    With ``resume`` a program that was cut off goes on after its last whole epoch; the metrics of an epoch that is
+    evaluated again replace those that are there.  ``patience`` stops by validation AUC.
+    """
     data = assign_split(load_tasks(spark, base_dir, tasks, width), "record_id", n_train, n_valid)
     spec = NetSpec(n_in=width, hidden=hidden, epochs=epochs,
                    heads=[Head(t, TASKS[t], f"y_{t}") for t in tasks])
@@ -61,7 +64,9 @@ def run_program(spark: SparkSession, base_dir: str, out_dir: str, tasks: Sequenc
             write_metrics(df, f"{out_dir}/metrics")
 
     res = fit(None, spec, prepared=prepared, shards=shards, on_epoch_end=log_epoch,
-              checkpoint_path=f"{out_dir}/model")
+              checkpoint_path=f"{out_dir}/model", resume=resume, patience=patience)
     spec2, theta = load_model(spark, f"{out_dir}/model")
+    if res.best_epoch is not None:
+        theta = res.theta  # the newest version is that of the last epoch, not of the best
     report = final_report(prepared, FitResult(spec=spec2, theta=theta))
     return ProgramResult(fit=res, report=report, data=prepared)

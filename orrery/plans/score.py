@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,7 +19,7 @@ from ..functions import nn
 from ..operators import auc as au
 from ..operators.encode import one_hot
 from ..session import ship_package
-from .net import NetSpec, forward
+from .net import Head, NetSpec, forward
 
 
 def arrow_matrix(col: pa.Array, width: int) -> np.ndarray:
@@ -126,6 +126,50 @@ def evaluate(pred: DataFrame, spec: NetSpec, keys: Sequence[str] = ("split",), m
             .select(*keys, "task", F.col("auc_macro").alias("auc"), "n_classes", "loss", "rows"))
 
 
+def _class_rows(h: Head) -> Column:
+    """(task, class, y, p) of one prediction, a row for each class of the head; none without a label."""
+    y, p = F.col(h.label).cast("int"), F.col(f"p_{h.task}")
+
+    def row(c: Column, hit: Column, x: Column) -> Column:
+        return F.struct(F.lit(h.task).alias("task"), c.cast("int").alias("class"), hit.cast("int").alias("y"), x.alias("p"))
+
+    each = F.array(row(F.lit(0), y, p)) if h.n == 1 else F.transform(p, lambda x, c: row(c, y == c, x))
+    return F.filter(each, lambda _: y.isNotNull())
+
+
+def report(pred: DataFrame, spec: NetSpec, keys: Sequence[str] = ("split",), steps: int = 100) -> DataFrame:
+    """V4: exact and binned AUC, loss and rows per (keys, task), from one pass over the predictions.
+
+    Every prediction becomes one row a head and class (one Expand), and those
+    one row for each distinct score.  Exact numerators, threshold bins and
+    losses are all functions of such rows, so they leave the one aggregate per
+    bin that follows the prefix sum: at most ``steps + 1`` rows a group.
+    """
+    keys = list(keys)
+    rows = F.concat(*[_class_rows(h) for h in spec.heads])
+    long = pred.select(*keys, F.explode(rows).alias("r")).select(*keys, "r.*")
+    group = [*keys, "task", "class"]
+    scores = au.negatives_below(long, group)
+    binary = F.col("task").isin([h.task for h in spec.heads if h.n == 1])
+    p = nn.clip_prob("p")
+    loss = -(F.col("pos") * F.ln(p)) - F.when(binary, F.col("neg") * F.ln(1.0 - p)).otherwise(0.0)
+    bins = scores.groupBy(*group, au.score_bin("p", steps).alias("bin")).agg(
+        F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum(loss).alias("loss"),
+        F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2)).alias("exact"))
+    higher = Window.partitionBy(*group).orderBy(F.col("bin").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    bins = bins.withColumn("tp", F.coalesce(F.sum("pos").over(higher), F.lit(0.0)))
+    per_class = bins.groupBy(*group).agg(
+        F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum("loss").alias("loss"), F.sum("exact").alias("exact"),
+        F.sum(F.col("neg") * (F.col("tp") + F.col("pos") / 2)).alias("binned"))
+    pairs = F.when((F.col("pos") > 0) & (F.col("neg") > 0), F.col("pos") * F.col("neg"))
+    labelled = F.col("pos") + F.when(binary, F.col("neg")).otherwise(0.0)  # a record is positive in one class of its head
+    out = per_class.groupBy(*keys, "task").agg(
+        F.avg(F.col("exact") / pairs).alias("auc_exact"), F.avg(F.col("binned") / pairs).alias("auc_binned"),
+        F.count(pairs).alias("n_classes"), F.sum("loss").alias("loss"), F.sum(labelled).alias("rows"))
+    return out.select(*keys, "task", "auc_exact", "auc_binned", "n_classes", (F.col("loss") / F.col("rows")).alias("loss"),
+                      F.col("rows").cast("long").alias("rows"))
+
+
 def trapezoid_auc(bins_pos_neg: list[tuple[int, int, int]]) -> float | None:
     """Binned AUC from one group's histogram rows (bin, pos, neg): the same
     trapezoid as ``auc_binned``, for a collected (<= steps+1 rows) histogram."""

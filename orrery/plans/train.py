@@ -1,37 +1,48 @@
 """Distributed training: local mini-batch Adam per shard, weights averaged per epoch.
 
-One Spark job per epoch.  The train split is hash-sharded on the record id
-into K shards (``repartitionById``: partition = shard), sorted by id and
-checkpointed once.  Each epoch broadcasts (weights, Adam moments, step); each
-shard streams its Arrow batches re-cut to mini-batches of 32 in id order and
-returns its final state; the states are combined as the row-weighted mean
-by levels of ``FAN_IN``, so that the driver receives one state for any K.
+One Spark job per epoch, for one network or for a whole grid of them.  The
+train split is hash-sharded on the record id into K shards (``repartitionById``:
+partition = shard), sorted by id and checkpointed once; a task trains one
+(configuration, shard).  Each epoch broadcasts (weights, Adam moments, step) of
+every configuration; each task streams its Arrow batches re-cut to mini-batches
+of 32 in id order and writes its final state, and a line of history every ten
+steps, to Parquet.  The states are combined as the row-weighted mean by levels
+of ``FAN_IN``, so that the driver receives one state a configuration for any K.
 K = 1 is the reference algorithm exactly; K > 1 is the scale path (local SGD
 with model averaging).  A task is a pure function of (broadcast, shard), so
 retries and speculative copies are harmless.  K is a parameter, never derived
 from data or cluster, so results depend on (K, seed) only.
+
+After each epoch a checkpoint holds weights, Adam moments, step, epoch and the
+metrics so far: a run that was cut off goes on from its last whole version and
+ends with the weights of a run that was not.
 """
 
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import asdict, dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, ship_package
+from ..sources.models import delete_path, last_version, load_state, path_exists, save_model
 from .net import NetSpec, forward, init_params, loss_and_grad, train_pass
-from .score import arrow_matrix, evaluate, predict
+from .score import arrow_matrix, evaluate, predict, report
 
 #: Shards of the train split.  A parameter of the algorithm, never derived from the data: 1 is plain mini-batch Adam,
 #: more are trained side by side and averaged each epoch.  Set it to the cores that training should use.
 SHARDS = 8
 #: States that one task merges; the driver receives the one that is left.
 FAN_IN = 16
+#: Steps between two lines of the iteration history.
+HISTORY_EVERY = 10
+#: Iteration history (T1): the loss of batch ``step`` of a shard, and the records since the line before and a second.
+HISTORY = "config int, epoch int, shard int, step long, rows long, loss double, records_per_second double"
 
 
 @dataclass
@@ -39,13 +50,24 @@ class FitResult:
     spec: NetSpec
     theta: np.ndarray
     metrics: list[dict] = field(default_factory=list)   # epoch, split, task, auc, n_classes, loss, rows, seconds
-    history: list[dict] = field(default_factory=list)   # epoch, shard, rows, steps, loss, seconds
     shards: int = 1
     checkpoint_path: str | None = None
+    log_path: str | None = None
+    config: int = 0
+    best_epoch: int | None = None       # with early stopping: the epoch whose weights these are
+    stopped_after: int | None = None    # and the last epoch that was judged, if it stopped
+
+    def history(self, spark: SparkSession) -> DataFrame:
+        """The lines that the tasks wrote (``HISTORY``)."""
+        return read_history(spark, self.log_path).where(F.col("config") == self.config)
+
+
+def read_history(spark: SparkSession, log_path: str) -> DataFrame:
+    return spark.read.schema(HISTORY).parquet(f"{log_path}/epoch-*/kind=history")
 
 
 def prepare(df: DataFrame, spec: NetSpec, features: str = "features", id_col: str = "record_id",
-            split_col: str = "split") -> DataFrame:
+            split_col: str = "split", path: str | None = None) -> DataFrame:
     """Narrow, typed input in the shared folder, by split: (id, features, labels as double, split).
 
     A label that is no class of its head fails the job; a null label is left out of its task's loss.
@@ -58,10 +80,17 @@ def prepare(df: DataFrame, spec: NetSpec, features: str = "features", id_col: st
         right = y.isNull() | ((y >= 0) & (y <= top) & (y == F.floor(y)) & ~F.isnan(y))
         cols.append(F.when(right, y).otherwise(F.raise_error(F.concat(
             F.lit(f"label {h.label} is not a class of 0..{top}: "), y.cast("string")))).alias(h.label))
-    path = scratch_path(df.sparkSession, "prepared")
-    df.select(*cols).write.partitionBy("split").parquet(path)  # reading one split opens its files only
-    schema = f"record_id {dict(df.dtypes)[id_col]}, features array<double>" + "".join(f", `{h.label}` double" for h in spec.heads)
-    return df.sparkSession.read.schema(schema + ", split string").parquet(path)
+    path = path or scratch_path(df.sparkSession, "prepared")
+    df.select(*cols).write.mode("overwrite").partitionBy("split").parquet(path)  # reading one split opens its files only
+    return open_prepared(df.sparkSession, path, spec, dict(df.dtypes)[id_col])
+
+
+def open_prepared(spark: SparkSession, path: str, spec: NetSpec, id_type: str = "bigint") -> DataFrame | None:
+    """What ``prepare`` wrote under ``path``; None if it is not there as a whole."""
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        return None
+    schema = f"record_id {id_type}, features array<double>" + "".join(f", `{h.label}` double" for h in spec.heads)
+    return spark.read.schema(schema + ", split string").parquet(path)
 
 
 def fit_standardizer(train: DataFrame, width: int) -> tuple[list[float], list[float]]:
@@ -86,8 +115,9 @@ def shard(train: DataFrame, k: int) -> DataFrame:
             .checkpoint(eager=True))
 
 
-_EPOCH_SCHEMA = "shard int, rows long, steps long, loss_sum double, seconds double, " \
-                "theta binary, m binary, v binary, hist binary, losses binary"
+_STATE = "config int, epoch int, shard int, rows long, step long, loss double, theta binary, m binary, v binary, " \
+         "hist binary, losses binary"
+_EPOCH_SCHEMA = f"kind string, {_STATE}, records_per_second double"
 
 EVAL_SPLITS = ("train", "valid")
 
@@ -147,39 +177,73 @@ def _metrics_from(spec: NetSpec, H, L, splits: Sequence[str]) -> list[dict]:
     return out
 
 
-def _epoch_job(data: DataFrame, spec: NetSpec, state, train: bool = True, evaluate: bool = True,
-               steps: int = 100):
-    """One pass over ``data`` (train shards, optionally followed by evaluation-only partitions).
+@dataclass
+class _State:
+    """Weights, Adam moments and steps of one configuration."""
+
+    theta: np.ndarray
+    m: np.ndarray
+    v: np.ndarray
+    t: int = 0
+
+
+@dataclass
+class _Sums:
+    """What the tasks of one configuration add up to; states are weighted by their rows."""
+
+    rows: int
+    theta: np.ndarray | None
+    m: np.ndarray | None
+    v: np.ndarray | None
+    steps: int
+    hist: np.ndarray
+    losses: np.ndarray
+
+    def add(self, other: _Sums) -> _Sums:
+        if other.rows and self.rows:
+            theta, m, v = self.theta + other.theta, self.m + other.m, self.v + other.v
+        else:
+            theta, m, v = (self.theta, self.m, self.v) if self.rows else (other.theta, other.m, other.v)
+        return _Sums(self.rows + other.rows, theta, m, v, max(self.steps, other.steps), self.hist + other.hist,
+                     self.losses + other.losses)
+
+
+def _epoch_job(data: DataFrame, specs: dict[int, NetSpec], states: dict[int, _State], log: str, epoch: int,
+               train: bool = True, evaluate: bool = True, steps: int = 100) -> dict[int, _Sums]:
+    """One pass over ``data``: (configuration, shard) partitions, optionally followed by evaluation-only ones.
 
     Every chunk is first scored with the incoming weights (ROC histograms and
     loss sums of the previous epoch's model), then, for rows of the train
-    split, used for mini-batch Adam.  Returns the merged state sums, the
-    per-shard info and the merged histograms.
+    split, used for mini-batch Adam.  Tasks write their state and their history
+    under ``log`` (exactly once, by Spark's commit); a second job merges the
+    states.  Returns the sums of each configuration.
     """
-    ship_package(data.sparkSession)
-    sc = data.sparkSession.sparkContext
-    bc = sc.broadcast(state)
-    spec_json, width = spec.to_json(), spec.n_in
-    hshape, lshape = _hist_shapes(spec, steps)
+    spark = data.sparkSession
+    ship_package(spark)
+    bc = spark.sparkContext.broadcast(({c: s.to_json() for c, s in specs.items()},
+                                       {c: (s.theta, s.m, s.v, s.t) for c, s in states.items()}))
+    shapes = {c: _hist_shapes(s, steps) for c, s in specs.items()}
 
     def run(batches):
         from pyspark import TaskContext
-        sp = NetSpec.from_json(spec_json)
-        theta, m, v, t = bc.value
-        H = np.zeros(hshape, dtype=np.int64)
-        L = np.zeros(lshape)
+        config, lines, sp = None, [], None
         t0 = time.time()
 
         def chunks():
+            nonlocal config, sp, H, L
             for b in batches:
                 if b.num_rows == 0:
                     continue
-                X = arrow_matrix(b.column("features"), width)
+                if config is None:
+                    config = b.column("config")[0].as_py()
+                    sp = NetSpec.from_json(bc.value[0][config])
+                    H, L = np.zeros(shapes[config][0], dtype=np.int64), np.zeros(shapes[config][1])
+                X = arrow_matrix(b.column("features"), sp.n_in)
                 Y = {h.task: b.column(h.label).to_numpy(zero_copy_only=False).astype(np.float64)
                      for h in sp.heads}
                 split = np.asarray(b.column("split").to_pylist(), dtype=object)
                 if evaluate:
-                    probs = forward(sp, theta, X)
+                    probs = forward(sp, bc.value[1][config][0], X)
                     for si, s in enumerate(EVAL_SPLITS):
                         sel = split == s
                         if sel.any():
@@ -192,60 +256,71 @@ def _epoch_job(data: DataFrame, spec: NetSpec, state, train: bool = True, evalua
                     elif sel.any():
                         yield X[sel], {k: y[sel] for k, y in Y.items()}
 
-        if train:
-            th, mm, vv, _t, rows, n_steps, loss_sum = train_pass(sp, theta.copy(), m.copy(), v.copy(), t, chunks())
-        else:
-            for _ in chunks():
-                pass
-            th = mm = vv = None
-            rows = n_steps = 0
-            loss_sum = 0.0
-        yield pa.RecordBatch.from_pydict({
-            "shard": [TaskContext.get().partitionId()], "rows": [rows], "steps": [n_steps],
-            "loss_sum": [loss_sum], "seconds": [time.time() - t0],
-            "theta": [th.tobytes() if rows else b""], "m": [mm.tobytes() if rows else b""],
-            "v": [vv.tobytes() if rows else b""], "hist": [H.tobytes()], "losses": [L.tobytes()]},
-            schema=pa.schema([("shard", pa.int32()), ("rows", pa.int64()), ("steps", pa.int64()),
-                              ("loss_sum", pa.float64()), ("seconds", pa.float64()),
-                              ("theta", pa.binary()), ("m", pa.binary()), ("v", pa.binary()),
-                              ("hist", pa.binary()), ("losses", pa.binary())]))
-
-    def to_acc(r):
-        n = r["rows"]
-        info = [(r["shard"], n, r["steps"], r["loss_sum"], r["seconds"])] if n else []
-        H = np.frombuffer(r["hist"], dtype=np.int64).reshape(hshape)
-        L = np.frombuffer(r["losses"]).reshape(lshape)
-        if n == 0:
-            return (0, None, None, None, 0, info, H, L)
-        f = float(n)
-        return (n, np.frombuffer(r["theta"]) * f, np.frombuffer(r["m"]) * f, np.frombuffer(r["v"]) * f,
-                r["steps"], info, H, L)
-
-    def add(a, b):
-        if a[0] == 0:
-            s = (b[0], b[1], b[2], b[3])
-        elif b[0] == 0:
-            s = (a[0], a[1], a[2], a[3])
-        else:
-            s = (a[0] + b[0], a[1] + b[1], a[2] + b[2], a[3] + b[3])
-        return (*s, max(a[4], b[4]), a[5] + b[5], a[6] + b[6], a[7] + b[7])
-
-    states = data.mapInArrow(run, _EPOCH_SCHEMA).rdd.map(to_acc)
-    parts = states.getNumPartitions()
-    while parts > 1:  # a constant fan-in: no task and not the driver sees more than FAN_IN states
+        def on_step(step: int, rows: int, loss: float, last: bool) -> None:
+            nonlocal since, t0
+            if rows > since and (last or step % HISTORY_EVERY == 0):
+                now = time.time()
+                lines.append((step, rows - since, loss, (rows - since) / max(now - t0, 1e-9)))
+                since, t0 = rows, now
+
+        H = L = None
+        since = 0
+        stream = chunks()
+        first = next(stream, None)  # names the configuration
+        out = None
+        if first is not None:
+            out = train_pass(sp, *bc.value[1][config], _again(first, stream), on_step=on_step)
+        if config is None:
+            return
+        shard_id = TaskContext.get().partitionId()
+        theta, m, v, _, rows, n_steps, loss_sum = out if out else (None, None, None, 0, 0, 0, 0.0)
+        state = {"kind": "state", "config": config, "epoch": epoch, "shard": shard_id, "rows": rows, "step": n_steps,
+                 "loss": loss_sum, "hist": H.tobytes(), "losses": L.tobytes()}
+        if rows:
+            state |= {"theta": theta.tobytes(), "m": m.tobytes(), "v": v.tobytes()}
+        told = [{"kind": "history", "config": config, "epoch": epoch, "shard": shard_id, "step": step, "rows": n,
+                 "loss": loss, "records_per_second": rate} for step, n, loss, rate in lines]
+        yield pa.RecordBatch.from_pylist([state, *told], schema=_ARROW)
+
+    out = f"{log}/epoch-{epoch:04d}"
+    data.mapInArrow(run, _EPOCH_SCHEMA).write.mode("overwrite").partitionBy("kind").parquet(out)
+    states_path = f"{out}/kind=state"
+
+    def to_sums(r):
+        n, f = r["rows"], float(r["rows"])
+        parts = [np.frombuffer(r[k]) * f if n else None for k in ("theta", "m", "v")]
+        hshape, lshape = shapes[r["config"]]
+        return r["config"], _Sums(n, *parts, r["step"], np.frombuffer(r["hist"], dtype=np.int64).reshape(hshape),
+                                  np.frombuffer(r["losses"]).reshape(lshape))
+
+    merged = spark.read.schema(_STATE).parquet(states_path).rdd.map(to_sums).mapPartitions(_merged)
+    parts = merged.getNumPartitions()
+    while parts > 1:  # a constant fan-in: no task and not the driver sees more than FAN_IN states of a configuration
         parts = -(-parts // FAN_IN)
-        states = (states.mapPartitionsWithIndex(lambda i, it, n=parts: ((i % n, x) for x in it))
-                  .partitionBy(parts, lambda k: k).values().mapPartitions(lambda it: _merged(it, add)))
-    acc = states.first()
+        merged = (merged.mapPartitionsWithIndex(lambda i, it, n=parts: ((i % n, x) for x in it))
+                  .partitionBy(parts, lambda k: k).values().mapPartitions(_merged))
+    sums = dict(merged.collect())  # one row a configuration
     bc.unpersist()
-    return acc
+    delete_path(spark, states_path)
+    return sums
+
 
+_ARROW = pa.schema([("kind", pa.string()), ("config", pa.int32()), ("epoch", pa.int32()), ("shard", pa.int32()),
+                    ("rows", pa.int64()), ("step", pa.int64()), ("loss", pa.float64()), ("theta", pa.binary()),
+                    ("m", pa.binary()), ("v", pa.binary()), ("hist", pa.binary()), ("losses", pa.binary()),
+                    ("records_per_second", pa.float64())])
 
-def _merged(states, add):
-    total = None
-    for x in states:
-        total = x if total is None else add(total, x)
-    return [] if total is None else [total]
+
+def _again(first, rest: Iterator) -> Iterator:
+    yield first
+    yield from rest
+
+
+def _merged(sums: Iterator[tuple[int, _Sums]]) -> list[tuple[int, _Sums]]:
+    total: dict[int, _Sums] = {}
+    for config, x in sums:
+        total[config] = total[config].add(x) if config in total else x
+    return list(total.items())
 
 
 def summed_gradient(df: DataFrame, spec: NetSpec, theta: np.ndarray, features: str = "features") -> DataFrame:
@@ -279,96 +354,188 @@ def summed_gradient(df: DataFrame, spec: NetSpec, theta: np.ndarray, features: s
 def epoch_metrics(data: DataFrame, spec: NetSpec, theta: np.ndarray, splits: Sequence[str] = EVAL_SPLITS) -> list[dict]:
     """V3: metrics of fixed weights, by the evaluation-only job that follows the last epoch."""
     zero = np.zeros_like(theta)
-    *_, H, L = _epoch_job(data.where(F.col("split").isin(list(splits))), spec, (theta, zero, zero, 0), train=False)
-    return _metrics_from(spec, H, L, splits)
+    rows = data.where(F.col("split").isin(list(splits))).withColumn("config", F.lit(0))
+    log = scratch_path(data.sparkSession, "metrics-of")
+    sums = _epoch_job(rows, {0: spec}, {0: _State(theta, zero, zero)}, log, 0, train=False)
+    return _metrics_from(spec, sums[0].hist, sums[0].losses, splits) if sums else []
 
 
-def fit(df: DataFrame, spec: NetSpec, features: str = "features", id_col: str = "record_id",
-        split_col: str = "split", shards: int = SHARDS,
-        standardize: bool = True, eval_splits: Sequence[str] = ("train", "valid"),
-        on_epoch_end: Callable[[int, FitResult, list[dict]], None] | None = None,
-        eval_method: str = "binned", prepared: DataFrame | None = None,
-        checkpoint_path: str | None = None) -> FitResult:
+def fit(df: DataFrame | None, spec: NetSpec, **options) -> FitResult:
     """M3/M4/M5: train ``spec`` on rows with split = 'train'; evaluate train+valid every epoch (V3).
 
-    ``checkpoint_path``: the model is saved there (S7, overwrite) after every
-    epoch, so the last completed epoch survives a lost driver.
+    Takes the options of ``fit_grid``, which trains it as a grid of one.
+    """
+    return fit_grid(df, [spec], **options)[0]
+
+
+@dataclass
+class _Run:
+    """One configuration while it trains."""
+
+    spec: NetSpec
+    state: _State
+    res: FitResult
+    epoch: int = 0                          # the next one
+    base: int = 0                           # number of the checkpoint's versions that were there before
+    best: dict | None = None                # epoch, auc, version
+    best_theta: np.ndarray | None = None
+    active: bool = True
+
+
+def fit_grid(df: DataFrame | None, specs: Sequence[NetSpec], features: str = "features", id_col: str = "record_id",
+             split_col: str = "split", shards: int = SHARDS,
+             standardize: bool = True, eval_splits: Sequence[str] = EVAL_SPLITS,
+             on_epoch_end: Callable[[int, FitResult, list[dict]], None] | None = None,
+             eval_method: str = "binned", prepared: DataFrame | None = None,
+             checkpoint_path: str | None = None, resume: bool = False,
+             patience: int | None = None) -> list[FitResult]:
+    """M7: train every configuration of ``specs`` (one input width, any sizes and rates) on one sharded table.
+
+    An epoch is one job for all configurations together, whose tasks are the
+    (configuration, shard) pairs.  Results are those of training each alone.
+
+    ``checkpoint_path``: model, Adam moments, step, epoch and metrics are saved
+    there (S7; below ``config=<i>`` if there are several) after every epoch.
+    With ``resume`` a run goes on from its last whole version, if there is one;
+    ``epochs`` may have grown, all else must be as it was.
+
+    ``patience`` (V3): a configuration stops once its mean validation AUC has
+    not risen for so many epochs, and ends with the weights of its best epoch.
+    The test split is never read for it.
 
     With the binned (reference) evaluation, epoch e's metrics are computed in
     epoch e+1's job -- training tasks score their rows with the incoming
     weights, which are exactly epoch e's model, and extra tasks score the
     validation rows -- and one evaluation-only job follows the last epoch.
-    So each epoch is one Spark job and the train split is read once per epoch.
+    So each epoch is one pass and the train split is read once per epoch.
     The test split never reaches training or per-epoch evaluation.
     """
-    data = prepared if prepared is not None else prepare(df, spec, features, id_col, split_col)
-    train = data.where(F.col("split") == "train")
-    if standardize and spec.mean is None:
-        spec.mean, spec.scale = fit_standardizer(train, spec.n_in)
-    k = shards
-    sharded = shard(train, k)
-    fused = eval_method == "binned"
     unknown = set(eval_splits) - set(EVAL_SPLITS)
     if unknown:
         raise ValueError(f"per-epoch evaluation covers {EVAL_SPLITS} only, not {sorted(unknown)}")
-    job_input = sharded
-    if fused and "valid" in eval_splits:
-        job_input = sharded.unionByName(data.where(F.col("split") == "valid"))
+    fused = eval_method == "binned"
+    if patience is not None and not (fused and "valid" in eval_splits):
+        raise ValueError("early stopping needs the binned evaluation of the validation split")
+    if len({s.n_in for s in specs}) != 1 or len({tuple(h.label for h in s.heads) for s in specs}) != 1:
+        raise ValueError("the configurations of a grid share input width and labels")
+    data = prepared if prepared is not None else prepare(df, specs[0], features, id_col, split_col)
+    spark = data.sparkSession
+    train = data.where(F.col("split") == "train")
+    log = f"{checkpoint_path}/log" if checkpoint_path else scratch_path(spark, "log")
+    runs = [_begin(spark, i, spec, len(specs), shards, checkpoint_path, resume, log) for i, spec in enumerate(specs)]
+    if standardize and any(r.spec.mean is None for r in runs):
+        mean, scale = fit_standardizer(train, specs[0].n_in)
+        for r in runs:
+            if r.spec.mean is None:
+                r.spec.mean, r.spec.scale = mean, scale
+    more = any(r.epoch < r.spec.epochs for r in runs)
+    sharded = shard(train, shards) if more else train  # a finished run is only evaluated again
+    valid = data.where(F.col("split") == "valid") if fused and "valid" in eval_splits else None
     evald = data.where(F.col("split").isin(list(eval_splits)))
 
-    theta = init_params(spec)
-    m, v, t = np.zeros_like(theta), np.zeros_like(theta), 0
-    res = FitResult(spec=spec, theta=theta, shards=k, checkpoint_path=checkpoint_path)
-    t_prev = time.time()
-
-    def record(epoch: int, rows_ev: list[dict], secs: float) -> None:
-        for r in rows_ev:
-            r.update(epoch=epoch, seconds=secs)
-            res.metrics.append(r)
+    def job(active: list[int], epoch: int, train: bool, evaluate: bool) -> dict[int, _Sums]:
+        parts = [t.withColumn("config", F.lit(i)) for t in (sharded, valid) if t is not None for i in active]
+        rows = parts[0]
+        for p in parts[1:]:
+            rows = rows.unionByName(p)
+        return _epoch_job(rows, {i: runs[i].spec for i in active}, {i: runs[i].state for i in active}, log, epoch,
+                          train, evaluate)
+
+    def record(r: _Run, epoch: int, rows_ev: list[dict], secs: float) -> None:
+        for row in rows_ev:
+            r.res.metrics.append(row | {"epoch": epoch, "seconds": secs})
+        told = r.res.metrics[len(r.res.metrics) - len(rows_ev):]
         if on_epoch_end is not None:
-            on_epoch_end(epoch, res, rows_ev)
-
-    for epoch in range(spec.epochs):
-        t0 = time.time()
-        n, s_theta, s_m, s_v, max_steps, info, H, L = _epoch_job(
-            job_input, spec, (theta, m, v, t), train=True, evaluate=fused and epoch > 0 and bool(eval_splits))
-        if fused and epoch > 0 and eval_splits:
-            record(epoch - 1, _metrics_from(spec, H, L, eval_splits), t0 - t_prev)
-            t_prev = t0
-        if n > 0:
-            theta, m, v = s_theta / n, s_m / n, s_v / n
-            t += max_steps
-        res.theta = theta
-        if checkpoint_path:
-            from ..sources.models import save_model
-            save_model(data.sparkSession, spec, theta, checkpoint_path)
-        for shard_id, rows, steps, loss_sum, secs in info:
-            res.history.append({"epoch": epoch, "shard": int(shard_id), "rows": int(rows), "steps": int(steps),
-                                "loss": float(loss_sum / rows) if rows else None, "seconds": float(secs)})
-        if not fused and eval_splits:
-            pred = predict(evald, spec, theta, keep=["split", *[h.label for h in spec.heads]])
-            rows_ev = [r.asDict() for r in evaluate(pred, spec, ["split"], method=eval_method).collect()]
-            record(epoch, rows_ev, time.time() - t0)
-    if fused and eval_splits and spec.epochs > 0:
+            on_epoch_end(epoch, r.res, told)
+        if patience is not None:
+            _judge(r, epoch, told, patience)
+
+    since = {i: time.time() for i in range(len(runs))}
+    while True:
+        epoch = min((r.epoch for r in runs if r.active and r.epoch < r.spec.epochs), default=None)
+        if epoch is None:
+            break
+        now = [i for i, r in enumerate(runs) if r.active and r.epoch == epoch < r.spec.epochs]
+        told = fused and epoch > 0 and bool(eval_splits)
         t0 = time.time()
-        *_, H, L = _epoch_job(job_input, spec, (theta, m, v, t), train=False, evaluate=True)
-        record(spec.epochs - 1, _metrics_from(spec, H, L, eval_splits), time.time() - t_prev)
-    return res
+        sums = job(now, epoch, True, told)
+        for i in now:
+            r, s = runs[i], sums.get(i)
+            if told and s is not None:
+                record(r, epoch - 1, _metrics_from(r.spec, s.hist, s.losses, eval_splits), t0 - since[i])
+                since[i] = t0
+                if not r.active:
+                    continue
+            if s is not None and s.rows:
+                r.state = _State(s.theta / s.rows, s.m / s.rows, s.v / s.rows, r.state.t + s.steps)
+            r.res.theta, r.epoch = r.state.theta, epoch + 1
+            if not fused and eval_splits:
+                pred = predict(evald, r.spec, r.state.theta, keep=["split", *[h.label for h in r.spec.heads]])
+                record(r, epoch, [x.asDict() for x in evaluate(pred, r.spec, ["split"], method=eval_method).collect()],
+                       time.time() - t0)
+            _save(spark, r)
+    left = [i for i, r in enumerate(runs) if r.active and r.spec.epochs > 0]
+    if fused and eval_splits and left:
+        sums = job(left, max(runs[i].spec.epochs for i in left), False, True)
+        for i in left:
+            r = runs[i]
+            if i in sums and not any(m["epoch"] == r.epoch - 1 for m in r.res.metrics):
+                record(r, r.epoch - 1, _metrics_from(r.spec, sums[i].hist, sums[i].losses, eval_splits),
+                       time.time() - since[i])
+    for r in runs:
+        if r.best is not None:
+            r.res.best_epoch, r.res.theta = r.best["epoch"], r.best_theta
+    return [r.res for r in runs]
+
+
+def _begin(spark: SparkSession, i: int, spec: NetSpec, n: int, shards: int, checkpoint_path: str | None, resume: bool,
+           log: str) -> _Run:
+    """A configuration at its start, or as its last whole version left it."""
+    path = checkpoint_path if checkpoint_path is None or n == 1 else f"{checkpoint_path}/config={i}"
+    theta = init_params(spec)
+    res = FitResult(spec=spec, theta=theta, shards=shards, checkpoint_path=path, log_path=log, config=i)
+    r = _Run(spec, _State(theta, np.zeros_like(theta), np.zeros_like(theta)), res)
+    saved = load_state(spark, path) if resume and path else None
+    if saved is None:
+        r.base = last_version(spark, path) if path else 0
+        return r
+    own = [asdict(s) | {"epochs": 0, "mean": None, "scale": None} for s in (spec, saved.spec)]
+    if own[0] != own[1] or saved.progress["shards"] != shards:
+        raise ValueError(f"the run under {path} was another one: it cannot be resumed with these parameters")
+    spec.mean, spec.scale = saved.spec.mean, saved.spec.scale
+    r.state = _State(saved.theta, saved.m, saved.v, saved.progress["step"])
+    r.epoch, r.base, r.best = saved.progress["epoch"] + 1, saved.progress["base"], saved.progress["best"]
+    res.theta, res.metrics = saved.theta, list(saved.progress["metrics"])
+    if r.best is not None:
+        r.best_theta = load_state(spark, path, r.best["version"]).theta
+    return r
+
+
+def _save(spark: SparkSession, r: _Run) -> None:
+    if r.res.checkpoint_path:
+        progress = {"epoch": r.epoch - 1, "step": r.state.t, "shards": r.res.shards, "metrics": r.res.metrics,
+                    "best": r.best, "base": r.base}
+        keep = [r.best["version"]] if r.best else []
+        save_model(spark, r.spec, r.state.theta, r.res.checkpoint_path, r.state.m, r.state.v, progress, keep,
+                   version=r.base + r.epoch)
+
+
+def _judge(r: _Run, epoch: int, rows: list[dict], patience: int) -> None:
+    """Early stopping by the mean validation AUC over tasks; ``r.state`` still holds the weights of ``epoch``."""
+    aucs = [x["auc"] for x in rows if x["split"] == "valid" and x["auc"] is not None]
+    auc = float(np.mean(aucs)) if aucs else None
+    if auc is not None and (r.best is None or auc > r.best["auc"]):
+        r.best, r.best_theta = {"epoch": epoch, "auc": auc, "version": r.base + epoch + 1}, r.state.theta
+    elif epoch - (r.best["epoch"] if r.best else -1) >= patience:
+        r.active, r.res.stopped_after = False, epoch
 
 
 def final_report(data: DataFrame, res: FitResult, splits: Sequence[str] = ("train", "test")) -> DataFrame:
     """V4: train and test AUC (exact and binned), loss and rows of a trained model."""
     spec = res.spec
     d = data.where(F.col("split").isin(list(splits)))
-    # predictions feed the aggregates below: score once, into the shared folder
-    path = scratch_path(data.sparkSession, "predicted")
     pred = predict(d, spec, res.theta, keep=["split", *[h.label for h in spec.heads]])
-    pred.write.parquet(path)
-    pred = data.sparkSession.read.schema(pred.schema).parquet(path)
-    ex = evaluate(pred, spec, ["split"], method="exact")
-    bn = evaluate(pred, spec, ["split"], method="binned").select("split", "task", F.col("auc").alias("auc_binned"))
-    return ex.join(bn, ["split", "task"]).select("split", "task", F.col("auc").alias("auc_exact"), "auc_binned",
-                                                 "n_classes", "loss", "rows")
+    return report(pred, spec, ["split"])
 
 
 def fit_builtin(data: DataFrame, label: str, n_classes: int, features: str = "features",

@@ -9,20 +9,15 @@ where it stopped; ``availableNow`` processes what has arrived and stops.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..sources.numbered import ID_PATTERN
+from ..sources.numbered import numbers, record_id_col, strict_csv
 
 
 def numbered_csv_stream(spark: SparkSession, path: str, width: int, max_files_per_trigger: int = 1000,
                         name: str = "features") -> DataFrame:
-    schema = T.StructType([T.StructField(f"c{i}", T.DoubleType(), True) for i in range(width)])
-    raw = (spark.readStream.schema(schema).option("mode", "FAILFAST")
-           .option("maxFilesPerTrigger", max_files_per_trigger).csv(path))
-    digits = F.regexp_extract(F.col("_metadata.file_name"), ID_PATTERN, 1)
-    rid = F.when(digits != "", digits.cast("long"))
-    return raw.select(rid.alias("record_id"), F.array(*[F.col(f"c{i}") for i in range(width)]).alias(name))
+    """(record_id, <name>) of files as they arrive, as strict as the batch form."""
+    raw = strict_csv(spark.readStream, width).option("maxFilesPerTrigger", max_files_per_trigger).csv(path)
+    return raw.select(record_id_col().alias("record_id"), numbers(width).alias(name))
 
 
 def land_numbered_csv(spark: SparkSession, src: str, width: int, out: str, checkpoint: str,

@@ -52,6 +52,48 @@ def test_variable_stats_against_pandas(spark):
     assert len(approx) == len(got)
 
 
+def _hot_events(spark, n=3000):
+    """A third of the rows in one group, ties in value and time, null values, null keys, a group without values."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(n):
+        e = 0 if rng.random() < 0.34 else int(rng.integers(1, 30))
+        v = None if i % 17 == 0 else float(np.round(rng.normal(), 1))
+        rows.append((None if e == 29 else e, str(rng.choice(["a", "b"])), i, int(rng.integers(0, 50)), v))
+    rows += [(77, "a", n + i, i, None) for i in range(3)] + [(78, "b", n + 9, 1, 2.5)]
+    return spark.createDataFrame(rows, "e int, var string, id int, h int, v double").withColumn(
+        "ts", F.timestamp_seconds(F.col("h") * 3600))
+
+
+def _plain(df, keys):
+    return sorted((tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in df.collect()), key=str)
+
+
+def test_groups_too_large_for_a_task_have_the_same_statistics(spark):
+    ev = _hot_events(spark)
+    for f in (lambda k: fe.variable_stats(ev, "e", "var", "ts", "v", "id", hot_rows=k),
+              lambda k: fe.events_wide(ev, "e", "var", ["a", "b"], "ts", "v", "id", hot_rows=k)):
+        want = _plain(f(10 ** 6), 2)
+        assert len(want) > 30
+        for hot_rows in (0, 40, 400):  # all, most, one of the groups
+            assert _plain(f(hot_rows), 2) == want
+
+
+def test_wide_events_equal_the_pivot_of_long_statistics(spark):
+    ev = _hot_events(spark, 800).where("e is not null")
+    long = fe.variable_stats(ev, "e", "var", "ts", "v", "id")
+    cols = ["e", *[f"{v}_{s}" for v in ("a", "b") for s in fe.STATS]]
+    assert _plain(fe.events_wide(ev, "e", "var", ["a", "b"], "ts", "v", "id").select(*cols), 1) == \
+        _plain(fe.stats_wide(long, "e", "var", ["a", "b"]).select(*cols), 1)
+
+
+def test_statistics_take_one_shuffle(spark, tmp_dir):
+    _hot_events(spark, 300).write.parquet(f"{tmp_dir}/ev")
+    out = fe.variable_stats(spark.read.parquet(f"{tmp_dir}/ev"), "e", "var", "ts", "v", "id")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1
+
+
 def test_wide_and_assemble(spark):
     stats = spark.createDataFrame([(1, "a", 3, 1.0), (2, "b", 2, 5.0)], "e int, var string, count long, mean double")
     w = fe.stats_wide(stats, "e", "var", ["a", "b"], ["count", "mean"]).orderBy("e")

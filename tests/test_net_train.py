@@ -81,7 +81,7 @@ def test_multitask_with_one_live_head_equals_single_task(spark):
     for name in ("W1", "b1", "W_t", "b_t"):
         assert np.abs(pa[name] - pb[name]).max() < 1e-12
     n_train = df.where("split = 'train'").count()
-    assert sum(h["rows"] for h in b.history if h["epoch"] == 0) == n_train
+    assert b.history(spark).where("epoch = 0").agg(F.sum("rows")).first()[0] == n_train
 
 
 def test_fused_evaluation_equals_dataframe_evaluation(spark):
@@ -148,6 +148,117 @@ def test_in_training_evaluation_equals_separate_evaluation(spark):
     assert sorted({m["epoch"] for m in res.metrics}) == [0, 1]
 
 
+def _small(epochs, **kw):
+    return NetSpec(n_in=8, hidden=6, heads=[Head("t", 1, "y")], epochs=epochs, **kw)
+
+
+def test_a_run_that_was_cut_off_ends_like_one_that_was_not(spark, tmp_dir):
+    _, _, df = _planted(spark, n=600)
+    whole = tr.fit(df, _small(5), shards=3, checkpoint_path=f"{tmp_dir}/a")
+
+    class Lost(Exception):
+        pass
+
+    def lose(epoch, res, rows):
+        if epoch == 2:
+            raise Lost
+
+    with pytest.raises(Lost):
+        tr.fit(df, _small(5), shards=3, checkpoint_path=f"{tmp_dir}/b", on_epoch_end=lose)
+    # a version that was cut off while it was written does not count
+    (tmp := __import__("pathlib").Path(tmp_dir) / "b" / "version=9").mkdir()
+    (tmp / "part-0.parquet").write_bytes(b"torn")
+    told = []
+    again = tr.fit(df, _small(5), shards=3, checkpoint_path=f"{tmp_dir}/b", resume=True,
+                   on_epoch_end=lambda e, res, rows: told.append(e))
+    assert np.abs(again.theta - whole.theta).max() < 1e-9 and told == [2, 3, 4]
+    keys = ("epoch", "split", "task", "auc", "loss", "rows")
+    assert [[m[k] for k in keys] for m in again.metrics] == [[m[k] for k in keys] for m in whole.metrics]
+    # every epoch's history is there once
+    lines = {r.epoch: r.n for r in again.history(spark).groupBy("epoch").agg({"rows": "sum"}).toDF("epoch", "n").collect()}
+    assert lines == {e: 480 for e in range(5)}
+
+
+def test_a_finished_run_goes_on_with_more_epochs_and_refuses_other_parameters(spark, tmp_dir):
+    _, _, df = _planted(spark, n=400)
+    short = tr.fit(df, _small(2), shards=2, checkpoint_path=f"{tmp_dir}/m")
+    longer = tr.fit(df, _small(4), shards=2, checkpoint_path=f"{tmp_dir}/m", resume=True)
+    whole = tr.fit(df, _small(4), shards=2)
+    assert np.abs(longer.theta - whole.theta).max() < 1e-9 and len(longer.metrics) == len(whole.metrics) == 8
+    done = tr.fit(df, _small(2), shards=2, checkpoint_path=f"{tmp_dir}/n", resume=True)   # nothing to resume: from the start
+    assert np.abs(done.theta - short.theta).max() < 1e-9
+    for spec, k in ((_small(4, lr=0.1), 2), (_small(4), 3)):
+        with pytest.raises(ValueError, match="cannot be resumed"):
+            tr.fit(df, spec, shards=k, checkpoint_path=f"{tmp_dir}/m", resume=True)
+
+
+def test_grid_equals_training_each_alone(spark, tmp_dir):
+    _, _, df = _planted(spark, n=500)
+    specs = lambda: [NetSpec(n_in=8, hidden=h, heads=[Head("t", 1, "y")], epochs=e, lr=lr)
+                     for h, lr, e in ((4, 0.005, 2), (9, 0.01, 3), (4, 0.05, 2))]
+    together = tr.fit_grid(df, specs(), shards=2, checkpoint_path=f"{tmp_dir}/g")
+    for i, spec in enumerate(specs()):
+        alone = tr.fit(df, spec, shards=2)
+        assert np.abs(alone.theta - together[i].theta).max() < 1e-9
+        assert [(m["epoch"], m["split"], m["auc"]) for m in alone.metrics] == \
+            [(m["epoch"], m["split"], m["auc"]) for m in together[i].metrics]
+        assert together[i].history(spark).groupBy("epoch").count().count() == spec.epochs
+    again = tr.fit_grid(df, specs(), shards=2, checkpoint_path=f"{tmp_dir}/g", resume=True)
+    assert all(np.array_equal(a.theta, b.theta) for a, b in zip(again, together))
+
+
+def test_history_has_every_tenth_step_of_every_shard(spark):
+    _, _, df = _planted(spark, n=1500)
+    res = tr.fit(df, _small(2), shards=2)
+    lines = {}
+    for r in res.history(spark).collect():
+        lines.setdefault((r.epoch, r.shard), []).append((r.step, r.rows))
+        assert np.isfinite(r.loss) and r.records_per_second > 0
+    assert sorted(lines) == [(e, s) for e in (0, 1) for s in (0, 1)]
+    for told in lines.values():
+        rows = sum(n for _, n in told)
+        steps = -(-rows // 32)
+        assert sorted(s for s, _ in told) == sorted({*range(10, steps + 1, 10), steps})
+    assert sum(n for (e, _), told in lines.items() if e == 1 for _, n in told) == 1200
+
+
+def test_early_stopping_restores_the_best_epoch(spark, tmp_dir):
+    from pyspark.sql import functions as F
+    # Labels of the validation rows are the other way round: what training learns makes validation worse.
+    _, _, df = _planted(spark, n=600)
+    df = df.withColumn("y", F.when(F.col("split") == "valid", 1 - F.col("y")).when(F.col("split") == "test", F.lit(None))
+                       .otherwise(F.col("y")))
+    seen = []
+    res = tr.fit(df, _small(12, lr=0.02), shards=2, patience=2, checkpoint_path=f"{tmp_dir}/m",
+                 on_epoch_end=lambda e, r, rows: seen.append((e, r.theta.copy())))
+    aucs = [m["auc"] for m in res.metrics if m["split"] == "valid"]
+    assert res.best_epoch == int(np.argmax(aucs)) and res.stopped_after == res.best_epoch + 2 < 11
+    short = tr.fit(df, _small(res.best_epoch + 1, lr=0.02), shards=2, eval_splits=())
+    assert np.abs(short.theta - res.theta).max() < 1e-9
+    # the best version outlives the ones after it, and a resumed run stops at the same epoch
+    again = tr.fit(df, _small(12, lr=0.02), shards=2, patience=2, checkpoint_path=f"{tmp_dir}/m", resume=True)
+    assert again.best_epoch == res.best_epoch and np.abs(again.theta - res.theta).max() < 1e-9
+    rising = tr.fit(_planted(spark, n=600)[2], _small(3), shards=2, patience=3)
+    assert rising.stopped_after is None
+
+
+def test_report_equals_separate_evaluations(spark):
+    rng = np.random.default_rng(7)
+    spec = _spec()
+    th = init_params(spec)
+    rows = [(i, "train" if i % 3 else "test", np.round(rng.normal(size=6)).tolist(), None if i % 13 == 0 else int(rng.integers(0, 2)),
+             None if i % 11 == 0 else int(rng.integers(0, 3))) for i in range(300)]
+    df = spark.createDataFrame(rows, "record_id long, split string, features array<double>, yb int, ym int")
+    pred = predict(df, spec, th, keep=["split", "yb", "ym"])
+    got = {(r["split"], r["task"]): r for r in tr.final_report(df, tr.FitResult(spec, th)).collect()}
+    for method in ("exact", "binned"):
+        for r in evaluate(pred, spec, method=method).collect():
+            g = got[r["split"], r["task"]]
+            assert g["auc_" + method] == pytest.approx(r["auc"], abs=1e-12)
+            assert (g["n_classes"], g["rows"]) == (r["n_classes"], r["rows"]) and g["loss"] == pytest.approx(r["loss"], rel=1e-9)
+    assert len(got) == 4
+
+
 def test_builtin_baseline_learns_and_round_trips(spark, tmp_dir):
     from orrery.operators.auc import auc_exact
     _, _, df = _planted(spark, n=800)

@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from orrery.operators import auc as au
 from orrery.streaming.landing import land_numbered_csv
 from orrery.streaming.roc import accumulate_histograms
@@ -22,6 +24,19 @@ def test_landing_resumes_without_duplicates(spark, tmp_dir):
     assert sorted(r["record_id"] for r in got.collect()) == list(range(8))
 
 
+@pytest.mark.parametrize("name, text, message", [
+    ("1.csv", "1.5f,2\n", "not a number"), ("1.csv", "1,\n", "not a number"), ("1.csv", ",2\n", "not a number"),
+    ("1.csv", "1\n", "(?i)malformed|FAILED_READ_FILE"), ("1.csv", "nan,1\n", "not a number"), ("one.csv", "1,2\n", "no record number")])
+def test_the_stream_is_strict(spark, tmp_dir, name, text, message):
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    for n, t in (("0.csv", "1,2\n"), (name, text)):
+        with open(os.path.join(src, n), "w") as f:
+            f.write(t)
+    with pytest.raises(Exception, match=message):
+        land_numbered_csv(spark, src, 2, os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck"))
+
+
 def test_streamed_histogram_equals_batch(spark, tmp_dir):
     import numpy as np
     rng = np.random.default_rng(0)
