@@ -2,16 +2,19 @@
 
 A page is cut into tags and text and built into a tree, with the end tags that
 authors leave out.  Menus, page headers and footers, sidebars, forms, notices,
-adverts, comments and the like go by their element, role or the words of their
-class and id.  Each remaining block of text gives points for its length and
+adverts, comments and the like go by their element, role or the head word of a
+class or id (``page-header`` is a header, ``share-price`` is no share); inside an
+article such words drop boxes, not headings, paragraphs or its own header.  Each remaining block of text gives points for its length and
 commas to its ancestors (all to the parent, half to the next, a third, ...),
 and an element's points are discounted by the share of its text that is links.
 The best container stays.  Inside an article or main element all of that
 element stays, links too.  Elsewhere all of its parent stays, if that holds most
 of the text that is not links; beside a container at page level stay headings,
-paragraphs, lists, tables, bare text and the boxes that score close to it, and
-lists and boxes of mostly links go.  If the words of a class or id dropped the
-best container and what is left has few points, its ancestors come back.
+paragraphs, lists, tables, bare text, the boxes that score close to it, boxes of
+a heading and paragraphs after it, and what lies between two that stay; lists
+and boxes of mostly links go, but for a numbered list under a heading that
+stays.  If the words of a class or id, or a form, dropped the best container and
+what is left has few points, its ancestors come back: a form may wrap a page.
 
 Text is decoded, white space inside a block becomes one space, blocks are
 trimmed and joined in page order by an empty line.  Nothing else is dropped or
@@ -51,8 +54,8 @@ _ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"
 #: Elements that an end tag of something inside them cannot reach beyond.
 _WALL = {"table", "td", "th", "button", "article", "section", "main", "body"}
 
-_DROP_TAGS = {"nav", "footer", "aside", "form", "button", "select", "dialog", "menu", "svg", "object", "canvas", "audio",
-              "video", "search", "input", "label", "fieldset", "math"} | _RAW
+_DROP_TAGS = {"nav", "footer", "aside", "button", "select", "dialog", "menu", "svg", "object", "canvas", "audio",
+              "video", "search", "input", "fieldset"} | _RAW
 _DROP_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "alert", "alertdialog", "dialog", "menu",
                "menubar", "toolbar", "form"}
 _DROP_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "adsense", "alert", "banner", "breadcrumb", "breadcrumbs",
@@ -61,6 +64,20 @@ _DROP_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "adsense", "al
                "notices", "notification", "pager", "pagination", "popup", "promo", "promoted", "promotion", "recommended",
                "related", "replies", "reply", "respond", "share", "sharing", "shoutbox", "sidebar", "signup", "skip", "social",
                "sponsor", "sponsored", "subscribe", "subscription", "tags", "toolbar", "widget", "widgets"}
+_DROP_WORDS |= {"commentlist", "responses"}
+#: Names of boxes of reader comments that sections of an article have too.
+_OUTSIDE_WORDS = {"discussion", "feedback"}
+#: An article has a header of its own.
+_OWN_WORDS = {"header", "banner", "byline"}
+#: Words that only say that something is held: the word before them is the head.
+_HOLDERS = {"area", "articles", "bar", "block", "body", "box", "boxes", "button", "buttons", "col", "column", "container",
+            "content", "form", "group", "heading", "holder", "icons", "inner", "item", "items", "label", "link", "links", "list",
+            "message", "outer", "panel", "posts", "region", "row", "section", "slot", "stories", "text", "thread", "title",
+            "top", "bottom", "left", "right", "unit", "wrap", "wrapper", "zone"}
+#: Inside an article a class word drops none of these.
+_PROSE = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "span", "em", "strong", "b", "i", "a", "code", "td", "th",
+          "li", "dt", "dd", "figure", "figcaption", "math"}
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: A word after one of these says what is not there, or is beside the element.
 _ABOUT = {"has", "no", "with", "without"}
 #: Ancestors that a block gives points to.
@@ -84,19 +101,29 @@ class Node:
         self.inside = parent is not None and (parent.inside or parent.tag in ("article", "main"))
 
 
-def _names(value: str) -> bool:
-    """Whether a class or id holds a word of what is dropped."""
-    words = [w.lower() for w in _WORD.findall(value)]
-    return any(w in _DROP_WORDS and (i == 0 or words[i - 1] not in _ABOUT) for i, w in enumerate(words))
+def _names(value: str, inside: bool) -> bool:
+    """Whether the head word of a class or id is one of what is dropped."""
+    for name in value.split():
+        words = [w.lower() for w in _WORD.findall(name) if not w.isdigit()]
+        while len(words) > 1 and words[-1] in _HOLDERS:
+            words.pop()
+        if not words or len(words) > 1 and words[-2] in _ABOUT:
+            continue
+        head = words[-1]
+        if inside and head in _OWN_WORDS:
+            continue
+        if head in _DROP_WORDS or not inside and head in _OUTSIDE_WORDS:
+            return True
+    return False
 
 
 def _dropped(tag: str, attrs: str, inside: bool) -> bool | None:
     """Whether an element is not part of any article; None if only a word of its class or id says so."""
     if tag in _DROP_TAGS or tag == "header" and not inside:
         return True
+    out: bool | None = None if tag == "form" else False
     if not attrs or tag in _KEEP_TAGS:
-        return False
-    out: bool | None = False
+        return out
     for m in _ATTR.finditer(attrs):
         name = (m[1] or m[5]).lower()
         value = m[2] or m[3] or m[4] or ""
@@ -106,7 +133,7 @@ def _dropped(tag: str, attrs: str, inside: bool) -> bool | None:
             return True
         if name == "role" and value.strip().lower() in _DROP_ROLES:
             return True
-        if name in ("class", "id") and _names(value):
+        if name in ("class", "id") and not (inside and tag in _PROSE) and _names(value, inside):
             out = None
     return out
 
@@ -161,7 +188,8 @@ def parse(page: str) -> tuple[Node, list[Node]]:
         if tag in _ENDS and any(count[t] for t in _ENDS[tag][0]):
             _end(open_, *_ENDS[tag], count)
         top = open_[-1]
-        drop = top.drop or _dropped(tag, attrs, top.inside or top.tag in ("article", "main"))
+        drop = top.drop or tag == "label" and count["form"] > 0 or \
+            _dropped(tag, attrs, top.inside or top.tag in ("article", "main"))
         node = Node(tag, top, bool(drop))
         if not node.drop:
             top.kids.append(node)
@@ -279,18 +307,33 @@ def _chosen(root: Node, soft: list[Node]) -> Node:
         return root
     if top.tag not in ("body", "html", "#root") and 2 * (top.size - top.links) >= root.size - root.links:
         return top
+    stays = [_stays(k, best, most, top.kids, i) for i, k in enumerate(top.kids)]
+    first, last = stays.index(True), len(stays) - 1 - stays[::-1].index(True)  # the best container is one
     out = Node("div", None, False)
-    for k in top.kids:
-        if type(k) is str or k is best:
-            out.kids.append(k)
-        elif k.tag in ("article", "div", "section", "main"):
-            if k.size and k.score * (1 - _density(k)) >= max(_LITTLE, most / 5):
-                out.kids.append(k)
-        elif _density(k) <= 0.6:
+    for i, k in enumerate(top.kids):
+        between = first < i < last and (type(k) is str or _density(k) <= 0.6)
+        if stays[i] or between:
             out.kids.append(k)
+            if type(k) is Node and k.tag == "ol":
+                k.inside = True
     return out
 
 
+def _stays(k: Node | str, best: Node, most: float, kids: list, i: int) -> bool:
+    """Whether an element beside the best container belongs to the article."""
+    if type(k) is str or k is best:
+        return True
+    if k.tag in ("article", "div", "section", "main"):
+        if k.size and k.score * (1 - _density(k)) >= max(_LITTLE, most / 5):
+            return True
+        own = [x.tag for x in k.kids if type(x) is Node and x.size]
+        return best in kids[:i] and bool(own) and own[0] in _HEADINGS and "p" in own and _density(k) <= 0.2
+    if k.tag == "ol" and _density(k) > 0.6:
+        before = [x for x in kids[:i] if type(x) is Node and x.size or type(x) is str and x.strip()]
+        return bool(before) and type(before[-1]) is Node and before[-1].tag in _HEADINGS and best in kids[:i]
+    return _density(k) <= 0.6
+
+
 def _blocks(node: Node, out: list[list[str]], top: bool = True) -> None:
     """Appends the texts of the blocks below ``node``; the last list is the block in the making."""
     stack: list = [(node, iter(node.kids))]

@@ -58,6 +58,37 @@ def test_whole_articles(page, text):
     assert html.extract(page) == "\n\n".join(text)
 
 
+@pytest.mark.parametrize("page, text", [
+    (f'<article><h1 class="page-header">T</h1>{TEN}<h2 class="section-header">S</h2><p class="share-price">Up.</p>'
+     '<p class="disclaimer-free">Free.</p><p id="comments-note">Note.</p></article>',
+     ["T", *[LONG] * 10, "S", "Up.", "Free.", "Note."]),
+    (f'<body><div class="stock share-price"><div>{TEN}</div></div></body>', [LONG] * 10),
+    (f'<article><div class="entry-header"><h1>T</h1></div>{TEN}<div class="share-buttons">Share</div></article>',
+     ["T", *[LONG] * 10]),
+    (f"<article>{TEN}<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be.</p><label>Fig. 1</label></article>",
+     [*[LONG] * 10, "Let x=1 be.", "Fig. 1"]),
+    (f'<body><form action="/page.aspx"><div id="menu"><a href=x>Home</a></div><div>{TEN}</div><label>Search</label>'
+     '<input name=q><button>Go</button></form></body>', [LONG] * 10),
+    (f"<body><form action='/page.aspx'><article>{TEN}</article></form><footer>End</footer></body>", [LONG] * 10),
+    (f"<body><article>{TEN}</article><form><p>Your name, please</p></form></body>", [LONG] * 10),
+    (f"<body><article>{TEN}</article><h2>References</h2><ol><li><a href=1>One, a book</a></li><li><a href=2>Two</a></li></ol>"
+     "<ul><li><a href=x>menu</a></li></ul></body>", [*[LONG] * 10, "References", "One, a book", "Two"]),
+    (f"<body><div>{TEN}</div><div><h2>End</h2><p>A short last section.</p></div></body>",
+     [*[LONG] * 10, "End", "A short last section."]),
+    (f"<body><div>{TEN}</div><div>Between.</div><div>{TEN}</div></body>", [*[LONG] * 10, "Between.", *[LONG] * 10]),
+    (f'<body><article>{TEN}</article><ol class="commentlist"><li>I, for one, do, not, agree.</li></ol></body>', [LONG] * 10),
+    (f'<body><article>{TEN}</article><div id="discussion"><article>I, for one, do, not, agree.</article></div></body>',
+     [LONG] * 10),
+    (f'<body><article>{TEN}</article><div class="user-feedback"><p>{LONG}</p></div></body>', [LONG] * 10),
+    (f'<article>{TEN}<section id="discussion"><h2>Discussion</h2><p>{LONG}</p></section></article>',
+     [*[LONG] * 10, "Discussion", LONG]),
+    (f'<body><div class="main-nav"><p>{LONG}</p></div><div class="post-content">{TEN}</div><div class="related-posts">'
+     f'<p>{LONG}</p></div><div class="cookie-banner">{LONG}</div></body>', [LONG] * 10),
+])
+def test_whole_articles_of_other_templates(page, text):
+    assert html.extract(page) == "\n\n".join(text)
+
+
 def test_long_comments_do_not_replace_the_article():
     page = f"<body><div>{TEN}</div><div class=comments>{TEN * 9}</div></body>"
     assert html.extract(page) == "\n\n".join([LONG] * 10)
