@@ -34,7 +34,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: fixed rows and a short lineage."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def forget(df: DataFrame) -> None:
+    """Delete a table that ``stored`` wrote, once all that was read from it has been written itself."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_path)
+    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 # ---------------------------------------------------------------- text passes
@@ -184,7 +192,8 @@ def components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
         steps.append(to)
         moved = e.join(to.withColumnsRenamed({"node": "a", "to": "ma"}), "a")
         moved = moved.join(to.withColumnsRenamed({"node": "b", "to": "mb"}), "b")
-        e = stored(between(moved.select(F.col("ma").alias("a"), F.col("mb").alias("b"))), "edges")
+        e, before = stored(between(moved.select(F.col("ma").alias("a"), F.col("mb").alias("b"))), "edges"), e
+        forget(before)
     if not steps:
         return e.select(F.col("a").alias("node"), F.col("b").alias("component"))
     out = steps[0].withColumnRenamed("to", "component")

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.scan import row_number_within
-from .common import stored
+from .common import forget, stored
 
 #: The rebuilding of conversations: the first turns of one in so many are shared, at most ``SHARED_TURNS - 1`` of them.
 SHARE, SHARED_TURNS = 5, 9
@@ -226,7 +226,9 @@ def trie(turns: DataFrame, ids: DataFrame) -> DataFrame:
         lower = F.shiftright("i", j) % 2 == 1
         forests = total(heads.where(lower), "s").withColumnRenamed("s", "e")
         grafts.append(stored(cuts[j].join(forests, "e").select("e", "head", "leaves", "saved"), "grafts"))
-        heads = stored(added(heads.where(~lower), total(grafts[j], "head"), "head"), "heads")
+        heads, before = stored(added(heads.where(~lower), total(grafts[j], "head"), "head"), "heads"), heads
+        if j:
+            forget(before)
 
     # 4. and hand them down to the nodes of their pieces
     more = None
@@ -235,7 +237,9 @@ def trie(turns: DataFrame, ids: DataFrame) -> DataFrame:
         if more is not None:
             own = own.union(halves[j].select("e", "up").join(more.withColumnRenamed("e", "up"), "up")
                             .select("e", "leaves", "saved"))
-        more = stored(total(own, "e"), "handed")
+        more, before = stored(total(own, "e"), "handed"), more
+        if before is not None:
+            forget(before)
     totals = added(nodes, more, "e") if levels else nodes
 
     parents = named.join(nodes.select("e", F.col("c").alias("parent")), "e").select("s", "parent")

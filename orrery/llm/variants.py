@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, raw, stored
+from .common import forget, mix, stored
 
 MIN_LENGTH, MIN_COUNT = 7, 2
 #: A word's form has at least so many times its occurrences.
@@ -170,7 +170,9 @@ def _roots(forms: DataFrame, max_rounds: int = 64) -> DataFrame:
         to = jump.select(F.col("word").alias("root"), F.col("root").alias("__next"))
         step = stored(jump.join(to, "root", "left").select(
             "word", F.coalesce("__next", "root").alias("root"), F.col("__next").isNotNull().alias("__moved")), "roots")
+        forget(jump)
         jump = step.drop("__moved")
+        jump.stored_path = step.stored_path
         if step.where("__moved").isEmpty():
             return jump
     raise RuntimeError("chains of forms did not end")

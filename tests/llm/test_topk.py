@@ -38,6 +38,46 @@ def test_blocks_smaller_than_the_table(spark, monkeypatch):
     assert search(spark, np.arange(300), x, every=10) == brute(np.arange(300), x, every=10)
 
 
+def _copied(spark, monkeypatch, ids, x, **kw):
+    """The result, and for both meetings how many copies of rows met how many blocks of queries."""
+    seen = []
+    real = topk._meet
+
+    def meet(ask, rows, k):
+        seen.append((rows.count(), ask.select("__block").distinct().count()))
+        return real(ask, rows, k)
+
+    monkeypatch.setattr(topk, "_meet", meet)
+    return search(spark, ids, x, **kw), seen
+
+
+def test_clustered_vectors_meet_few_blocks(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATES", 120)
+    monkeypatch.setattr(topk, "QUERIES", 10)
+    rnd = np.random.default_rng(8)
+    centres = 40 * rnd.normal(size=(12, 32))
+    ids = rnd.permutation(3000)
+    x = (centres[rnd.integers(0, 12, 3000)] + rnd.normal(size=(3000, 32))).astype(np.float32)
+    got, copies = _copied(spark, monkeypatch, ids, x, every=10)
+    assert got == brute(ids, x, every=10)
+    (first, _), (then, blocks) = copies
+    assert first < 2 * 3000 and then < 0.35 * 3000 * blocks, copies
+
+
+def test_large_blocks_meet_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATES", 20)
+    monkeypatch.setattr(topk, "BLOCKS", 3)
+    rnd = np.random.default_rng(9)
+    x = rnd.normal(size=(300, 9)).astype(np.float32)
+    assert search(spark, np.arange(300), x) == brute(np.arange(300), x)
+
+
+def test_vectors_beyond_a_long_take_no_part(spark):
+    x = np.array([[1e20, 0.0], [1.0, 2.0], [3.0, -1.0], [0.0, 2e9]], np.float32)
+    keep = [1, 2]
+    assert search(spark, [0, 20, 40, 60], x) == brute([20, 40], x[keep])
+
+
 def test_few_rows_and_wide_values(spark):
     x = np.array([[1e12, -3.0], [5.0, 1e12], [1e9, 1e9]], np.float32)
     assert search(spark, [0, 20, 7], x[:3] / 1e6) == brute([0, 20, 7], x[:3] / 1e6)
