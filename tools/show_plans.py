@@ -18,9 +18,9 @@ NOTES = {
                    "per-(partition, group) totals feed a bounded offsets window that is broadcast (<= P-1 rows); the "
                    "local window is keyed by (partition, group).  Binned branch (bottom): partial+final histogram "
                    "aggregate, then windows over <= 101 rows per group.  Scans read only `doc_id, n_chars` / labels.",
-    "a1_variable_stats": "Mergeable statistics: partial+final hash aggregate.  First/last: a separate sort-based "
-                         "aggregate (struct ordering).  Median: rank rows from the checkpointed range partitioning, "
-                         "joined on (group, rank) -- unique keys, no skew.",
+    "a1_variable_stats": "All nine statistics: one scan, one partial+final aggregate, one exchange.  Groups too large "
+                         "for a task's buffer (none here) would take their median by exact rank instead.",
+    "j2_align_landed": "Tables that landed in buckets by record id: sort-merge joins bucket by bucket, no exchange.",
     "w3_batch_number": "Row numbers inside each split without a window over a whole split.",
     "j3_alignment_audit": "Ids counted per side (partial+final) before the full outer join: one row per id.",
     "e3_los_bucket": "Bucketing is a codegen'd CASE chain; the join lets AQE pick broadcast or a skew-split sort-merge.",
