@@ -29,6 +29,12 @@ A comparison joins the two texts and counts the shingles both hold.  Texts
 that are in no shared bucket are not moved for it.  Shingles are compared as
 64-bit hashes.
 
+Links.  The pairs compared so far connect the components; a link lies within
+one, so all links are counted there: a component is cut into blocks by a hash,
+and for each pair of blocks the shingles that every two of their sets share are
+counted at once, by products of 0/1 matrices.  No component is in one task's
+memory.  The work is quadratic in a component's different sets, as its links are.
+
 Null and empty text: an empty set, linked with nothing.  Null ids: such rows
 get null components and link nothing.  Repeated ids must agree in text; a
 repeated row is returned as often as it came.
@@ -54,6 +60,9 @@ BLOCK = 256
 BITS = 2048
 #: Keys of emitted sets that a task remembers, to emit a copy's cells once.
 SEEN = 200_000
+#: Shingles of a block of the link count, and columns of its matrices.
+HASHES = 1 << 20
+COLUMNS = 4096
 _U = np.uint64
 
 
@@ -226,13 +235,14 @@ def join(df: DataFrame, text: str = "text", id_col: str = "doc_id", k: int = 4,
     """(id, n_shingles, component_id, n_links): one row for each row of ``df``.
 
     component_id is the smallest id reachable by links of Jaccard num / den or
-    more; n_links counts the links that were compared and hold, which connect
-    the component (not all pairs of it).
+    more; n_links counts all other ids whose set links with the row's, copies
+    included.
     """
     bands = Bands(num, den)
     named = stored(sets(df, text, id_col, k), "sets")
     nodes = named.where(F.col("__key").isNotNull() & F.col(id_col).isNotNull())
-    nodes = nodes.groupBy("__key").agg(F.min(id_col).alias("__rep"))
+    nodes = nodes.select("__key", id_col).distinct().groupBy("__key").agg(F.min(id_col).alias("__rep"),
+                                                                          F.count("*").alias("__docs"))
     cells = _cells(df, text, id_col, k, bands)
     w = Window.partitionBy("__cell")
     shared = cells.select("__cell", "__key", F.lag("__key").over(w.orderBy("__key")).alias("__last"),
@@ -261,8 +271,8 @@ def join(df: DataFrame, text: str = "text", id_col: str = "doc_id", k: int = 4,
     open_ = stored(label.join(mixed, "__cell"), "open")
     near = stored(_near(open_, _sketches(docs, k), num, den), "near")
     more = stored(_compare(_pairs(near, "a", "b"), docs, k, num, den), "compared").where("__linked")
-    found = found.union(more)
-    return _result(named, nodes, stored(components(found), "components"), found, id_col)
+    comps = stored(components(found.union(more)), "components")
+    return _result(named, nodes, comps, _links(docs, comps, nodes, k, num, den), id_col)
 
 
 def _pairs(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -350,14 +360,71 @@ def _close(table: pa.Table, num: int, den: int) -> tuple[np.ndarray, np.ndarray]
     return key[left[i[keep]]], key[right[j[keep]]]
 
 
-def _result(named: DataFrame, nodes: DataFrame, comps: DataFrame, found: DataFrame, id_col: str) -> DataFrame:
+def _links(docs: DataFrame, comps: DataFrame, nodes: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """(__key, __links): ids of the other sets that link with each node of a component."""
+    rows = docs.join(comps.withColumnRenamed("node", "__key"), "__key")
+    rows = rows.join(nodes.select("__key", "__docs"), "__key").select("__key", "__text", "component", "__docs")
+
+    def hashes(batch: pa.RecordBatch, texts: pa.Array) -> pa.RecordBatch:
+        key, offs = shingles(texts, k)
+        held = [key[lo:hi].tobytes() for lo, hi in zip(offs[:-1], offs[1:], strict=True)]
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.array(np.diff(offs)),
+                                           pa.array(held, pa.binary())], ["__key", "component", "__docs", "__n", "__held"])
+
+    rows = stored(text_pass(rows, hashes, "__key long, component long, __docs long, __n long, __held binary", "__text"),
+                  "shingles")
+    blocks = rows.groupBy("component").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("__n") / HASHES)).alias("__blocks"))
+    rows = rows.join(blocks, "component")
+    rows = rows.withColumn("__block", F.pmod(F.xxhash64("__key"), "__blocks"))
+    rows = rows.withColumn("__other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__blocks") - 1)))
+    rows = rows.withColumn("__one", F.least("__block", "__other")).withColumn("__two", F.greatest("__block", "__other"))
+    group = ["component", "__one", "__two"]
+    rows = rows.select(*group, "__block", "__key", "__docs", "__n", "__held")
+    rows = rows.repartition(*[F.col(c) for c in group]).sortWithinPartitions(*group)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _groups(batches, 3):
+            key, links = _linked(table, num, den)
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(links)], ["__key", "__links"])
+
+    return rows.mapInArrow(run, "__key long, __links long").groupBy("__key").agg(F.sum("__links").alias("__links"))
+
+
+def _linked(table: pa.Table, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sets of two blocks (or of one) and the ids that each links with in the other."""
+    one, two, block, key, docs, n = (table.column(i).to_numpy() for i in range(1, 7))
+    left = np.flatnonzero(block == one)
+    alone = one[0] == two[0]
+    right = left if alone else np.flatnonzero(block == two)
+    row = np.repeat(np.arange(len(n)), n)
+    held = np.frombuffer(b"".join(table.column(7).to_pylist()), np.uint64)
+    _, col, times = np.unique(held, return_inverse=True, return_counts=True)
+    common = times > 1  # shingles of one set are in no intersection
+    row, col = row[common[col]], (np.cumsum(common) - 1)[col[common[col]]]
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    same = np.zeros((len(left), len(right)))
+    for at in range(0, int(common.sum()), COLUMNS):
+        lo, hi = np.searchsorted(col, [at, at + COLUMNS])
+        has = np.zeros((len(n), int(col[hi - 1]) - at + 1), np.float32)  # sums of up to COLUMNS ones are exact
+        has[row[lo:hi], col[lo:hi] - at] = 1
+        same += has[left] @ has[right].T
+    same = same.astype(np.int64)
+    linked = (same > 0) & (den * same >= num * (n[left][:, None] + n[right] - same))
+    if alone:
+        np.fill_diagonal(linked, False)
+        return key[left], linked @ docs[left]
+    return np.concatenate([key[left], key[right]]), np.concatenate([linked @ docs[right], docs[left] @ linked])
+
+
+def _result(named: DataFrame, nodes: DataFrame, comps: DataFrame, links: DataFrame, id_col: str) -> DataFrame:
     classed = nodes.join(comps.withColumnRenamed("node", "__key"), "__key", "left")
     classed = classed.withColumn("component", F.coalesce("component", "__key"))
     least = classed.groupBy("component").agg(F.min("__rep").alias("component_id"))
-    links = found.select(F.explode(F.array("a", "b")).alias("__key")).groupBy("__key").agg(F.count("*").alias("n_links"))
+    n_links = F.coalesce("__links", F.lit(0)) + F.col("__docs") - 1
     classed = classed.join(least, "component").join(links, "__key", "left").select(
-        F.col("__key").alias("__k"), "component_id", "n_links")
+        F.col("__key").alias("__k"), "component_id", n_links.alias("n_links"))
     out = named.join(classed, F.col("__key") == F.col("__k"), "left")
     return out.select(id_col, F.col("__n").alias("n_shingles"),
                       F.when(F.col(id_col).isNotNull(), F.coalesce("component_id", id_col)).alias("component_id"),
-                      F.coalesce("n_links", F.lit(0)).alias("n_links"))
+                      F.when(F.col(id_col).isNotNull(), F.coalesce("n_links", F.lit(0))).otherwise(0).alias("n_links"))

@@ -131,3 +131,20 @@ def test_components_of_random_graphs(spark):
     assert set(got) == set(want)
     pairs = {(got[x], want[x]) for x in want}
     assert len(pairs) == len(set(got.values())) == len(set(want.values()))
+
+
+def test_every_link_of_a_group_is_counted(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 4, raising=False)  # blocks of a component meet in pairs
+    monkeypatch.setattr(jaccard, "COLUMNS", 32, raising=False)
+    rnd = random.Random(11)
+    texts = {}
+    for n in (60, 90):
+        base = [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+        for _ in range(18):
+            texts[len(texts)] = " ".join(edited(rnd, base, rnd.randrange(3)))
+    texts |= {100: texts[0], 101: texts[0].upper(), 102: "alone in the world it is", 103: "alone in the world it is", 104: ""}
+    sets = {i: words(t, 4) for i, t in texts.items()}
+    want = {i: sum(1 for j, b in sets.items() if i != j and a and 100 * len(a & b) >= 85 * len(a | b)) for i, a in sets.items()}
+    rows = spark.createDataFrame(sorted(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.n_links for r in jaccard.join(rows.union(rows.where("doc_id = 100"))).collect()}
+    assert got == want and max(want.values()) > 2 and len(set(want.values())) > 4
