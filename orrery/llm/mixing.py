@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.scan import prefix_sums, row_number_within
@@ -129,11 +129,49 @@ def plan(rows: DataFrame) -> DataFrame:
                     F.coalesce(spots, F.array().cast("array<double>")).alias("times"))
 
 
+def row_hash(*cols: str) -> Column:
+    """Equal for equal rows only, nulls told apart by their place."""
+    return F.xxhash64(*cols, *[F.col(c).isNull() for c in cols])
+
+
+def curriculum(rows: DataFrame, planned: DataFrame) -> DataFrame:
+    """``rows`` as often as ``planned`` takes them, with ``__id`` and ``__time`` of each, range-sorted by time.
+
+    Both have ``__row``, the same for equal rows only; ``planned`` has an ``__id`` and ``times``.
+    """
+    spots = planned.select(F.col("__row").alias("__k"), "__id", F.explode("times").alias("__time"))
+    whole = rows.dropDuplicates(["__row"]).join(spots, F.col("__row") == F.col("__k")).drop("__k")
+    order = ["__time", "__row", "__id"]
+    return whole.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def digest(planned: DataFrame, mixed: DataFrame, text: str = "text") -> DataFrame:
+    """``planned`` with what ``mixed`` (``curriculum``) holds of each row: taken, copies, first_time and first_place.
+
+    first_place is the position of the first copy in the whole mix, from 1.  A row's number within its partition and the
+    rows of the partitions before give it, so one narrow row a partition is all that a window sees.
+    """
+    held = sizes(mixed.select("__id", "__time", F.col(text).alias("__text")), "__text")
+    held = stored(held.withColumn("__at", F.monotonically_increasing_id()), "mixed")  # partition, row in it
+    part = F.shiftright("__at", 33)
+    parts = held.groupBy(part.alias("__p")).agg(F.count("*").alias("__n"))
+    before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("__p", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    first = F.min(F.struct("__at", "__time"))
+    got = held.groupBy("__id").agg(F.sum("__size").alias("taken"), F.count("*").alias("__copies"), first.alias("__first"))
+    got = got.join(F.broadcast(parts), F.shiftright("__first.__at", 33) == F.col("__p"))
+    place = F.col("__before") + F.col("__first.__at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    got = got.select(F.col("__id").alias("__of"), "taken", "__copies", F.col("__first.__time").alias("first_time"),
+                     place.alias("first_place"))
+    out = planned.drop("copies", "times").join(got, F.col("__id") == F.col("__of"), "left").drop("__of")
+    return out.withColumn("taken", F.coalesce("taken", F.lit(0).cast("long"))).withColumn(
+        "copies", F.coalesce("__copies", F.lit(0)).cast("int")).drop("__copies")
+
+
 def mix(df: DataFrame, text: str = "text", source: str = "source", id_col: str = "doc_id") -> DataFrame:
     """``df``'s rows as often as the mix takes them, range-sorted by training time: (columns of df)."""
-    key = F.xxhash64(*[F.col(c) for c in df.columns])
-    rows = df.withColumn("__key", key)
-    narrow = sizes(rows.select("__key", F.col(source).alias("__source"), F.col(text).alias("__text")), "__text")
-    spots = plan(stored(narrow, "sizes")).select(F.col("__key").alias("__k"), F.explode("times").alias("__time"))
-    whole = rows.dropDuplicates(["__key"]).join(spots, F.col("__key") == F.col("__k"))
-    return whole.repartitionByRange("__time", "__key").sortWithinPartitions("__time", "__key").select(*df.columns)
+    rows = df.withColumn("__row", row_hash(*df.columns))
+    narrow = sizes(rows.select("__row", F.xxhash64(*df.columns).alias("__key"), F.col(source).alias("__source"),
+                               F.col(text).alias("__text")), "__text")
+    planned = plan(stored(narrow, "sizes")).withColumn("__id", F.lit(0))
+    return curriculum(rows, planned).select(*df.columns)

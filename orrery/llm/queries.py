@@ -49,12 +49,15 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mixes all of ``documents``: words, target and take of each, and the training time of its first copy."""
-    docs = read(spark, sf_dir, "documents", F.col("doc_id").alias("__key"), F.col("source").alias("__source"), "text")
-    rows = mixing.plan(stored(mixing.sizes(docs), "sizes"))
-    return rows.select(F.col("__key").alias("doc_id"), F.col("__size").alias("size"), "source_size", "target",
-                       (F.col("copies") * F.col("__size")).cast("long").alias("taken"), "copies",
-                       F.try_element_at("times", F.lit(1)).alias("first_time"))
+    """Mixes all of ``documents`` in the order of training: words, target and take of each, time and place of its first copy."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "source", "text").withColumn(
+        "__row", mixing.row_hash("doc_id", "source", "text"))
+    narrow = docs.select("__row", F.col("doc_id").alias("__key"), F.col("source").alias("__source"), "text")
+    planned = mixing.plan(stored(mixing.sizes(narrow), "sizes")).withColumn("__id", F.monotonically_increasing_id())
+    planned = stored(planned, "planned")
+    rows = mixing.digest(planned, mixing.curriculum(docs, planned))
+    return rows.select(F.col("__key").alias("doc_id"), F.col("__size").alias("size"), "source_size", "target", "taken",
+                       "copies", "first_time", "first_place")
 
 
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

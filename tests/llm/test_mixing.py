@@ -124,3 +124,20 @@ def test_awkward_rows(spark, awkward, empty):
     rows = mixing.plan(mixing.sizes(awkward.selectExpr("doc_id as __key", "source as __source", "text"))).collect()
     assert len(rows) == awkward.count()
     assert P.mix(spark, empty.select("doc_id", "text", "lang", "source"), SF).count() == 0
+
+
+def test_the_query_reads_its_take_off_the_mix(spark, tmp_path, monkeypatch):
+    rows = [(i, f"s{i % 3}" if i % 7 else None, "w " * (i % 11)) for i in range(60)]
+    rows += [(7, "s1", "w w w"), (7, "s1", "w w w"), (None, "s0", "w w"), (90, "w", None), (90, None, "w")]
+    path = f"{tmp_path}/documents.parquet"
+    spark.createDataFrame(rows, "doc_id long, source string, text string").write.parquet(path)
+    got = QUERIES["op6_mixing"](spark, str(tmp_path)).collect()
+    docs = mixing.sizes(spark.read.parquet(path).selectExpr("doc_id as __key", "source as __source", "text"))
+    times = sorted(t for r in mixing.plan(docs).collect() for t in r.times)
+    assert len(got) == len(rows) and sum(r.copies for r in got) == len(times)
+    assert all(r.taken == r.copies * r.size for r in got)
+    assert all(r.first_time == times[r.first_place - 1] if r.copies else r.first_place is None for r in got)
+    whole = mixing.curriculum
+    monkeypatch.setattr(mixing, "curriculum", lambda *a: whole(*a).where("__time < 0.5"))
+    early = QUERIES["op6_mixing"](spark, str(tmp_path)).collect()
+    assert sum(r.copies for r in early) == sum(t < 0.5 for t in times)
