@@ -265,3 +265,20 @@ def test_builtin_baseline_learns_and_round_trips(spark, tmp_dir):
     scored = tr.fit_builtin(df, "y", 1, model_path=tmp_dir + "/lr")
     aucs = {r["split"]: r["auc"] for r in auc_exact(scored, ["split"]).collect()}
     assert aucs["valid"] > 0.9 and aucs["test"] > 0.9
+
+
+def test_a_pass_needs_no_new_arrays_a_step(monkeypatch):
+    from orrery.plans import net
+    spec = _small(1)
+    n, calls = 320, []
+    X, Y = np.random.default_rng(0).normal(size=(n, spec.n_in)), {h.task: np.ones(n) for h in spec.heads}
+    spec.mean, spec.scale = [0.5] * spec.n_in, [2.0] * spec.n_in
+    th = init_params(spec)
+    want, m, v = th.copy(), np.zeros_like(th), np.zeros_like(th)
+    for i in range(0, n, spec.batch):
+        _, g = loss_and_grad(spec, want, X[i:i + spec.batch], {k: y[i:i + spec.batch] for k, y in Y.items()})
+        net.adam_step(spec, want, m, v, i // spec.batch + 1, g)
+    whole = net._standardize
+    monkeypatch.setattr(net, "_standardize", lambda s, x: calls.append(len(x)) or whole(s, x))
+    got = train_pass(spec, th, np.zeros_like(th), np.zeros_like(th), 0, [(X, Y)])
+    assert (got[0] == want).all() and calls == [n]  # the same weights to the bit; a chunk is standardized once
