@@ -120,3 +120,23 @@ def test_statistics_do_not_depend_on_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert utc == la
+
+
+def test_rows_of_small_groups_are_shuffled_once_and_large_ones_as_partial_aggregates(spark, monkeypatch):
+    from orrery.operators import features as fe
+    rows = [(i // 3 if i % 10 else None, i, float(i * 7 % 13) if i % 4 else None) for i in range(300)]
+    df = spark.createDataFrame(rows, "g long, t long, x double").withColumn("t", F.timestamp_seconds("t"))
+
+    def stats():
+        out = fe.grouped_stats(df, ["g"], {"x": F.col("x"), "y": F.col("x") + 1}, "t")
+        return out, {r[0]: tuple(round(v, 9) if isinstance(v, float) else v for v in r[1:]) for r in out.collect()}
+
+    def plan(out):
+        return out._jdf.queryExecution().sparkPlan().toString()
+
+    few, a = stats()
+    assert "REPARTITION_BY_COL" in plan(few)
+    with monkeypatch.context() as m:
+        m.setattr(fe, "FEW_ROWS", 0, raising=False)
+        many, b = stats()
+    assert "REPARTITION_BY_COL" not in plan(many) and a == b and len(a) == 101
