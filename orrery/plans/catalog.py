@@ -896,7 +896,7 @@ def q_s5_stream(spark, sf_dir):
     from ..streaming.landing import land_numbered_csv
     src = _export_embeddings(spark, sf_dir)
     landed = land_numbered_csv(spark, src, 64, scratch_path(spark, "emb-stream"),
-                               scratch_path(spark, "emb-stream-ckpt"), max_files_per_trigger=200)
+                               scratch_path(spark, "emb-stream-ckpt"))
     return _flat(landed, "features", 64)
 
 

@@ -49,3 +49,20 @@ def test_streamed_histogram_equals_batch(spark, tmp_dir):
     batch = au.roc_histogram(df, ["split"])
     norm = lambda d: sorted(tuple(r) for r in d.select("split", "bin", "pos", "neg").collect())
     assert norm(streamed) == norm(batch)
+
+
+def test_batches_of_a_landing_grow_with_the_bytes_not_the_files(spark, tmp_dir):
+    from pathlib import Path
+
+    from orrery.streaming.landing import land_numbered_csv
+    (src := Path(tmp_dir) / "in").mkdir()
+    for i in range(1200):
+        (src / f"{i}.csv").write_text(f"{i},1\n")
+
+    def land(name, **bound):
+        out = land_numbered_csv(spark, str(src), 2, f"{tmp_dir}/{name}", f"{tmp_dir}/{name}-ckpt", **bound)
+        return sorted(r.record_id for r in out.collect()), len(list((Path(tmp_dir) / f"{name}-ckpt/commits").glob("[0-9]*")))
+
+    assert land("whole") == (list(range(1200)), 1)
+    rows, batches = land("cut", max_bytes_per_trigger=2500)  # some 7.5 kB
+    assert rows == list(range(1200)) and 3 <= batches <= 5
