@@ -307,3 +307,77 @@ def test_a_pass_needs_no_new_arrays_a_step(monkeypatch):
     monkeypatch.setattr(net, "_standardize", lambda s, x: calls.append(len(x)) or whole(s, x))
     got = train_pass(spec, th, np.zeros_like(th), np.zeros_like(th), 0, [(X, Y)])
     assert (got[0] == want).all() and calls == [n]  # the same weights to the bit; a chunk is standardized once
+
+
+def test_networks_side_by_side_end_as_alone():
+    from orrery.plans.net import train_passes
+    rng = np.random.default_rng(2)
+    n, heads = 150, [Head("b", 1, "yb"), Head("m", 4, "ym")]
+    X = rng.normal(size=(n, 6))
+    Y = {"b": rng.integers(0, 2, n).astype(float), "m": rng.integers(0, 4, n).astype(float)}
+    Y["m"][rng.random(n) < 0.2] = np.nan
+    Y["b"][32:64] = np.nan                             # a batch without a label of the head
+    specs = [NetSpec(6, h, heads, lr=lr, seed=s) for h, lr, s in ((5, 0.005, 1), (9, 0.05, 2), (5, 0.001, 3))]
+    state = lambda: [(init_params(s), np.full(s.n_params(), 0.01), np.full(s.n_params(), 0.02)) for s in specs]
+    cuts = [(X[a:b], {k: y[a:b] for k, y in Y.items()}) for a, b in ((0, 70), (70, 90), (90, n))]
+    told = []
+    states, t, rows, steps, sums = train_passes(specs, state(), 7, cuts, on_step=lambda *a: told.append(a), every=2)
+    assert (t, rows, steps) == (12, n, 5) and [a[0] for a in told] == [2, 4, 5] and told[-1][3]
+    for i, (spec, own) in enumerate(zip(specs, state())):
+        losses = []
+        one = train_pass(spec, *own, 7, [(X, Y)], on_step=lambda step, rows, loss, last: losses.append(loss))
+        assert all(np.abs(a - b).max() < 1e-12 for a, b in zip(states[i], one[:3]))
+        assert sums[i] == pytest.approx(one[6]) and [a[2][i] for a in told] == pytest.approx([losses[k] for k in (1, 3, 4)])
+
+
+def test_teams_share_the_work():
+    def run(hidden, t=0, batch=32):
+        spec = NetSpec(n_in=8, hidden=hidden, heads=[Head("t", 1, "y")], batch=batch)
+        return tr._Run(spec, tr._State(None, None, None, t), None)
+
+    grid = [(i, run(h)) for i, h in enumerate((100, 500, 100, 500))]
+    assert tr._teams(grid, 0) == tr._teams(grid, 1) == [[0, 1, 2, 3]]
+    assert sorted(tr._teams(grid, 2)) == [[0, 1], [2, 3]]
+    assert tr._teams(grid, 9) == [[1], [3], [0], [2]]  # those with most work first
+    assert sorted(tr._teams([(0, run(4)), (1, run(4, t=5)), (2, run(4, batch=16)), (3, run(4))], 1)) == [[0, 3], [1], [2]]
+
+
+def test_a_grid_reads_a_shard_once_an_epoch_and_scores_what_is_asked_for(spark, tmp_dir, monkeypatch):
+    _, _, df = _planted(spark, n=700)
+    grid = lambda: [_small(2, lr=lr) for lr in (0.005, 0.01, 0.02)]
+    seen, whole = [], tr._epoch_job
+    monkeypatch.setattr(tr, "_epoch_job", lambda *a, **k: seen.append(whole(*a, **k)) or seen[-1])
+    k = spark.sparkContext.defaultParallelism
+    res = tr.fit_grid(df, grid(), shards=k, eval_splits=("valid",), checkpoint_path=f"{tmp_dir}/g")
+    lines = tr.read_history(spark, res[0].log_path).where("epoch = 0")
+    assert lines.groupBy("config").agg({"rows": "sum"}).select("sum(rows)").collect() == [(560,)] * 3
+    assert len(lines.inputFiles()) == 2 * k            # a file a task, of both epochs: tasks of all configurations
+    for sums in seen:                                  # train rows are not scored for metrics that nobody reads
+        assert sorted(sums) == [0, 1, 2] and all(x.losses[0].sum() == 0 for x in sums.values())
+    full = tr.fit_grid(df, grid(), shards=k)
+    for a, b in zip(res, full):
+        assert np.abs(a.theta - b.theta).max() < 1e-9
+        valid = [[m for m in r.metrics if m["split"] == "valid"] for r in (a, b)]
+        assert [m["auc"] for m in valid[0]] == [m["auc"] for m in valid[1]] and len(valid[0]) == 2
+        assert not [m for m in a.metrics if m["split"] == "train"]
+
+
+def test_packs_hold_the_rows_of_a_shard_in_order(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    _, _, df = _planted(spark, n=900)
+    spec = _spec()
+    spec.n_in, spec.heads = 8, [Head("t", 1, "y"), Head("u", 4, "z")]
+    df = df.withColumn("z", F.when(F.col("record_id") % 7 > 0, F.col("record_id") % 4))
+    data = tr.prepare(df, spec)
+    was = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    with tr._arrow_bytes(spark, "1m"):
+        packs = tr.shard(data.where("split = 'train'"), 2, spec).withColumn("at", F.spark_partition_id()).collect()
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == was
+    want = data.where("split = 'train'").withColumn("at", F.expr("pmod(xxhash64(record_id), 2)")).orderBy("record_id").collect()
+    assert {p["split"] for p in packs} == {"train"} and max(p["rows"] for p in packs) <= tr.PACK_ROWS
+    for k in (0, 1):
+        X = np.concatenate([np.frombuffer(p["features"]).reshape(p["rows"], 8) for p in packs if p["at"] == k])
+        Y = np.concatenate([np.frombuffer(p["labels"]).reshape(p["rows"], 2) for p in packs if p["at"] == k])
+        own = [r for r in want if r["at"] == k]
+        assert np.array_equal(X, [r["features"] for r in own])
+        assert np.array_equal(Y, [[r["y"], np.nan if r["z"] is None else r["z"]] for r in own], equal_nan=True)
