@@ -381,3 +381,17 @@ def test_packs_hold_the_rows_of_a_shard_in_order(spark, monkeypatch):
         own = [r for r in want if r["at"] == k]
         assert np.array_equal(X, [r["features"] for r in own])
         assert np.array_equal(Y, [[r["y"], np.nan if r["z"] is None else r["z"]] for r in own], equal_nan=True)
+
+
+def test_standardizer_is_that_of_the_rows(spark):
+    rng = np.random.default_rng(4)
+    X = np.concatenate([rng.normal(1e6, 1e-2, (700, 1)), np.full((700, 1), 0.3), rng.normal(size=(700, 4))], axis=1)
+    df = spark.createDataFrame([(i, "train", x.tolist(), i % 2) for i, x in enumerate(X)],
+                               "record_id long, split string, features array<double>, y int")
+    spec = NetSpec(n_in=6, hidden=4, heads=[Head("t", 1, "y")])
+    data = tr.prepare(df, spec)
+    packs = tr.shard(data, 3, spec)
+    mean, scale = tr.fit_standardizer(packs, 6)
+    assert np.allclose(mean, X.mean(axis=0), rtol=1e-12) and np.allclose(scale, [*X.std(axis=0)[:1], 1.0, *X.std(axis=0)[2:]], rtol=1e-9)
+    assert tr.fit_standardizer(packs, 6) == (mean, scale)  # to the bit: the tasks' sums are added up in their order
+    assert tr.fit_standardizer(tr.shard(data.where("split = 'none'"), 3, spec), 6) == ([0.0] * 6, [1.0] * 6)
